@@ -29,15 +29,26 @@ def avg_volume_by_class(kline_data: DataFrame, symbols: DataFrame, asset_class:
     first: the fact table is reduced to one row per symbol by a partial
     (map-side) and a final aggregate before it meets the dimension, so the
     shuffle carries a few rows per symbol per task instead of every row, and a
-    hot symbol costs nothing extra.  A left-semi join keeps the symbols of the
-    class; with symbols unique this equals the inner join (and if a symbol were
-    listed twice, the inner join would only repeat rows, which leaves an average
-    unchanged).  No broadcast hint: both sides are one row per symbol, and AQE
-    broadcasts at run time only if the measured side is below its threshold.
+    hot symbol costs nothing extra.  The dimension side is de-duplicated on the
+    key, so the inner join keeps one row per symbol (with duplicates the
+    reference's join would only repeat rows, which leaves an average unchanged).
+    An inner join rather than a semi join: the optimizer would push a semi join
+    below the aggregate, and if the dimension were too big to broadcast that
+    would shuffle every fact row.  No broadcast hint: both sides are one row per
+    symbol, and Spark broadcasts only below its size threshold (static file
+    size, or the measured shuffle size under AQE).
     """
-    per_symbol = kline_data.groupBy("symbol").agg(F.avg("volume").alias("avg_volume"))
-    wanted = symbols.where(F.col("asset_class") == F.lit(asset_class)).select("symbol")
-    return per_symbol.join(wanted, "symbol", "left_semi")
+    return avg_for_members(kline_data, symbols.where(F.col("asset_class") == F.lit(asset_class)),
+                           "symbol", "symbol", "volume", "avg_volume")
+
+
+def avg_for_members(fact: DataFrame, members: DataFrame, fact_key: str, member_key: str,
+                    value: str, out_name: str) -> DataFrame:
+    """``SELECT f.key, avg(f.value) FROM fact f JOIN members m ON f.key = m.key GROUP BY f.key``,
+    aggregated before the join (see ``avg_volume_by_class``)."""
+    per_key = fact.groupBy(fact_key).agg(F.avg(value).alias(out_name))
+    wanted = members.select(F.col(member_key).alias(fact_key)).dropDuplicates([fact_key])
+    return per_key.join(wanted, fact_key, "inner").select(fact_key, out_name)
 
 
 def moving_average(kline_data: DataFrame, symbol: str | None = None, rows: int = 5,

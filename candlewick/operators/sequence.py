@@ -28,7 +28,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from candlewick.session import checkpoint_root
+from candlewick.session import scratch_path
 
 DEFAULT_CHUNK_ROWS = 1 << 20
 _PARTITION_BITS = 33   # monotonically_increasing_id = partition << 33 | row number
@@ -41,19 +41,26 @@ def _cols(cols: Sequence[Column | str]) -> list[Column]:
 def number_rows(df: DataFrame, order_by: Sequence[Column | str], pos_col: str = "_pos") -> DataFrame:
     """Add ``pos_col`` = 0-based position of each row in ``order_by`` order, without a single-task window.
 
-    The returned frame is checkpointed (lineage cut, positions fixed).
+    The sorted rows, tagged with (partition, row in partition), are written once
+    as a Parquet table under the checkpoint folder: the numbering is fixed (a
+    lost executor cannot renumber), lineage is cut, and the per-partition count
+    reads one column.
     """
-    checkpoint_root(df.sparkSession)
-    sorted_df = df.orderBy(*_cols(order_by))
-    tagged = sorted_df.withColumn("_mid", F.monotonically_increasing_id())
-    tagged = tagged.withColumns({
-        "_part": F.shiftright("_mid", _PARTITION_BITS),
-        "_local": F.col("_mid").bitwiseAND(F.lit((1 << _PARTITION_BITS) - 1)),
-    }).drop("_mid").checkpoint(eager=True)
-    counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    spark = df.sparkSession
+    path = scratch_path(spark, "sequence")
+    mid = F.monotonically_increasing_id()
+    tagged = df.orderBy(*_cols(order_by)).select(
+        *df.columns,
+        F.shiftright(mid, _PARTITION_BITS).alias("_part"),
+        mid.bitwiseAND(F.lit((1 << _PARTITION_BITS) - 1)).alias("_local"),
+    )
+    tagged.write.parquet(path)
+    stored = spark.read.parquet(path)
+    counts = stored.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    numbered = tagged.join(F.broadcast(offsets), "_part")
+    # One row per partition of the sort: bounded by the partition count, not the data.
+    numbered = stored.join(F.broadcast(offsets), "_part")
     return numbered.withColumn(pos_col, F.col("_offset") + F.col("_local")).drop("_part", "_local", "_offset")
 
 
@@ -78,15 +85,14 @@ def chunked_window(
         raise ValueError("chunk_rows must be at least lookback")
     out_cols = df.columns
     numbered = number_rows(df, [*keys, *order_by], "_pos")
-    numbered = numbered.withColumns({
-        "_chunk": F.floor(F.col("_pos") / F.lit(chunk_rows)).cast("long"),
-        "_halo": F.lit(False),
-    })
-    parts = [numbered]
-    if lookback > 0:
-        tail = numbered.where(F.pmod(F.col("_pos"), F.lit(chunk_rows)) >= F.lit(chunk_rows - lookback))
-        parts.append(tail.withColumns({"_chunk": F.col("_chunk") + 1, "_halo": F.lit(True)}))
-    both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    # Each row goes to its own chunk; the last ``lookback`` rows of a chunk also go
+    # to the next one as halo (one pass, no second scan).
+    in_tail = F.pmod(F.col("_pos"), F.lit(chunk_rows)) >= F.lit(chunk_rows - lookback)
+    shifts = F.when(in_tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))) if lookback else F.array(F.lit(0))
+    both = numbered.withColumn("_shift", F.explode(shifts)).withColumns({
+        "_chunk": F.expr(f"_pos div {int(chunk_rows)}") + F.col("_shift"),
+        "_halo": F.col("_shift") == 1,
+    }).drop("_shift")
     # Range-partitioning on (keys, chunk) satisfies the window's clustering, so the
     # window adds no exchange and its output is already in (keys, chunk, pos) order.
     both = both.repartitionByRange(*keys, "_chunk")

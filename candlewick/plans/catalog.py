@@ -41,8 +41,7 @@ def _klines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _tables(spark: SparkSession, sf_dir: str):
-    wh = fixture_warehouse(configure(spark), sf_dir)
-    return wh
+    return fixture_warehouse(configure(spark), sf_dir)
 
 
 def _round(df: DataFrame, *cols: str) -> DataFrame:
@@ -129,13 +128,13 @@ def q_monthly_layout(spark, sf_dir):
 # -- the same operators on the star schema ----------------------------------
 
 def q_orders_by_segment(spark, sf_dir):
-    """JN1 + AGG2 shape on orders ⋈ customer: aggregate the fact first, semi-join the dimension."""
+    """JN1 + AGG2 shape on orders ⋈ customer: aggregate the fact first, then join the dimension."""
     configure(spark)
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    per_cust = orders.groupBy("o_custkey").agg(F.avg("o_totalprice").alias("avg_totalprice"))
-    wanted = customer.where(F.col("c_mktsegment") == SEGMENT).select(F.col("c_custkey").alias("o_custkey"))
-    return _round(per_cust.join(wanted, "o_custkey", "left_semi"), "avg_totalprice")
+    wanted = customer.where(F.col("c_mktsegment") == F.lit(SEGMENT))
+    out = A.avg_for_members(orders, wanted, "o_custkey", "c_custkey", "o_totalprice", "avg_totalprice")
+    return _round(out, "avg_totalprice")
 
 
 def q_orders_between(spark, sf_dir):
@@ -166,3 +165,8 @@ QUERIES: dict[str, Query] = {
     "orders_by_segment": q_orders_by_segment,
     "orders_between": q_orders_between,
 }
+
+
+def all_queries() -> dict[str, Query]:
+    from candlewick.plans.streams import STREAM_QUERIES
+    return {**QUERIES, **STREAM_QUERIES}

@@ -143,3 +143,23 @@ ORACLE: dict[str, str] = {
         select count(*) as n from orders
         where o_orderdate >= timestamp '{ORDERS_LO}' and o_orderdate < timestamp '{ORDERS_HI}'""".strip(),
 }
+
+_WITHHELD = "window_start + interval 1 minute <= (select make_timestamp(max(close_ms) * 1000) from kline_data)"
+
+ORACLE.update({
+    "stream_avg_close": _sql(f"""
+        select symbol, window_start, avg_close from (
+          select symbol, date_trunc('minute', make_timestamp(close_ms * 1000)) as window_start,
+            round(avg("close"), {DIGITS}) as avg_close
+          from kline_data group by all)
+        where {_WITHHELD}"""),
+    "stream_symbols": ORACLE["symbols"],
+    "stream_fanout": _sql(f"""
+        select 'kline_data' as table_name, count(*) as n from kline_data
+        union all select 'kline_events', count(*) from kline_events
+        union all select 'symbols', count(*) from symbols
+        union all select 'kline_agg', count(*) from (
+          select symbol, date_trunc('minute', make_timestamp(close_ms * 1000)) as window_start
+          from kline_data group by all) where {_WITHHELD}"""),
+    "stream_relay": ORACLE["relay"],
+})
