@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from candlewick.plans.ingest import FIXTURE_LAUNCHED
 from candlewick.schemas import KLINE_AGG, LAYOUTS, SYMBOLS
 from candlewick.session import configure, scratch_path
-from candlewick.sources.fixtures import ASSET_CLASS_OVERRIDES, events_to_messages, read_events
+from candlewick.sources.fixtures import ASSET_CLASS_OVERRIDES, message_files
 from candlewick.sources.messages import stream_messages
 from candlewick.sources.warehouse import Warehouse, stored_schema
 from candlewick.streaming.aggregate import start_kline_agg
@@ -26,21 +26,6 @@ from candlewick.streaming.dedupe import start_symbols
 from candlewick.streaming.fanout import await_all, start_fanout
 from candlewick.streaming.relay import start_relay_to_files
 
-INPUT_FILES = 8
-_INPUTS: dict[tuple[str, str], str] = {}
-
-
-def message_files(spark: SparkSession, sf_dir: str) -> str:
-    """Text files of raw messages, range-partitioned by time (written once per session)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _INPUTS:
-        path = scratch_path(spark, "stream-input")
-        events = read_events(spark, sf_dir).repartitionByRange(INPUT_FILES, "ts").sortWithinPartitions("ts")
-        events_to_messages(events).write.text(path)
-        _INPUTS[key] = path
-    return _INPUTS[key]
-
-
 def _source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_messages(configure(spark), message_files(spark, sf_dir))
 

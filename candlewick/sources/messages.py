@@ -26,11 +26,14 @@ def stream_messages(spark: SparkSession, path: str, max_files_per_trigger: int |
 
 
 def topic_options(bootstrap_servers: str, topic: str, starting_offsets: str = "latest",
-                  max_offsets_per_trigger: int | None = None, **extra: str) -> dict[str, str]:
+                  max_offsets_per_trigger: int | None = None, min_partitions: int | None = None,
+                  **extra: str) -> dict[str, str]:
     """Options of the topic source: subscribe to one topic, start at the latest offsets.
 
     On restart the query resumes from its checkpoint rather than from latest; the
-    consumer identity is the checkpoint folder.
+    consumer identity is the checkpoint folder.  ``min_partitions`` splits the
+    offset ranges of a topic with few partitions over more tasks, so parsing is
+    not limited to one core per topic partition.
     """
     opts = {
         "kafka.bootstrap.servers": bootstrap_servers,
@@ -39,6 +42,8 @@ def topic_options(bootstrap_servers: str, topic: str, starting_offsets: str = "l
     }
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))
+    if min_partitions:
+        opts["minPartitions"] = str(int(min_partitions))
     opts.update(extra)
     return opts
 
