@@ -1,15 +1,17 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
-* ``render_messages``: events → raw JSON text files (the input of everything else);
+* setup (reported, not in the total): events → raw JSON text files, the input of
+  everything else (the exchange's side of the pipeline);
 * ``ingest``: raw messages → parse → the four stored tables
-  (month-partitioned, range-clustered Parquet), timed once;
+  (month-partitioned, range-clustered Parquet), each run into a fresh folder;
 * ``parse``: JSON messages → typed ``kline_data`` rows (no storage);
 * analyst queries Q1–Q6 over the stored tables, each materialised in full with
   the ``noop`` sink (no collect), best of two timed runs after one warm-up run;
 * ``stream_avg_close``: the Structured Streaming windowed average end to end
-  (file source, state, watermark, file sink), timed once.
+  (file source, state, watermark, file sink), fresh sink and checkpoint per run.
 
-``value`` is the sum of the per-query times (ingest and stream included).
+Every entry: best of two timed runs after one warm-up run.  ``value`` is the sum
+of the per-query times (ingest and stream included).
 """
 
 from __future__ import annotations
@@ -34,17 +36,34 @@ def main() -> None:
 
     from candlewick.operators import analytics as A
     from candlewick.plans import catalog as C
-    from candlewick.plans.ingest import fixture_warehouse
+    from candlewick.plans.ingest import FIXTURE_LAUNCHED, build_warehouse, fixture_warehouse
     from candlewick.plans.streams import q_stream_avg_close
-    from candlewick.sources.fixtures import message_files
+    from candlewick.session import scratch_path
+    from candlewick.sources.fixtures import ASSET_CLASS_OVERRIDES, fixture_messages, message_files
+    from candlewick.sources.warehouse import Warehouse
+
+    spark.range(100_000).selectExpr("sum(id)").collect()   # JVM start-up, not a query
 
     times: dict[str, float] = {}
     t = time.perf_counter()
     message_files(spark, sf_dir)   # render events as raw text messages once (the input)
-    times["render_messages"] = time.perf_counter() - t
-    t = time.perf_counter()
+    setup = {"render_messages": round(time.perf_counter() - t, 3)}
+
+    def best_of(fn) -> float:
+        best = None
+        for i in range(3):
+            t = time.perf_counter()
+            fn()
+            el = time.perf_counter() - t
+            if i > 0:
+                best = el if best is None else min(best, el)
+        return best
+
+    messages = fixture_messages(spark, sf_dir)
+    times["ingest"] = best_of(lambda: build_warehouse(
+        messages, Warehouse(spark, scratch_path(spark, "bench-warehouse")), launched=FIXTURE_LAUNCHED,
+        asset_classes=ASSET_CLASS_OVERRIDES))
     wh = fixture_warehouse(spark, sf_dir)
-    times["ingest"] = time.perf_counter() - t
 
     def kd():
         return wh.table("kline_data")
@@ -59,25 +78,16 @@ def main() -> None:
         "q6_price_delta": lambda: A.price_delta(kd(), C.FOCUS_SYMBOL),
     }
     for name, build in runs.items():
-        best = None
-        for i in range(3):
-            t = time.perf_counter()
-            _materialise(build())   # building includes any eager step (row numbering)
-            el = time.perf_counter() - t
-            if i > 0:
-                best = el if best is None else min(best, el)
-        times[name] = best
-
-    t = time.perf_counter()
-    _materialise(q_stream_avg_close(spark, sf_dir))
-    times["stream_avg_close"] = time.perf_counter() - t
+        # building includes any eager step (row numbering, level discovery)
+        times[name] = best_of(lambda: _materialise(build()))
+    times["stream_avg_close"] = best_of(lambda: _materialise(q_stream_avg_close(spark, sf_dir)))
 
     sf = os.path.basename(sf_dir)
     sf_val = float(sf[2:]) if sf.startswith("sf") else sf
     print(json.dumps({
         "metric": "total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
         "queries": {k: round(v, 3) for k, v in times.items()}, "sf": sf_val,
-        "cpus": int(cpus), "note": "queries: best of 2 after 1 warm-up; ingest and stream: one run",
+        "cpus": int(cpus), "setup": setup, "note": "best of 2 timed runs after 1 warm-up run",
     }))
 
 

@@ -103,7 +103,10 @@ def message_files(spark: SparkSession, sf_dir: str) -> str:
     if key not in _MESSAGE_FILES:
         path = scratch_path(spark, "messages")
         events = read_events(spark, sf_dir, spread=False)
-        events = events.repartitionByRange("ts").sortWithinPartitions("ts")
+        # An explicit count keeps AQE from merging the (small) exchange into one
+        # task, which would render every message on one core.
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        events = events.repartitionByRange(parts, "ts").sortWithinPartitions("ts")
         events_to_messages(events).write.text(path)
         _MESSAGE_FILES[key] = path
     return _MESSAGE_FILES[key]
