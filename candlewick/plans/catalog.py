@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 
 from candlewick.functions.symbols import base_asset, quote_asset
 from candlewick.operators import analytics as A
-from candlewick.operators.parse import parse_klines, trade_headers, typed_trades
+from candlewick.operators.parse import kline_rejects, parse_klines, trade_headers, typed_trades
 from candlewick.operators.tables import to_candles, to_kline_data, to_kline_events, to_symbols
 from candlewick.operators.windows import avg_close
 from candlewick.plans.ingest import FIXTURE_LAUNCHED, fixture_warehouse
 from candlewick.session import configure
-from candlewick.sources.fixtures import ASSET_CLASS_OVERRIDES, fixture_messages
+from candlewick.sources.fixtures import ASSET_CLASS_OVERRIDES, corrupted_messages, fixture_messages
 from candlewick.streaming.relay import relay_records
 
 # Parameters of the analyst queries on the fixture (fixed values).
@@ -84,6 +84,18 @@ def q_symbol_parts(spark, sf_dir):
         s, base_asset(s).alias("base_asset"), quote_asset(s).alias("quote_asset"))
 
 
+def q_kline_permissive(spark, sf_dir):
+    """Permissive parse of messages with some corrupted close prices: the good rows."""
+    msgs = corrupted_messages(fixture_messages(configure(spark), sf_dir))
+    return parse_klines(msgs, "permissive").select(F.col("first_trade_id").alias("event_id"))
+
+
+def q_kline_rejects(spark, sf_dir):
+    """… and the rejected messages (their event ids)."""
+    msgs = corrupted_messages(fixture_messages(configure(spark), sf_dir))
+    return kline_rejects(msgs).select(F.get_json_object("value", "$.k.f").cast("bigint").alias("event_id"))
+
+
 def q_relay(spark, sf_dir):
     return relay_records(fixture_messages(configure(spark), sf_dir))
 
@@ -153,6 +165,8 @@ QUERIES: dict[str, Query] = {
     "candles": q_candles,
     "symbols": q_symbols,
     "symbol_parts": q_symbol_parts,
+    "kline_permissive": q_kline_permissive,
+    "kline_rejects": q_kline_rejects,
     "relay": q_relay,
     "avg_close": q_avg_close,
     "avg_close_hourly": q_avg_close_hourly,

@@ -13,7 +13,8 @@ from candlewick.plans.catalog import (
 from candlewick.plans.ingest import FIXTURE_LAUNCHED
 from candlewick.schemas import DEFAULT_ASSET_CLASS, KNOWN_QUOTES, UNKNOWN_QUOTE
 from candlewick.sources.fixtures import (
-    ASSET_CLASS_OVERRIDES, CONTROL_TEMPLATE, EVENT_SYMBOLS, KLINE_TEMPLATE, OTHER_SYMBOL, TRADE_TEMPLATE,
+    ASSET_CLASS_OVERRIDES, CONTROL_TEMPLATE, CORRUPT_MODULUS, EVENT_SYMBOLS, KLINE_TEMPLATE, OTHER_SYMBOL,
+    TRADE_TEMPLATE,
 )
 
 
@@ -162,4 +163,7 @@ ORACLE.update({
           select symbol, date_trunc('minute', make_timestamp(close_ms * 1000)) as window_start
           from kline_data group by all) where {_WITHHELD}"""),
     "stream_relay": ORACLE["relay"],
+    "stream_kline_data": ORACLE["kline_data"],
+    "kline_permissive": _sql(f"select first_trade_id as event_id from kline_data where first_trade_id % {CORRUPT_MODULUS} <> 0"),
+    "kline_rejects": _sql(f"select first_trade_id as event_id from kline_data where first_trade_id % {CORRUPT_MODULUS} = 0"),
 })

@@ -45,11 +45,28 @@ def q_stream_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(SYMBOLS).parquet(sink)
 
 
+_FANOUT: dict[tuple[str, str], Warehouse] = {}
+
+
+def fanout_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The four tables as the streaming fan-out writes them (run once per session and input)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _FANOUT:
+        wh = Warehouse(spark, scratch_path(spark, "stream-warehouse"))
+        queries = start_fanout(_source(spark, sf_dir), wh, scratch_path(spark, "stream-fanout-ck"),
+                               launched=FIXTURE_LAUNCHED, asset_classes=ASSET_CLASS_OVERRIDES)
+        await_all(queries)
+        _FANOUT[key] = wh
+    return _FANOUT[key]
+
+
+def q_stream_kline_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``kline_data`` as written by the stream's foreachBatch sink (month column dropped)."""
+    return fanout_warehouse(configure(spark), sf_dir).table("kline_data").drop("month")
+
+
 def q_stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wh = Warehouse(spark, scratch_path(spark, "stream-warehouse"))
-    queries = start_fanout(_source(spark, sf_dir), wh, scratch_path(spark, "stream-fanout-ck"),
-                           launched=FIXTURE_LAUNCHED, asset_classes=ASSET_CLASS_OVERRIDES)
-    await_all(queries)
+    wh = fanout_warehouse(configure(spark), sf_dir)
     parts = []
     for name in ("kline_data", "kline_events", "symbols", "kline_agg"):
         t = spark.read.schema(stored_schema(LAYOUTS[name])).parquet(wh.path(name))
@@ -72,4 +89,5 @@ STREAM_QUERIES = {
     "stream_symbols": q_stream_symbols,
     "stream_fanout": q_stream_fanout,
     "stream_relay": q_stream_relay,
+    "stream_kline_data": q_stream_kline_data,
 }

@@ -28,6 +28,10 @@ CANDLE_INTERVAL = "1h"
 CANDLE_LAST_MS = 3_599_999
 # Asset classes that differ from the default in the join check.
 ASSET_CLASS_OVERRIDES = {"VIEWXYZ": "other"}
+# Error-policy check: kline messages whose event id is a multiple of this get an
+# unparsable close price.
+CORRUPT_MODULUS = 97
+CORRUPT_CLOSE = "n/a"
 
 KLINE_TEMPLATE = (
     '{"e":"kline","E":%d,"s":"%s","k":{"t":%d,"T":%d,"s":"%s","i":"%s","f":%d,"L":%d,'
@@ -117,3 +121,15 @@ def fixture_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from candlewick.schemas import RAW_MESSAGE
 
     return spark.read.schema(RAW_MESSAGE).text(message_files(spark, sf_dir))
+
+
+def corrupted_messages(messages: DataFrame) -> DataFrame:
+    """The messages with the close price of every ``CORRUPT_MODULUS``-th kline replaced by text.
+
+    Used to exercise the permissive parse and the rejects on whole tables.
+    """
+    v = F.col("value")
+    event_id = F.get_json_object(v, "$.k.f").cast("bigint")
+    bad = v.contains('"e":"kline"') & (event_id % CORRUPT_MODULUS == 0)
+    spoiled = F.regexp_replace(v, '"c":"[^"]*"', f'"c":"{CORRUPT_CLOSE}"')
+    return messages.select(F.when(bad, spoiled).otherwise(v).alias("value"))

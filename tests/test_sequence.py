@@ -78,3 +78,26 @@ def test_moving_average_and_delta_match_python(spark):
     for i in range(1, len(pd)):
         assert pd[i].prev_close == closes[i - 1]
         assert pd[i].price_delta == closes[i] - closes[i - 1]
+
+
+def test_hot_symbol_is_spread_over_tasks(spark):
+    """One symbol with most rows: its window work lands in several tasks, none holding it all.
+
+    AQE would merge these tiny partitions back into one (it merges only up to its
+    advisory size, so large partitions stay apart); coalescing is off here to see
+    the split itself.
+    """
+    rows = [("HOT", i % 50, float(i), i) for i in range(4000)] + [("COLD", i, 1.0, 10_000 + i) for i in range(40)]
+    df = spark.createDataFrame(rows, "sym string, t int, v double, id int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = chunked_window(df, ["sym"], ["t", "id"], 4,
+                             lambda w: {"ma": F.avg("v").over(w.rowsBetween(-4, 0))}, chunk_rows=250)
+        per_task = out.where(F.col("sym") == "HOT").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        exp = reference(df.withColumnRenamed("v", "v"), 4).where(F.col("sym") == "HOT")
+        assert {(r.id, round(r.ma, 9)) for r in out.where(F.col("sym") == "HOT").collect()} == {
+            (r.id, round(r.ma, 9)) for r in exp.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(per_task) >= 4
+    assert max(r["count"] for r in per_task) <= 0.5 * 4000
