@@ -19,6 +19,10 @@ bounded number of rows instead:
 
 The result equals the per-key window exactly: a frame never reaches further back
 than ``lookback`` rows, and within a key positions are consecutive.
+
+When one aggregate shows that no key has more than ``chunk_rows`` rows (a single
+number comes back to the driver), the plain per-key window is already bounded
+per task and is used instead: fewer jobs, same result.
 """
 
 from __future__ import annotations
@@ -64,6 +68,12 @@ def number_rows(df: DataFrame, order_by: Sequence[Column | str], pos_col: str =
     return numbered.withColumn(pos_col, F.col("_offset") + F.col("_local")).drop("_part", "_local", "_offset")
 
 
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows in the largest key group (0 for no rows): partial counts per task, one number to the driver."""
+    row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("m")).collect()[0]
+    return int(row.m or 0)
+
+
 def chunked_window(
     df: DataFrame,
     keys: Sequence[str],
@@ -84,6 +94,13 @@ def chunked_window(
     if chunk_rows < max(lookback, 1):
         raise ValueError("chunk_rows must be at least lookback")
     out_cols = df.columns
+    largest = largest_group(df, keys)
+    if largest <= chunk_rows:
+        # Checked bound: every key fits in one chunk, so one task per key is bounded.
+        w = Window.partitionBy(*keys).orderBy(*_cols(order_by))
+        new_cols = columns(w)
+        out = df.withColumns(new_cols).orderBy(*keys, *_cols(order_by))
+        return out.select(*out_cols, *new_cols.keys())
     numbered = number_rows(df, [*keys, *order_by], "_pos")
     # Each row goes to its own chunk; the last ``lookback`` rows of a chunk also go
     # to the next one as halo (one pass, no second scan).

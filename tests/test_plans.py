@@ -36,7 +36,8 @@ def _symbol_windows(p):
 
 
 def test_q3_window_runs_per_symbol_chunk(wh):
-    p = plan(A.moving_average(wh.table("kline_data"), "CLICKUSDT"))
+    # a symbol larger than a chunk: the window runs per (symbol, chunk)
+    p = plan(A.moving_average(wh.table("kline_data"), "CLICKUSDT", chunk_rows=50))
     assert "rangepartitioning(symbol" in p
     wins = _symbol_windows(p)
     assert len(wins) == 1 and "_chunk" in wins[0].split("windowspecdefinition(")[1][:60]
@@ -45,11 +46,18 @@ def test_q3_window_runs_per_symbol_chunk(wh):
 
 
 def test_q6_one_window_node(wh):
-    p = plan(A.price_delta(wh.table("kline_data"), "CLICKUSDT"))
+    p = plan(A.price_delta(wh.table("kline_data"), "CLICKUSDT", chunk_rows=50))
     wins = _symbol_windows(p)
     assert len(wins) == 1 and "lag(close" in wins[0]
 
 
+def test_small_groups_use_the_plain_window(wh):
+    # every symbol fits in a chunk (checked by one aggregate): the plain per-symbol window
+    p = plan(A.price_delta(wh.table("kline_data"), "CLICKUSDT"))
+    wins = _symbol_windows(p)
+    assert len(wins) == 1 and "_chunk" not in p and "hashpartitioning(symbol" in p
+
+
 def test_no_python_udf_in_batch_plans(wh):
     dfs = [A.avg_volume_by_class(wh.table("kline_data"), wh.table("symbols")),
            A.moving_average(wh.table("kline_data"), "CLICKUSDT"),
