@@ -35,6 +35,7 @@ def main() -> None:
     spark = get_session(f"local[{cpus}]", "candlewick-bench", **{"spark.sql.shuffle.partitions": str(int(cpus) * 2)})
 
     from candlewick.operators import analytics as A
+    from candlewick.operators.windows import avg_close
     from candlewick.plans import catalog as C
     from candlewick.plans.ingest import FIXTURE_LAUNCHED, build_warehouse, fixture_warehouse
     from candlewick.plans.streams import q_stream_avg_close
@@ -71,6 +72,7 @@ def main() -> None:
     runs = {
         "parse": lambda: C.q_kline_data(spark, sf_dir),
         "q1_avg_close": lambda: A.all_windowed_averages(wh.table("kline_agg")),
+        "avg_close_hourly": lambda: avg_close(kd(), "1 hour", time_col="close_time"),
         "q2_avg_volume_crypto": lambda: A.avg_volume_by_class(kd(), wh.table("symbols"), C.ASSET_CLASS),
         "q3_moving_average_5": lambda: A.moving_average(kd(), C.FOCUS_SYMBOL, 5),
         "q4_count_between": lambda: A.count_between(kd(), C.RANGE_LO, C.RANGE_HI),

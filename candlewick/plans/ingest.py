@@ -63,9 +63,10 @@ def fixture_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     if key in _BUILT:
         return _BUILT[key]
     tag = hashlib.sha1(f"{_BUILD_VERSION}:{key[0]}:{sf_dir}".encode()).hexdigest()[:16]
+    # The folder is private to this application (the tag includes its id), so it
+    # is always built fresh: a warehouse written by other code is never reused.
     wh = Warehouse(spark, f"{checkpoint_root(spark)}/warehouse/{tag}")
-    if not all(wh.exists(name) for name in ("kline_data", "kline_events", "symbols", "kline_agg")):
-        build_warehouse(fixture_messages(spark, sf_dir), wh, launched=FIXTURE_LAUNCHED,
-                        asset_classes=ASSET_CLASS_OVERRIDES)
+    build_warehouse(fixture_messages(spark, sf_dir), wh, launched=FIXTURE_LAUNCHED,
+                    asset_classes=ASSET_CLASS_OVERRIDES)
     _BUILT[key] = wh
     return wh

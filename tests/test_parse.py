@@ -102,3 +102,15 @@ def test_trades(spark):
 def test_parse_is_one_narrow_stage(spark):
     plan = parse_klines(msgs(spark, SAMPLE))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_avg_close_on_stored_rows_and_closed_only(spark):
+    from conftest import kline_message
+    b = 1752397260000
+    closed = kline_message("A", b + 59999, 4.0).replace('"x":false', '"x":true')
+    df = msgs(spark, kline_message("A", b + 59999, 1.0), closed, kline_message("A", b + 119999, 9.0))
+    kd = to_kline_data(parse_klines(df))
+    all_rows = {tuple(r) for r in avg_close(kd, time_col="close_time").collect()}
+    assert all_rows == {("A", dt.datetime(2025, 7, 13, 9, 1), 2.5), ("A", dt.datetime(2025, 7, 13, 9, 2), 9.0)}
+    only_closed = [tuple(r) for r in avg_close(kd, time_col="close_time", closed_only=True).collect()]
+    assert only_closed == [("A", dt.datetime(2025, 7, 13, 9, 1), 4.0)]
