@@ -97,9 +97,11 @@ def chunked_window(
     largest = largest_group(df, keys)
     if largest <= chunk_rows:
         # Checked bound: every key fits in one chunk, so one task per key is bounded.
+        # Range-partitioning on the keys serves both the window (clustered by key)
+        # and the final ORDER BY (keys are its prefix): one exchange, not two.
         w = Window.partitionBy(*keys).orderBy(*_cols(order_by))
         new_cols = columns(w)
-        out = df.withColumns(new_cols).orderBy(*keys, *_cols(order_by))
+        out = df.repartitionByRange(*keys).withColumns(new_cols).orderBy(*keys, *_cols(order_by))
         return out.select(*out_cols, *new_cols.keys())
     numbered = number_rows(df, [*keys, *order_by], "_pos")
     # Each row goes to its own chunk; the last ``lookback`` rows of a chunk also go

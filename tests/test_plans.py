@@ -55,7 +55,8 @@ def test_small_groups_use_the_plain_window(wh):
     # every symbol fits in a chunk (checked by one aggregate): the plain per-symbol window
     p = plan(A.price_delta(wh.table("kline_data"), "CLICKUSDT"))
     wins = _symbol_windows(p)
-    assert len(wins) == 1 and "_chunk" not in p and "hashpartitioning(symbol" in p
+    assert len(wins) == 1 and "_chunk" not in p
+    assert p.count("Exchange") == 1 and "rangepartitioning(symbol" in p
 
 
 def test_no_python_udf_in_batch_plans(wh):
