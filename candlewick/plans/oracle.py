@@ -155,6 +155,7 @@ ORACLE.update({
           from kline_data group by all)
         where {_WITHHELD}"""),
     "stream_symbols": ORACLE["symbols"],
+    "stream_symbols_state": ORACLE["symbols"],
     "stream_fanout": _sql(f"""
         select 'kline_data' as table_name, count(*) as n from kline_data
         union all select 'kline_events', count(*) from kline_events

@@ -38,13 +38,23 @@ def q_stream_avg_close(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("avg_close", F.round("avg_close", 6))
 
 
-def q_stream_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _symbols(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
     sink, ck = scratch_path(spark, "stream-symbols"), scratch_path(spark, "stream-symbols-ck")
-    q = start_symbols(_source(spark, sf_dir), sink, ck, FIXTURE_LAUNCHED, ASSET_CLASS_OVERRIDES)
+    q = start_symbols(_source(spark, sf_dir), sink, ck, FIXTURE_LAUNCHED, ASSET_CLASS_OVERRIDES, method=method)
     q.awaitTermination()
     return spark.read.schema(SYMBOLS).parquet(sink)
 
 
+def q_stream_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-batch partial dedupe merged into the stored table (the default)."""
+    return _symbols(spark, sf_dir, "merge")
+
+
+def q_stream_symbols_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``dropDuplicates`` with the symbols kept in the state store."""
+    return _symbols(spark, sf_dir, "state")
+
+
 _FANOUT: dict[tuple[str, str], Warehouse] = {}
 
 
@@ -87,6 +97,7 @@ def q_stream_relay(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAM_QUERIES = {
     "stream_avg_close": q_stream_avg_close,
     "stream_symbols": q_stream_symbols,
+    "stream_symbols_state": q_stream_symbols_state,
     "stream_fanout": q_stream_fanout,
     "stream_relay": q_stream_relay,
     "stream_kline_data": q_stream_kline_data,

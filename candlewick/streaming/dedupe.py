@@ -1,10 +1,19 @@
-"""Streaming ``symbols``: first sighting of each symbol, kept in keyed state.
-
-``dropDuplicates(["symbol"])`` without a watermark keeps one state row per
-symbol for the life of the checkpoint (never expires, like the reference's
-keyed flag, but it also survives restarts).  State is sharded by the hash of the
-symbol over ``spark.sql.shuffle.partitions`` state-store partitions; each symbol
-is one small entry, so a hot symbol adds no state.
+"""Streaming ``symbols``: first sighting of each symbol.
+
+Two forms:
+
+* ``method="merge"`` (default): ``foreachBatch`` de-duplicates each micro-batch as
+  a batch aggregate — a map-side partial step leaves one row per symbol per task
+  before the shuffle, so a symbol carrying a third of the messages costs nothing
+  extra — then appends only the symbols missing from the stored table (left
+  anti join against it; the table is one row per symbol).  The table itself is
+  the state: a replayed batch finds its symbols already stored and appends
+  nothing, and a restart continues from the table.
+* ``method="state"``: ``dropDuplicates(["symbol"])`` without a watermark keeps one
+  state row per symbol in the state store for the life of the checkpoint (like
+  the reference's keyed flag, but surviving restarts).  Streaming dedupe has no
+  partial step: every row of a micro-batch is shuffled by symbol, so a hot
+  symbol's rows land in one task per batch (bounded by the trigger size).
 """
 
 from __future__ import annotations
@@ -14,16 +23,39 @@ from pyspark.sql.streaming import StreamingQuery
 
 from candlewick.operators.parse import parse_klines
 from candlewick.operators.tables import to_symbols
+from candlewick.schemas import SYMBOLS
+
+METHODS = ("merge", "state")
 
 
 def symbols_stream(messages: DataFrame, launched=None, asset_classes: dict[str, str] | None = None,
                    mode: str = "strict") -> DataFrame:
+    """The state-store form as a streaming DataFrame."""
     return to_symbols(parse_klines(messages, mode), launched, asset_classes)
 
 
+def _merge_writer(sink_path: str, launched, asset_classes, mode: str):
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        fresh = to_symbols(parse_klines(batch, mode), launched, asset_classes)
+        stored = spark.read.schema(SYMBOLS).parquet(sink_path).select("symbol")
+        fresh.join(stored, "symbol", "left_anti").write.mode("append").parquet(sink_path)
+    return merge
+
+
 def start_symbols(messages: DataFrame, sink_path: str, checkpoint: str, launched=None,
-                  asset_classes: dict[str, str] | None = None, trigger: dict | None = None) -> StreamingQuery:
-    out = symbols_stream(messages, launched, asset_classes)
-    return (out.writeStream.outputMode("append").format("parquet")
-            .option("path", sink_path).option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"availableNow": True})).start())
+                  asset_classes: dict[str, str] | None = None, trigger: dict | None = None,
+                  method: str = "merge", mode: str = "strict") -> StreamingQuery:
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}, got {method!r}")
+    trig = trigger or {"availableNow": True}
+    if method == "state":
+        out = symbols_stream(messages, launched, asset_classes, mode)
+        return (out.writeStream.outputMode("append").format("parquet")
+                .option("path", sink_path).option("checkpointLocation", checkpoint)
+                .trigger(**trig).start())
+    spark = messages.sparkSession
+    # Create the table if it is missing (appending no rows leaves the schema in place).
+    spark.createDataFrame([], SYMBOLS).write.mode("append").parquet(sink_path)
+    return (messages.writeStream.foreachBatch(_merge_writer(sink_path, launched, asset_classes, mode))
+            .option("checkpointLocation", checkpoint).trigger(**trig).start())

@@ -64,15 +64,16 @@ def test_strict_lateness_drops_late_row(spark, fresh_dir):
     assert spark.conf.get("spark.sql.streaming.statefulOperator.allowMultiple", "true") == "true"
 
 
-def test_dedupe_across_batches_and_restart(spark, fresh_dir):
+@pytest.mark.parametrize("method", ["merge", "state"])
+def test_dedupe_across_batches_and_restart(spark, fresh_dir, method):
     src, out, ck = (os.path.join(fresh_dir, n) for n in ("in", "out", "ck"))
     write_files(src, FILES)
-    q = start_symbols(stream_messages(spark, src, 1), out, ck, launched="2025-07-13")
+    q = start_symbols(stream_messages(spark, src, 1), out, ck, launched="2025-07-13", method=method)
     q.awaitTermination()
     first = sorted(r.symbol for r in spark.read.schema(SYMBOLS).parquet(out).collect())
     assert first == ["A", "B"]
     write_files(src, [[("A", B + 179999, 1.0), ("CBTC", B + 179999, 1.0)]], start=10)
-    q = start_symbols(stream_messages(spark, src, 1), out, ck, launched="2025-07-13")
+    q = start_symbols(stream_messages(spark, src, 1), out, ck, launched="2025-07-13", method=method)
     q.awaitTermination()
     rows = spark.read.schema(SYMBOLS).parquet(out).collect()
     assert sorted(r.symbol for r in rows) == ["A", "B", "CBTC"]
@@ -80,6 +81,18 @@ def test_dedupe_across_batches_and_restart(spark, fresh_dir):
     assert (c.base_asset, c.quote_asset, c.launched) == ("C", "BTC", dt.date(2025, 7, 13))
 
 
+def test_merge_dedupe_replay_appends_nothing(spark, fresh_dir):
+    """Re-running a batch (as after a failure) finds its symbols stored already."""
+    from candlewick.streaming.dedupe import _merge_writer
+    out = os.path.join(fresh_dir, "out")
+    spark.createDataFrame([], SYMBOLS).write.mode("append").parquet(out)
+    batch = spark.createDataFrame([(kline_message("ETHBTC", B + 59999, 1.0),)] * 3, "value string")
+    writer = _merge_writer(out, "2025-07-13", None, "strict")
+    writer(batch, 0)
+    writer(batch, 0)
+    assert [r.symbol for r in spark.read.schema(SYMBOLS).parquet(out).collect()] == ["ETHBTC"]
+
+
 def test_fanout_row_counts(spark, fresh_dir):
     src = os.path.join(fresh_dir, "in")
     write_files(src, FILES)
