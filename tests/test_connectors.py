@@ -1,6 +1,5 @@
 """Topic, JDBC and console pieces: option builders and text forms (no broker or database here)."""
 
-from pyspark.sql import functions as F
 
 from candlewick.operators.parse import parse_klines
 from candlewick.operators.tables import to_candles

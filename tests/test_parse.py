@@ -2,7 +2,6 @@ import datetime as dt
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from candlewick.operators.parse import kline_rejects, parse_klines, parse_trades, trade_headers, trade_rejects
 from candlewick.operators.tables import to_candles, to_kline_data, to_kline_events, to_symbols

@@ -1,7 +1,6 @@
 import datetime as dt
 import os
 
-from pyspark.sql import functions as F
 
 from candlewick.functions.time import month_key, time_range, yyyymm
 from candlewick.operators.parse import parse_klines

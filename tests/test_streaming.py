@@ -4,11 +4,10 @@ import datetime as dt
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
-from candlewick.schemas import KLINE_AGG, LAYOUTS, SYMBOLS
+from candlewick.schemas import KLINE_AGG, SYMBOLS
 from candlewick.sources.messages import stream_messages
-from candlewick.sources.warehouse import Warehouse, read_table
+from candlewick.sources.warehouse import Warehouse
 from candlewick.streaming.aggregate import start_kline_agg
 from candlewick.streaming.dedupe import start_symbols
 from candlewick.streaming.fanout import await_all, start_fanout
@@ -143,3 +142,25 @@ def test_relay(spark, fresh_dir):
     q.awaitTermination()
     out = spark.read.schema("key string, value string").json(os.path.join(fresh_dir, "out"))
     assert sorted((r.key or "") for r in out.collect()) == ["", "A", "B"]
+
+
+def test_windowed_average_survives_restart(spark, fresh_dir):
+    """Stop after part of the input, restart from the checkpoint: same windows as one run."""
+    batches = [[("A", B + 59999 + 60000 * i, float(i)), ("B", B + 59999 + 60000 * i, 1.0 + i)] for i in range(6)]
+    one = os.path.join(fresh_dir, "one")
+    write_files(os.path.join(one, "in"), batches)
+    q = start_kline_agg(stream_messages(spark, os.path.join(one, "in"), 1), os.path.join(one, "out"),
+                        os.path.join(one, "ck"))
+    q.awaitTermination()
+    expected = {tuple(r) for r in spark.read.schema(KLINE_AGG).parquet(os.path.join(one, "out")).collect()}
+
+    two = os.path.join(fresh_dir, "two")
+    src = os.path.join(two, "in")
+    write_files(src, batches[:3])
+    for part in (0, 1):
+        if part == 1:
+            write_files(src, batches[3:], start=3)
+        q = start_kline_agg(stream_messages(spark, src, 1), os.path.join(two, "out"), os.path.join(two, "ck"))
+        q.awaitTermination()
+    got = {tuple(r) for r in spark.read.schema(KLINE_AGG).parquet(os.path.join(two, "out")).collect()}
+    assert got == expected and len(got) == 10

@@ -1,6 +1,5 @@
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from candlewick.functions.symbols import base_asset, parse_symbol, quote_asset
 from candlewick.schemas import KNOWN_QUOTES
