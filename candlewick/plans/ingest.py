@@ -70,3 +70,23 @@ def fixture_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
                     asset_classes=ASSET_CLASS_OVERRIDES)
     _BUILT[key] = wh
     return wh
+
+
+def backfill_warehouse(spark: SparkSession, messages_path: str, warehouse: Warehouse, checkpoint_dir: str,
+                       max_files_per_trigger: int = 1000, launched=None,
+                       asset_classes: dict[str, str] | None = None, idempotent: bool = True) -> None:
+    """Load a large folder of message files through the streaming fan-out, in bounded micro-batches.
+
+    Nothing is cached across the whole input: each micro-batch (at most
+    ``max_files_per_trigger`` files) is parsed once and appended to the tables;
+    state (open windows, known symbols) carries over between batches.  The same
+    checkpoint continues as the live stream afterwards.  Windows whose end the
+    watermark has not passed stay open, as in any stream.
+    """
+    from candlewick.sources.messages import stream_messages
+    from candlewick.streaming.fanout import await_all, start_fanout
+
+    messages = stream_messages(spark, messages_path, max_files_per_trigger)
+    queries = start_fanout(messages, warehouse, checkpoint_dir, launched=launched,
+                           asset_classes=asset_classes, idempotent=idempotent)
+    await_all(queries)

@@ -164,3 +164,15 @@ def test_windowed_average_survives_restart(spark, fresh_dir):
         q.awaitTermination()
     got = {tuple(r) for r in spark.read.schema(KLINE_AGG).parquet(os.path.join(two, "out")).collect()}
     assert got == expected and len(got) == 10
+
+
+def test_backfill_in_bounded_batches(spark, fresh_dir):
+    from candlewick.plans.ingest import backfill_warehouse
+    batches = [[("A", B + 59999 + 60000 * i, float(i)), ("XBTC", B + 59999 + 60000 * i, 1.0)] for i in range(5)]
+    src = os.path.join(fresh_dir, "in")
+    write_files(src, batches)
+    wh = Warehouse(spark, os.path.join(fresh_dir, "wh"))
+    backfill_warehouse(spark, src, wh, os.path.join(fresh_dir, "ck"), max_files_per_trigger=2, launched="2025-07-13")
+    assert wh.table("kline_data").count() == 10
+    assert sorted(r.symbol for r in wh.table("symbols").collect()) == ["A", "XBTC"]
+    assert wh.table("kline_agg").count() == 8    # the last minute of each symbol is still open
