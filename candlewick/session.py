@@ -9,7 +9,6 @@ one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -59,7 +58,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a private one only where it is unset."""
     sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    root = (spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+            or sc.getCheckpointDir())
     if not root:
         root = tempfile.mkdtemp(prefix="candlewick-ckpt-")
         sc.setCheckpointDir(root)
@@ -72,12 +72,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh sub-folder of the checkpoint root (for stream sinks and checkpoints)."""
     return "/".join([checkpoint_root(spark), *parts, uuid.uuid4().hex])
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so plain-Python helpers (tests) can look inside."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
