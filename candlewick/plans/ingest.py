@@ -40,7 +40,8 @@ def build_warehouse(messages: DataFrame, warehouse: Warehouse, mode: str = "stri
         "kline_agg": avg_close(to_candles(klines), window),
     }
     try:
-        klines.count()   # one parse pass fills the cache before the writes fan out
+        # No separate pass to fill the cache: the concurrent writes fill it, a block
+        # being computed by one task is waited for (not recomputed) by the others.
         with ThreadPoolExecutor(max_workers=len(tables)) as pool:
             futures = [pool.submit(warehouse.write, name, df, write_mode) for name, df in tables.items()]
             for f in futures:
