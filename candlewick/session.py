@@ -72,3 +72,23 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh sub-folder of the checkpoint root (for stream sinks and checkpoints)."""
     return "/".join([checkpoint_root(spark), *parts, uuid.uuid4().hex])
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_task_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a run over ``input_bytes`` on ``total_cores`` executor cores.
+
+    Scan splits and post-shuffle partitions aim at ``target_task_bytes`` each (a
+    task's working set stays well inside executor memory, spills stay rare), with
+    at least two tasks per core.  AQE merges partitions that turn out smaller
+    and splits skewed join partitions above twice the target.  Example: 100 TB
+    on 8,000 cores gives about 400k shuffle partitions of ~256 MB before AQE
+    coalescing.
+    """
+    shuffle_parts = max(2 * total_cores, -(-int(input_bytes) // target_task_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.files.maxPartitionBytes": str(target_task_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_task_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_task_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }

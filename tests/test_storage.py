@@ -57,3 +57,12 @@ def test_partition_pruning_in_plan(spark, fresh_dir):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month" in plan or "month#" in plan.split("PartitionFilters")[1][:200]
     assert q.collect()[0].n == 1
+
+
+def test_scale_conf():
+    from candlewick.session import scale_conf
+    small = scale_conf(10 << 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    big = scale_conf(100 * (1 << 40), 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (256 << 20)
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
