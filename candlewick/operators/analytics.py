@@ -66,7 +66,7 @@ def moving_average(kline_data: DataFrame, symbol: str | None = None, rows: int =
     out = chunked_window(
         df, ["symbol"], ["open_time", *TIE_BREAK], rows - 1,
         lambda w: {"ma": F.avg("close").over(w.rowsBetween(-(rows - 1), 0))},
-        chunk_rows=chunk_rows,
+        chunk_rows=chunk_rows, single_key=symbol is not None,
     )
     return out.select("symbol", "open_time", "close", F.col("ma").alias(f"ma{rows}"))
 
@@ -116,7 +116,7 @@ def price_delta(kline_data: DataFrame, symbol: str | None = None,
     out = chunked_window(
         df, ["symbol"], ["open_time", *TIE_BREAK], 1,
         lambda w: {"prev_close": F.lag("close", 1).over(w)},
-        chunk_rows=chunk_rows,
+        chunk_rows=chunk_rows, single_key=symbol is not None,
     )
     return out.select("symbol", "open_time", "close", "prev_close",
                       (F.col("close") - F.col("prev_close")).alias("price_delta"))

@@ -20,9 +20,11 @@ bounded number of rows instead:
 The result equals the per-key window exactly: a frame never reaches further back
 than ``lookback`` rows, and within a key positions are consecutive.
 
-When one aggregate shows that no key has more than ``chunk_rows`` rows (a single
-number comes back to the driver), the plain per-key window is already bounded
-per task and is used instead: fewer jobs, same result.
+When one aggregate shows that no key has more than ``chunk_rows`` rows (two
+numbers come back to the driver: largest group, total), the plain per-key window
+is already bounded per task and is used instead: fewer jobs, same result.  If
+even the total fits in one chunk, a single task computes it and its local sort
+is the global order (no range sampling).
 """
 
 from __future__ import annotations
@@ -68,10 +70,11 @@ def number_rows(df: DataFrame, order_by: Sequence[Column | str], pos_col: str =
     return numbered.withColumn(pos_col, F.col("_offset") + F.col("_local")).drop("_part", "_local", "_offset")
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows in the largest key group (0 for no rows): partial counts per task, one number to the driver."""
-    row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("m")).collect()[0]
-    return int(row.m or 0)
+def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """(rows in the largest key group, rows in total): partial counts per task, two numbers to the driver."""
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    row = per_key.agg(F.max("_n").alias("m"), F.sum("_n").alias("t")).collect()[0]
+    return int(row.m or 0), int(row.t or 0)
 
 
 def chunked_window(
@@ -81,27 +84,38 @@ def chunked_window(
     lookback: int,
     columns: Callable[[WindowSpec], dict[str, Column]],
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    single_key: bool = False,
 ) -> DataFrame:
     """Add window columns whose frames reach at most ``lookback`` rows back.
 
     ``columns(w)`` receives the window spec (partitioned per key and chunk,
     ordered by position) and returns ``{name: expression over w}``; frames must
     stay within ``rowsBetween(-lookback, 0)``.  The output keeps the input
-    columns plus the new ones, sorted by (keys, order).
+    columns plus the new ones, sorted by (keys, order).  ``single_key=True``
+    tells that the input holds at most one key (e.g. filtered to one symbol), so
+    a plain count gives the group-size bound.
     """
     if lookback < 0:
         raise ValueError("lookback must be >= 0")
     if chunk_rows < max(lookback, 1):
         raise ValueError("chunk_rows must be at least lookback")
     out_cols = df.columns
-    largest = largest_group(df, keys)
+    if single_key:
+        largest = total = df.count()
+    else:
+        largest, total = group_sizes(df, keys)
     if largest <= chunk_rows:
         # Checked bound: every key fits in one chunk, so one task per key is bounded.
-        # Range-partitioning on the keys serves both the window (clustered by key)
-        # and the final ORDER BY (keys are its prefix): one exchange, not two.
         w = Window.partitionBy(*keys).orderBy(*_cols(order_by))
         new_cols = columns(w)
-        out = df.repartitionByRange(*keys).withColumns(new_cols).orderBy(*keys, *_cols(order_by))
+        if total <= chunk_rows:
+            # All rows fit in one chunk: one task, and its local sort is the global order.
+            out = (df.repartition(1).withColumns(new_cols)
+                   .sortWithinPartitions(*keys, *_cols(order_by)))
+        else:
+            # Range-partitioning on the keys serves both the window (clustered by
+            # key) and the final ORDER BY (keys are its prefix): one exchange.
+            out = df.repartitionByRange(*keys).withColumns(new_cols).orderBy(*keys, *_cols(order_by))
         return out.select(*out_cols, *new_cols.keys())
     numbered = number_rows(df, [*keys, *order_by], "_pos")
     # Each row goes to its own chunk; the last ``lookback`` rows of a chunk also go

@@ -52,13 +52,20 @@ def test_q6_one_window_node(wh):
 
 
 def test_small_groups_use_the_plain_window(wh):
-    # every symbol fits in a chunk (checked by one aggregate): the plain per-symbol window
-    p = plan(A.price_delta(wh.table("kline_data"), "CLICKUSDT"))
+    # every symbol fits in a chunk (checked by one aggregate): the plain per-symbol window,
+    # range-partitioned by symbol (one exchange for the window and the final order)
+    p = plan(A.price_delta(wh.table("kline_data"), chunk_rows=500))
     wins = _symbol_windows(p)
     assert len(wins) == 1 and "_chunk" not in p
     assert p.count("Exchange") == 1 and "rangepartitioning(symbol" in p
 
 
+def test_tiny_result_uses_one_task(wh):
+    # the whole (filtered) input fits in one chunk: a single partition, locally sorted
+    p = plan(A.price_delta(wh.table("kline_data"), "CLICKUSDT"))
+    assert "_chunk" not in p and "rangepartitioning" not in p and "SinglePartition" in p
+
+
 def test_no_python_udf_in_batch_plans(wh):
     dfs = [A.avg_volume_by_class(wh.table("kline_data"), wh.table("symbols")),
            A.moving_average(wh.table("kline_data"), "CLICKUSDT"),
