@@ -32,6 +32,9 @@ ASSET_CLASS = "crypto"
 SEGMENT = "BUILDING"
 ORDERS_LO, ORDERS_HI = "1996-01-01", "1997-01-01"
 DIGITS = 6
+# Chunk size of the "_chunked" variants: small enough that the focus symbol spans
+# several chunks from sf0.01 up, so the check covers the path taken at scale.
+CHECK_CHUNK_ROWS = 1000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -119,6 +122,15 @@ def q_moving_average_5(spark, sf_dir):
     return _round(A.moving_average(_tables(spark, sf_dir).table("kline_data"), FOCUS_SYMBOL, 5), "ma5")
 
 
+def q_moving_average_5_chunked(spark, sf_dir):
+    kd = _tables(spark, sf_dir).table("kline_data")
+    return _round(A.moving_average(kd, FOCUS_SYMBOL, 5, chunk_rows=CHECK_CHUNK_ROWS), "ma5")
+
+
+def q_price_delta_chunked(spark, sf_dir):
+    return A.price_delta(_tables(spark, sf_dir).table("kline_data"), FOCUS_SYMBOL, chunk_rows=CHECK_CHUNK_ROWS)
+
+
 def q_count_between(spark, sf_dir):
     return A.count_between(_tables(spark, sf_dir).table("kline_data"), RANGE_LO, RANGE_HI)
 
@@ -172,9 +184,11 @@ QUERIES: dict[str, Query] = {
     "avg_close_hourly": q_avg_close_hourly,
     "avg_volume_crypto": q_avg_volume_crypto,
     "moving_average_5": q_moving_average_5,
+    "moving_average_5_chunked": q_moving_average_5_chunked,
     "count_between": q_count_between,
     "events_in_candles": q_events_in_candles,
     "price_delta": q_price_delta,
+    "price_delta_chunked": q_price_delta_chunked,
     "monthly_layout": q_monthly_layout,
     "orders_by_segment": q_orders_by_segment,
     "orders_between": q_orders_between,

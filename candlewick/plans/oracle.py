@@ -156,6 +156,8 @@ ORACLE.update({
         where {_WITHHELD}"""),
     "stream_symbols": ORACLE["symbols"],
     "stream_symbols_state": ORACLE["symbols"],
+    "moving_average_5_chunked": ORACLE["moving_average_5"],
+    "price_delta_chunked": ORACLE["price_delta"],
     "stream_fanout": _sql(f"""
         select 'kline_data' as table_name, count(*) as n from kline_data
         union all select 'kline_events', count(*) from kline_events
