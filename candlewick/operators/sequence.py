@@ -88,9 +88,10 @@ def chunked_window(
 ) -> DataFrame:
     """Add window columns whose frames reach at most ``lookback`` rows back.
 
-    ``columns(w)`` receives the window spec (partitioned per key and chunk,
-    ordered by position) and returns ``{name: expression over w}``; frames must
-    stay within ``rowsBetween(-lookback, 0)``.  The output keeps the input
+    ``columns(w)`` receives a window spec and returns ``{name: expression over
+    w}``; frames must stay within ``rowsBetween(-lookback, 0)``.  The spec is
+    per key ordered by ``order_by`` when the checked bound allows, else per
+    (key, chunk) ordered by position, which is the same order.  The output keeps the input
     columns plus the new ones, sorted by (keys, order).  ``single_key=True``
     tells that the input holds at most one key (e.g. filtered to one symbol), so
     a plain count gives the group-size bound.
