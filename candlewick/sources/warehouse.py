@@ -79,6 +79,35 @@ class Warehouse:
                 empty = self.spark.createDataFrame([], layout.schema)
                 write_table(empty, self.path(name), layout, "append", clustered=False)
 
+    def compact(self, name: str, months: list[int] | None = None) -> None:
+        """Re-cluster month partitions that streaming appends left as many small files.
+
+        Micro-batches are only sorted within each task; this rewrites the chosen
+        months (all if ``None``) range-clustered and sorted, like a batch write.
+        The rows are staged under the checkpoint folder first (a path cannot be
+        read and overwritten by one job), then only those month folders are
+        replaced (dynamic partition overwrite); other months are untouched.
+        Not for tables written with per-batch folders.
+        """
+        from candlewick.session import scratch_path
+
+        layout = LAYOUTS[name]
+        if not layout.month_of:
+            raise ValueError(f"{name} has no month partitions")
+        current = self.table(name)
+        if months is not None:
+            current = current.where(F.col("month").isin([int(m) for m in months]))
+        staged = scratch_path(self.spark, "compact", name)
+        write_table(current.drop("month"), staged, layout, "overwrite", clustered=True)
+        key = "spark.sql.sources.partitionOverwriteMode"
+        old = self.spark.conf.get(key, None)
+        self.spark.conf.set(key, "dynamic")
+        try:
+            write_table(read_table(self.spark, staged, layout).drop("month"), self.path(name), layout,
+                        "overwrite", clustered=True)
+        finally:
+            self.spark.conf.set(key, old) if old is not None else self.spark.conf.unset(key)
+
     def exists(self, name: str) -> bool:
         try:
             self.spark.read.schema(stored_schema(LAYOUTS[name])).parquet(self.path(name)).schema

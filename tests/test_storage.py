@@ -66,3 +66,27 @@ def test_scale_conf():
     big = scale_conf(100 * (1 << 40), 8000)
     assert int(big["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (256 << 20)
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+
+
+def test_compact_rewrites_only_the_chosen_months(spark, fresh_dir):
+    wh = Warehouse(spark, fresh_dir)
+    def batch(i, month_offset):
+        msgs = [kline_message(s, B + 86400000 * 40 * month_offset + 59999 + 1000 * i, float(i), first=i)
+                for s in ("B", "A")]
+        return to_kline_data(parse_klines(spark.createDataFrame([(m,) for m in msgs], "value string")))
+    for i in range(4):   # four small appends into July, one into August
+        wh.write("kline_data", batch(i, 0), "append", clustered=False)
+    wh.write("kline_data", batch(9, 1), "append", clustered=False)
+    july = os.path.join(fresh_dir, "kline_data", "month=202507")
+    aug = os.path.join(fresh_dir, "kline_data", "month=202508")
+    aug_files = sorted(os.listdir(aug))
+    before = sorted(tuple(r) for r in wh.table("kline_data").collect())
+    assert len([f for f in os.listdir(july) if f.endswith(".parquet")]) >= 4
+    wh.compact("kline_data", [202507])
+    assert sorted(tuple(r) for r in wh.table("kline_data").collect()) == before
+    files = [f for f in os.listdir(july) if f.endswith(".parquet")]
+    assert len(files) == 1
+    rows = spark.read.parquet(os.path.join(july, files[0])).collect()
+    keys = [(r.symbol, r.interval, r.open_time) for r in rows]
+    assert keys == sorted(keys)
+    assert sorted(os.listdir(aug)) == aug_files
