@@ -23,10 +23,13 @@ def avg_close(candles: DataFrame, window: str = AGG_WINDOW, delay: str = AGG_WAT
 
     The event time is the candle's close time, as in the reference; a 1-minute
     candle (close = open + 59.999 s) falls in the window that starts at its open.
-    ``closed_only`` keeps only final candle updates (the reference averages all).
+    ``closed_only`` keeps only final candle updates (the reference averages all);
+    it needs ``is_closed``, i.e. parsed klines or ``kline_data`` as input.
     """
     df = candles
     if closed_only:
+        if "is_closed" not in df.columns:
+            raise ValueError("closed_only needs an is_closed column (parsed klines or kline_data, not candles)")
         df = df.where(F.col("is_closed"))
     ts = F.col(time_col)
     if isinstance(df.schema[time_col].dataType, (T.LongType, T.IntegerType)):
