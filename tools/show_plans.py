@@ -36,7 +36,9 @@ def main(argv) -> None:
     shown = {
         "parse (messages -> kline_data)": to_kline_data(parse_klines(fixture_messages(spark, sf_dir))),
         "Q2 avg_volume_by_class": A.avg_volume_by_class(kd, sy),
-        "Q3 moving_average (checked bound: plain window)": A.moving_average(kd, "CLICKUSDT"),
+        "Q3 moving_average (whole input within one chunk: one task)": A.moving_average(kd, "CLICKUSDT"),
+        "Q3 moving_average, all symbols (each symbol within a chunk: range by symbol)":
+            A.moving_average(kd, None, chunk_rows=3000),
         "Q3 moving_average (symbol larger than a chunk: chunked)": A.moving_average(kd, "CLICKUSDT", chunk_rows=500),
         "Q4 count_between": A.count_between(kd, "2024-01-08", "2024-01-15"),
         "Q5 events_in_candles (bucketed)": A.events_in_candles(ke, kd),
