@@ -1,11 +1,15 @@
 """Raw exchange messages → typed kline / trade columns.
 
 The message keys differ only by case (``e``/``E``, ``t``/``T``, ``l``/``L``, ...),
-which Spark's case-insensitive struct resolution rejects.  ``json_tuple`` looks
-keys up case-sensitively and walks each JSON level once, so the outer message
-and the nested ``k`` object are each tokenised a single time, with no session
-setting changed.  Everything here is a narrow, codegen-friendly projection: it
-runs unchanged on batch and streaming DataFrames.
+which makes field *references* ambiguous under Spark's case-insensitive
+resolution.  The JSON itself is parsed in one pass with ``from_json`` against the
+wire schema (the parser matches keys exactly), and the resulting struct is cast
+to a struct of the same shape with distinct field names: a cast renames fields
+by position, so no name is ever resolved ambiguously and no session setting is
+changed.  Every wire field is read as text and converted with ``try_cast``, so
+numbers sent as strings (and vice versa) are accepted as the reference's JSON
+mapper accepts them.  Everything here is a narrow, codegen-friendly projection:
+it runs unchanged on batch and streaming DataFrames.
 
 Error policy (``mode``):
   * ``"strict"`` – a kline/trade message that does not parse, or whose numbers do
@@ -67,8 +71,36 @@ def is_trade(value: Column | str = "value") -> Column:
     return v.contains(TRADE_MARKER)
 
 
-def _tuple(df: DataFrame, source: str, keys: list[str], names: list[str]) -> DataFrame:
-    return df.select("*", F.json_tuple(F.col(source), *keys).alias(*names))
+def _wire_schema(outer: list[str], nested: list[str] | None) -> str:
+    """DDL of the wire struct: every field as text, keys exactly as sent."""
+    cols = [f"`{k}` string" for k in outer]
+    if nested is not None:
+        cols.append("`k` struct<" + ", ".join(f"`{k}`: string" for k in nested) + ">")
+    return ", ".join(cols)
+
+
+def _renamed_type(outer: list[str], nested: list[str] | None) -> str:
+    """The same struct shape with distinct names (``_h0``.., ``_k`` with ``_k_0``..)."""
+    fields = [f"{n}: string" for n in outer]
+    if nested is not None:
+        fields.append("_k: struct<" + ", ".join(f"{n}: string" for n in nested) + ">")
+    return "struct<" + ", ".join(fields) + ">"
+
+
+def _extract(df: DataFrame, value_col: str, outer_keys: list[str], outer_names: list[str],
+             nested_keys: list[str] | None = None, nested_names: list[str] | None = None) -> DataFrame:
+    """One ``from_json`` pass; the fields come out under the given (distinct) names."""
+    parsed = F.from_json(F.col(value_col), _wire_schema(outer_keys, nested_keys))
+    renamed = parsed.cast(_renamed_type(outer_names, nested_names))
+    # ``inline`` of a one-element array turns the struct's fields into generator
+    # outputs: later filters and projections reference them as plain columns,
+    # so the optimizer cannot copy the parse into every reference.  A NULL
+    # struct (unparsable text) still yields one row of NULLs.
+    fields = df.select(value_col, F.inline(F.array(renamed)))
+    cols = [F.col(n) for n in outer_names]
+    if nested_names is not None:
+        cols += [F.col(f"_k.{n}").alias(n) for n in nested_names]
+    return fields.select(value_col, *cols)
 
 
 def _typed(raw: DataFrame, typed: list[tuple[str, str, str]], keep: list[str]) -> DataFrame:
@@ -83,7 +115,10 @@ def _typed(raw: DataFrame, typed: list[tuple[str, str, str]], keep: list[str]) -
         conv = F.col(raw_name) if dtype == "string" else F.col(raw_name).try_cast(dtype)
         cols.append(conv.alias(name))
         bad = bad | conv.isNull()
-    return raw.select(*[F.col(c) for c in keep], *cols, bad.alias("_bad"))
+    # Same barrier as in ``_extract``: the converted values become generator
+    # outputs, so the mode's filter on ``_bad`` does not convert everything twice.
+    row = F.struct(*cols, bad.alias("_bad"))
+    return raw.select(*[F.col(c) for c in keep], F.inline(F.array(row)))
 
 
 def _apply_mode(df: DataFrame, mode: str, what: str, value_col: str) -> DataFrame:
@@ -97,17 +132,17 @@ def _apply_mode(df: DataFrame, mode: str, what: str, value_col: str) -> DataFram
     return df.drop("_bad", value_col)
 
 
-# Raw json_tuple outputs get positional names: the keys themselves collide case-insensitively.
+# Raw fields get positional names: the keys themselves collide case-insensitively.
 _HEADER = [("_h0", "event_type", "string"), ("_h1", "event_time_ms", "bigint"), ("_h2", "symbol", "string")]
 _HEADER_NAMES = ["_h0", "_h1", "_h2"]
 
 
 def _kline_typed(messages: DataFrame, value_col: str) -> DataFrame:
     km = messages.where(is_kline(value_col))
-    outer = _tuple(km, value_col, ["e", "E", "s", "k"], [*_HEADER_NAMES, "_k"])
-    inner = _tuple(outer, "_k", [k for k, _, _ in _K_FIELDS], [f"_k_{i}" for i in range(len(_K_FIELDS))])
+    nested_names = [f"_k_{i}" for i in range(len(_K_FIELDS))]
+    raw = _extract(km, value_col, ["e", "E", "s"], _HEADER_NAMES, [k for k, _, _ in _K_FIELDS], nested_names)
     typed = _HEADER + [(f"_k_{i}", name, dtype) for i, (_, name, dtype) in enumerate(_K_FIELDS)]
-    return _typed(inner, typed, [value_col])
+    return _typed(raw, typed, [value_col])
 
 
 def parse_klines(messages: DataFrame, mode: str = "strict", value_col: str = "value") -> DataFrame:
@@ -129,7 +164,7 @@ def _trade_typed(messages: DataFrame, value_col: str, header_only: bool = False)
     fields = [] if header_only else _TRADE_FIELDS
     keys = ["e", "E", "s"] + [k for k, _, _ in fields]
     names = _HEADER_NAMES + [f"_t_{i}" for i in range(len(fields))]
-    raw = _tuple(tm, value_col, keys, names)
+    raw = _extract(tm, value_col, keys, names)
     typed = _HEADER + [(f"_t_{i}", name, dtype) for i, (_, name, dtype) in enumerate(fields)]
     return _typed(raw, typed, [value_col])
 
