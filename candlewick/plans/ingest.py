@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import threading
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
@@ -52,6 +53,7 @@ def build_warehouse(messages: DataFrame, warehouse: Warehouse, mode: str = "stri
 
 
 _BUILT: dict[tuple[str, str], Warehouse] = {}
+_BUILD_LOCK = threading.Lock()   # concurrent callers wait for one build
 
 
 def fixture_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -61,15 +63,19 @@ def fixture_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """
     sf_dir = sf_dir.rstrip("/")
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _BUILT:
+    with _BUILD_LOCK:
+        if key not in _BUILT:
+            _BUILT[key] = _build_fixture_warehouse(spark, sf_dir, key)
         return _BUILT[key]
+
+
+def _build_fixture_warehouse(spark: SparkSession, sf_dir: str, key: tuple[str, str]) -> Warehouse:
     tag = hashlib.sha1(f"{_BUILD_VERSION}:{key[0]}:{sf_dir}".encode()).hexdigest()[:16]
     # The folder is private to this application (the tag includes its id), so it
     # is always built fresh: a warehouse written by other code is never reused.
     wh = Warehouse(spark, f"{checkpoint_root(spark)}/warehouse/{tag}")
     build_warehouse(fixture_messages(spark, sf_dir), wh, launched=FIXTURE_LAUNCHED,
                     asset_classes=ASSET_CLASS_OVERRIDES)
-    _BUILT[key] = wh
     return wh
 
 

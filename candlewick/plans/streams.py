@@ -12,6 +12,8 @@ covered by the tests.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,18 +58,20 @@ def q_stream_symbols_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _FANOUT: dict[tuple[str, str], Warehouse] = {}
+_FANOUT_LOCK = threading.Lock()
 
 
 def fanout_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The four tables as the streaming fan-out writes them (run once per session and input)."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _FANOUT:
-        wh = Warehouse(spark, scratch_path(spark, "stream-warehouse"))
-        queries = start_fanout(_source(spark, sf_dir), wh, scratch_path(spark, "stream-fanout-ck"),
-                               launched=FIXTURE_LAUNCHED, asset_classes=ASSET_CLASS_OVERRIDES)
-        await_all(queries)
-        _FANOUT[key] = wh
-    return _FANOUT[key]
+    with _FANOUT_LOCK:
+        if key not in _FANOUT:
+            wh = Warehouse(spark, scratch_path(spark, "stream-warehouse"))
+            queries = start_fanout(_source(spark, sf_dir), wh, scratch_path(spark, "stream-fanout-ck"),
+                                   launched=FIXTURE_LAUNCHED, asset_classes=ASSET_CLASS_OVERRIDES)
+            await_all(queries)
+            _FANOUT[key] = wh
+        return _FANOUT[key]
 
 
 def q_stream_kline_data(spark: SparkSession, sf_dir: str) -> DataFrame:

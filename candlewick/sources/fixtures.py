@@ -7,6 +7,8 @@ given tables and grow with them.  The mapping is fixed (see FIXTURES.md §4).
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,6 +93,7 @@ def read_events(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFr
 
 
 _MESSAGE_FILES: dict[tuple[str, str], str] = {}
+_MESSAGE_LOCK = threading.Lock()
 
 
 def message_files(spark: SparkSession, sf_dir: str) -> str:
@@ -104,16 +107,20 @@ def message_files(spark: SparkSession, sf_dir: str) -> str:
     from candlewick.session import scratch_path
 
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _MESSAGE_FILES:
-        path = scratch_path(spark, "messages")
-        events = read_events(spark, sf_dir, spread=False)
-        # An explicit count keeps AQE from merging the (small) exchange into one
-        # task, which would render every message on one core.
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        events = events.repartitionByRange(parts, "ts").sortWithinPartitions("ts")
-        events_to_messages(events).write.text(path)
-        _MESSAGE_FILES[key] = path
-    return _MESSAGE_FILES[key]
+    with _MESSAGE_LOCK:
+        if key not in _MESSAGE_FILES:
+            _MESSAGE_FILES[key] = _render(spark, sf_dir, scratch_path(spark, "messages"))
+        return _MESSAGE_FILES[key]
+
+
+def _render(spark: SparkSession, sf_dir: str, path: str) -> str:
+    events = read_events(spark, sf_dir, spread=False)
+    # An explicit count keeps AQE from merging the (small) exchange into one
+    # task, which would render every message on one core.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    events = events.repartitionByRange(parts, "ts").sortWithinPartitions("ts")
+    events_to_messages(events).write.text(path)
+    return path
 
 
 def fixture_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
