@@ -56,11 +56,18 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a private one only where it is unset."""
+    """The shared checkpoint folder (``spark.checkpoint.dir``).
+
+    Only a local session without the setting gets a private temporary folder;
+    a cluster session without it is an error.
+    """
     sc = spark.sparkContext
     root = (spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
             or sc.getCheckpointDir())
     if not root:
+        if not sc.master.startswith("local"):
+            # A machine-local folder would scatter files over the executors' disks.
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (e.g. on HDFS or S3)")
         root = tempfile.mkdtemp(prefix="candlewick-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
