@@ -87,7 +87,9 @@ class Warehouse:
         The rows are staged under the checkpoint folder first (a path cannot be
         read and overwritten by one job), then only those month folders are
         replaced (dynamic partition overwrite); other months are untouched.
-        Not for tables written with per-batch folders.
+        Run it on months that no longer receive appends (e.g. last month once the
+        stream's watermark is past it): rows appended to a month while it is being
+        compacted would be replaced.  Not for tables written with per-batch folders.
         """
         from candlewick.session import scratch_path
 
