@@ -113,3 +113,10 @@ def test_avg_close_on_stored_rows_and_closed_only(spark):
     assert all_rows == {("A", dt.datetime(2025, 7, 13, 9, 1), 2.5), ("A", dt.datetime(2025, 7, 13, 9, 2), 9.0)}
     only_closed = [tuple(r) for r in avg_close(kd, time_col="close_time", closed_only=True).collect()]
     assert only_closed == [("A", dt.datetime(2025, 7, 13, 9, 1), 4.0)]
+
+
+def test_symbols_launched_defaults_to_processing_date(spark):
+    k = parse_klines(msgs(spark, SAMPLE))
+    row = to_symbols(k).collect()[0]
+    today = spark.sql("select current_date() as d").collect()[0].d
+    assert row.launched == today
