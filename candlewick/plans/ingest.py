@@ -32,7 +32,15 @@ _BUILD_VERSION = "1"
 
 def build_warehouse(messages: DataFrame, warehouse: Warehouse, mode: str = "strict",
                     launched=None, asset_classes: dict[str, str] | None = None,
-                    window: str = AGG_WINDOW, write_mode: str = "overwrite") -> Warehouse:
+                    window: str = AGG_WINDOW) -> Warehouse:
+    """(Re)build the four tables from all of ``messages`` (overwrites them).
+
+    Batch loads are whole: appending a second load would repeat symbols and
+    split windows that span both loads into two partial averages.  Increments
+    go through the stream (``streaming.fanout.start_fanout``) or
+    ``backfill_warehouse``, whose state carries windows and symbols across
+    batches.
+    """
     klines = parse_klines(messages, mode).persist(StorageLevel.MEMORY_AND_DISK)
     tables = {
         "kline_data": to_kline_data(klines),
@@ -44,7 +52,7 @@ def build_warehouse(messages: DataFrame, warehouse: Warehouse, mode: str = "stri
         # No separate pass to fill the cache: the concurrent writes fill it, a block
         # being computed by one task is waited for (not recomputed) by the others.
         with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-            futures = [pool.submit(warehouse.write, name, df, write_mode) for name, df in tables.items()]
+            futures = [pool.submit(warehouse.write, name, df, "overwrite") for name, df in tables.items()]
             for f in futures:
                 f.result()
     finally:
