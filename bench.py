@@ -48,25 +48,36 @@ def main() -> None:
     spark.range(100_000).selectExpr("sum(id)").collect()   # JVM start-up, not a query
 
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     t = time.perf_counter()
-    message_files(spark, sf_dir)   # render events as raw text messages once (the input)
+    try:
+        message_files(spark, sf_dir)   # render events as raw text messages once (the input)
+    except Exception as exc:
+        errors["render_messages"] = f"{type(exc).__name__}: {str(exc)[:200]}"
     setup = {"render_messages": round(time.perf_counter() - t, 3)}
 
-    def best_of(fn) -> float:
+    def best_of(fn, name: str = "") -> float | None:
         best = None
-        for i in range(3):
-            t = time.perf_counter()
-            fn()
-            el = time.perf_counter() - t
-            if i > 0:
-                best = el if best is None else min(best, el)
+        try:
+            for i in range(3):
+                t = time.perf_counter()
+                fn()
+                el = time.perf_counter() - t
+                if i > 0:
+                    best = el if best is None else min(best, el)
+        except Exception as exc:   # record and go on: the JSON line is always printed
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+            return None
         return best
 
-    messages = fixture_messages(spark, sf_dir)
     times["ingest"] = best_of(lambda: build_warehouse(
-        messages, Warehouse(spark, scratch_path(spark, "bench-warehouse")), launched=FIXTURE_LAUNCHED,
-        asset_classes=ASSET_CLASS_OVERRIDES))
-    wh = fixture_warehouse(spark, sf_dir)
+        fixture_messages(spark, sf_dir), Warehouse(spark, scratch_path(spark, "bench-warehouse")), launched=FIXTURE_LAUNCHED,
+        asset_classes=ASSET_CLASS_OVERRIDES), "ingest")
+    try:
+        wh = fixture_warehouse(spark, sf_dir)
+    except Exception as exc:   # the analyst queries then record their own errors
+        errors["warehouse"] = f"{type(exc).__name__}: {str(exc)[:200]}"
+        wh = None
 
     def kd():
         return wh.table("kline_data")
@@ -83,23 +94,25 @@ def main() -> None:
     }
     for name, build in runs.items():
         # building includes any eager step (row numbering, level discovery)
-        times[name] = best_of(lambda: _materialise(build()))
-    times["stream_avg_close"] = best_of(lambda: _materialise(q_stream_avg_close(spark, sf_dir)))
+        times[name] = best_of(lambda: _materialise(build()), name)
+    times["stream_avg_close"] = best_of(lambda: _materialise(q_stream_avg_close(spark, sf_dir)), "stream_avg_close")
 
     # The path taken at scale (a symbol larger than a chunk), forced with small chunks: not in the total.
     extra = {
         "q3_moving_average_5_chunked": best_of(lambda: _materialise(
-            A.moving_average(kd(), C.FOCUS_SYMBOL, 5, chunk_rows=C.CHECK_CHUNK_ROWS))),
+            A.moving_average(kd(), C.FOCUS_SYMBOL, 5, chunk_rows=C.CHECK_CHUNK_ROWS)), "q3_chunked"),
         "q6_price_delta_chunked": best_of(lambda: _materialise(
-            A.price_delta(kd(), C.FOCUS_SYMBOL, chunk_rows=C.CHECK_CHUNK_ROWS))),
+            A.price_delta(kd(), C.FOCUS_SYMBOL, chunk_rows=C.CHECK_CHUNK_ROWS)), "q6_chunked"),
     }
 
     sf = os.path.basename(sf_dir)
     sf_val = float(sf[2:]) if sf.startswith("sf") else sf
     print(json.dumps({
-        "metric": "total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
-        "queries": {k: round(v, 3) for k, v in times.items()}, "sf": sf_val,
-        "cpus": int(cpus), "setup": setup, "extra": {k: round(v, 3) for k, v in extra.items()},
+        "metric": "total_sec", "value": round(sum(v for v in times.values() if v is not None), 3), "unit": "sec",
+        "queries": {k: (round(v, 3) if v is not None else None) for k, v in times.items()}, "sf": sf_val,
+        "cpus": int(cpus), "setup": setup,
+        "extra": {k: (round(v, 3) if v is not None else None) for k, v in extra.items()},
+        **({"errors": errors} if errors else {}),
         "note": "best of 2 timed runs after 1 warm-up run; setup and extra are not in value",
     }))
 
