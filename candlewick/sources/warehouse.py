@@ -37,14 +37,19 @@ def write_table(df: DataFrame, path: str, layout: TableLayout, mode: str = "appe
                 clustered: bool = True) -> None:
     """Write ``df`` in the table's layout.
 
-    ``clustered=True`` range-partitions on (month, sort key) first: every task
-    writes one contiguous key range (few files per month, globally sorted), and
-    a hot month or symbol is split over many tasks by the sampled range bounds.
+    ``clustered=True`` first rebalances on (month, symbol): rows of one symbol
+    and month land together, AQE merges small partitions, and a partition that
+    grows too big is split over several tasks.  It splits by size, so even a
+    single hot key (one candle's updates, or many exact copies of one message)
+    is split, which range partitioning on the sort key could not do.  Each task
+    then sorts its rows by the full sort key, so every file is sorted and Parquet
+    row-group min/max statistics prune by symbol and time.
     ``clustered=False`` (streaming micro-batches) only sorts within each task.
     """
     out = with_layout_columns(df, layout)
     keys = [*layout.partition_by, *layout.sort_by]
-    out = out.repartitionByRange(*keys) if clustered else out
+    if clustered:
+        out = out.hint("rebalance", *layout.partition_by, layout.sort_by[0])
     out = out.sortWithinPartitions(*keys)
     writer = out.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if layout.partition_by:

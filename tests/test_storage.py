@@ -90,3 +90,21 @@ def test_compact_rewrites_only_the_chosen_months(spark, fresh_dir):
     keys = [(r.symbol, r.interval, r.open_time) for r in rows]
     assert keys == sorted(keys)
     assert sorted(os.listdir(aug)) == aug_files
+
+
+def test_hot_identical_key_is_split_on_write(spark, fresh_dir):
+    """Many exact copies of one message: the clustered write spreads them over several tasks (files)."""
+    msg = kline_message("HOT", B + 59999, 1.0)
+    df = spark.createDataFrame([(msg,)] * 4000, "value string").repartition(8)
+    kd = to_kline_data(parse_klines(df))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "1k")
+    try:
+        path = os.path.join(fresh_dir, "kd")
+        write_table(kd, path, LAYOUTS["kline_data"], "overwrite")
+    finally:
+        spark.conf.set(key, old)
+    files = [f for f in os.listdir(os.path.join(path, "month=202507")) if f.endswith(".parquet")]
+    assert len(files) >= 2    # one hot key, several writing tasks
+    assert read_table(spark, path, LAYOUTS["kline_data"]).count() == 4000
