@@ -88,7 +88,7 @@ class Warehouse:
         """Re-cluster month partitions that streaming appends left as many small files.
 
         Micro-batches are only sorted within each task; this rewrites the chosen
-        months (all if ``None``) range-clustered and sorted, like a batch write.
+        months (all if ``None``) clustered and sorted, like a batch write.
         The rows are staged under the checkpoint folder first (a path cannot be
         read and overwritten by one job), then only those month folders are
         replaced (dynamic partition overwrite); other months are untouched.
