@@ -3,7 +3,7 @@
 * setup (reported, not in the total): events → raw JSON text files, the input of
   everything else (the exchange's side of the pipeline);
 * ``ingest``: raw messages → parse → the four stored tables
-  (month-partitioned, range-clustered Parquet), each run into a fresh folder;
+  (month-partitioned, sorted Parquet), each run into a fresh folder;
 * ``parse``: JSON messages → typed ``kline_data`` rows (no storage);
 * analyst queries Q1–Q6 over the stored tables, each materialised in full with
   the ``noop`` sink (no collect), best of two timed runs after one warm-up run;
