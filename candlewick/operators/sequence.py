@@ -101,6 +101,11 @@ def chunked_window(
     if chunk_rows < max(lookback, 1):
         raise ValueError("chunk_rows must be at least lookback")
     out_cols = df.columns
+    # The remaining columns break ties in ``order_by``: the order is then total (the
+    # same in both paths, run after run), and rows that tie on the given order
+    # can still be split by the range sort.  Only exact copies stay together.
+    named = {c for c in [*keys, *order_by] if isinstance(c, str)}
+    order_by = [*order_by, *[c for c in out_cols if c not in named]]
     if single_key:
         largest = total = df.count()
     else:
