@@ -54,8 +54,14 @@ def number_rows(df: DataFrame, order_by: Sequence[Column | str], pos_col: str =
     """
     spark = df.sparkSession
     path = scratch_path(spark, "sequence")
+    # Rows that tie on every sort key (exact copies) would all land in one range
+    # partition; the input position, taken before the sort, splits them.  Copies
+    # are interchangeable, so the result does not depend on it.  The position is a
+    # function of the input's partitioning and row order, which is stable for a
+    # table scan (the callers here).
+    salted = df.withColumn("_in_pos", F.monotonically_increasing_id())
     mid = F.monotonically_increasing_id()
-    tagged = df.orderBy(*_cols(order_by)).select(
+    tagged = salted.orderBy(*_cols(order_by), "_in_pos").select(
         *df.columns,
         F.shiftright(mid, _PARTITION_BITS).alias("_part"),
         mid.bitwiseAND(F.lit((1 << _PARTITION_BITS) - 1)).alias("_local"),

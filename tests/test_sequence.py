@@ -101,3 +101,20 @@ def test_hot_symbol_is_spread_over_tasks(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(per_task) >= 4
     assert max(r["count"] for r in per_task) <= 0.5 * 4000
+
+
+def test_exact_copies_are_split_by_the_numbering_sort(spark):
+    """Thousands of identical rows: the range sort spreads them over several tasks (written files)."""
+    from candlewick.operators.sequence import number_rows
+    df = spark.createDataFrame([("HOT", 1, 1.0)] * 3000 + [("X", 2, 2.0)] * 10, "sym string, t int, v double")
+    df = df.repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        numbered = number_rows(df, ["sym", "t", "v"])
+        rows = numbered.collect()
+        # each small written file is its own read partition here
+        hot_files = numbered.where("sym = 'HOT'").select(F.spark_partition_id()).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted(r._pos for r in rows) == list(range(3010))
+    assert hot_files >= 2
