@@ -87,12 +87,18 @@ def scale_conf(input_bytes: int, total_cores: int, target_task_bytes: int = 256
     Scan splits and post-shuffle partitions aim at ``target_task_bytes`` each (a
     task's working set stays well inside executor memory, spills stay rare), with
     at least two tasks per core.  AQE merges partitions that turn out smaller
-    and splits skewed join partitions above twice the target.  Example: 100 TB
+    and splits skewed join partitions above twice the target.  Streaming state
+    goes to RocksDB.  Example: 100 TB
     on 8,000 cores gives about 400k shuffle partitions of ~256 MB before AQE
     coalescing.
     """
     shuffle_parts = max(2 * total_cores, -(-int(input_bytes) // target_task_bytes))
     return {
+        # Streaming state off the JVM heap with incremental (changelog) commits;
+        # fixed per checkpoint, so it must be set before a query first starts.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.shuffle.partitions": str(shuffle_parts),
         "spark.sql.files.maxPartitionBytes": str(target_task_bytes),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_task_bytes),

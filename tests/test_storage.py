@@ -66,6 +66,7 @@ def test_scale_conf():
     big = scale_conf(100 * (1 << 40), 8000)
     assert int(big["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (256 << 20)
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    assert big["spark.sql.streaming.stateStore.providerClass"].endswith("RocksDBStateStoreProvider")
 
 
 def test_compact_rewrites_only_the_chosen_months(spark, fresh_dir):
