@@ -63,3 +63,43 @@ def test_month_pruning_predicate_is_exact(spark, days, lo, span):
     plain = df.where((F.col("ts") >= F.lit(a.isoformat(" ")).cast("timestamp"))
                      & (F.col("ts") < F.lit(b.isoformat(" ")).cast("timestamp"))).count()
     assert with_months == plain
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["A", "BTC", "XETH"]), st.integers(0, 30), st.integers(1, 500)),
+                min_size=1, max_size=40),
+       st.integers(min_value=1, max_value=4))
+def test_stream_equals_batch_on_closed_windows(spark, rows, n_files):
+    """Time-ordered micro-batches, zero delay: the stream emits exactly the batch windows that closed."""
+    import os
+    import tempfile
+
+    from candlewick.operators.parse import parse_klines
+    from candlewick.operators.tables import to_candles
+    from candlewick.operators.windows import avg_close
+    from candlewick.schemas import KLINE_AGG
+    from candlewick.sources.messages import stream_messages
+    from candlewick.streaming.aggregate import start_kline_agg
+    from conftest import kline_message
+
+    b = 1752397260000
+    events = sorted((b + 60_000 * m + 59_999, s, p / 100.0) for s, m, p in rows)
+    root = tempfile.mkdtemp(prefix="candlewick-prop-")
+    src = os.path.join(root, "in")
+    os.makedirs(src)
+    size = -(-len(events) // n_files)
+    for i in range(0, len(events), size):
+        path = os.path.join(src, f"f{i:05d}.txt")
+        with open(path, "w") as fh:
+            for close_ms, s, p in events[i:i + size]:
+                fh.write(kline_message(s, close_ms, p) + "\n")
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+    q = start_kline_agg(stream_messages(spark, src, 1), os.path.join(root, "out"), os.path.join(root, "ck"))
+    q.awaitTermination()
+    streamed = {(r.symbol, r.window_start, round(r.avg_close, 9))
+                for r in spark.read.schema(KLINE_AGG).parquet(os.path.join(root, "out")).collect()}
+    batch = avg_close(to_candles(parse_klines(spark.read.text(src))))
+    max_close = dt.datetime.fromtimestamp(events[-1][0] / 1000, dt.timezone.utc).replace(tzinfo=None)
+    closed = {(r.symbol, r.window_start, round(r.avg_close, 9)) for r in batch.collect()
+              if r.window_start + dt.timedelta(minutes=1) <= max_close}
+    assert streamed == closed
