@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm._common import coded, plain, split_words, text_slices
+from candlewick.llm._common import coded, plain, text_slices
 from candlewick.llm.word_ids import MEMO_WORDS, Splitter, byte_chars, resolve
 
 TOKENIZER = "word_bpe_49k.json"
@@ -87,7 +87,6 @@ class Counter:
         tok = Tokenizer.from_file(path)
         self.normal, self.pre = tok.normalizer, tok.pre_tokenizer
         self.words: dict[str, int] = {}
-        self.pieces: dict[str, int] = {}
 
     def _piece(self, symbols: str) -> int:
         """Tokens of one pre-token, given as byte stand-ins."""
@@ -96,29 +95,22 @@ class Counter:
             s[-1] += self.suffix
         return count_symbols(s, self.ranks)
 
-    def count(self, word: str) -> int:
-        pieces = self.split.pieces(word)
-        total = 0
-        if pieces is None:
-            total += len(self.added.findall(word))
-            for part in self.added.split(word):
-                for symbols, _ in self.pre.pre_tokenize_str(self.normal.normalize_str(part)) if part else ():
-                    total += self._piece(symbols)
-            return total
-        for p in pieces:
-            n = self.pieces.get(p)
-            if n is None:
-                chars = self.chars
-                n = self.pieces[p] = self._piece("".join([chars[b] for b in p.encode()]))
-            total += n
+    def count(self, piece: str) -> int:
+        if self.split.is_plain(piece):
+            chars = self.chars
+            return self._piece("".join([chars[b] for b in piece.encode()]))
+        total = len(self.added.findall(piece))
+        for part in self.added.split(piece):
+            for symbols, _ in self.pre.pre_tokenize_str(self.normal.normalize_str(part)) if part else ():
+                total += self._piece(symbols)
         return total
 
     def counts(self, text: pa.Array) -> np.ndarray:
         """Tokens of every text of a slice."""
-        words, offs = split_words(text)
-        codes, distinct = coded(words)
+        pieces, offs = self.split.pieces(text)
+        codes, distinct = coded(pieces)
         if len(self.words) + len(distinct) > self.limit:
-            self.words, self.pieces = {}, {}
+            self.words = {}
         memo = self.words
         sizes = np.empty(len(distinct), np.int64)
         for k, w in enumerate(distinct.to_pylist()):
