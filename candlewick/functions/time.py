@@ -34,11 +34,11 @@ def yyyymm(ts: Column | str) -> Column:
 
 
 def _as_datetime(value) -> dt.datetime:
-    if isinstance(value, dt.datetime):
-        return value
-    if isinstance(value, dt.date):
-        return dt.datetime(value.year, value.month, value.day)
-    return dt.datetime.fromisoformat(str(value))
+    """A bound as UTC wall clock; one with an offset is converted, so its month is the stored month."""
+    if not isinstance(value, dt.datetime):
+        value = (dt.datetime(value.year, value.month, value.day) if isinstance(value, dt.date)
+                 else dt.datetime.fromisoformat(str(value)))
+    return value.astimezone(dt.timezone.utc).replace(tzinfo=None) if value.tzinfo else value
 
 
 def ts_literal(value) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions.time import time_range
-from candlewick.operators.joins import range_join_bucketed, range_join_naive, used_levels
+from candlewick.operators.joins import range_join_bucketed, used_levels
 from candlewick.operators.sequence import DEFAULT_CHUNK_ROWS, chunked_window
 
 # Tie-breakers after open_time: several updates share one candle's open time.
@@ -83,21 +83,15 @@ def count_between(kline_data: DataFrame, lo, hi, time_col: str = "open_time") ->
     return kline_data.where(time_range(time_col, lo, hi, month)).agg(F.count(F.lit(1)).alias("n"))
 
 
-def events_in_candles(kline_events: DataFrame, kline_data: DataFrame, event_type: str = "kline",
-                      method: str = "bucketed") -> DataFrame:
+def events_in_candles(kline_events: DataFrame, kline_data: DataFrame, event_type: str = "kline") -> DataFrame:
     """Q5: each event joined with every candle row of the same symbol containing it.
 
-    ``method="bucketed"`` (default) adds a time-bucket equi-key; events are copied
-    only to the bucket levels the candles occupy (one small distinct over the
-    two time columns finds them).  ``"naive"`` is the reference's plan, for
-    comparison only.
+    A time-bucket equi-key is added; events are copied only to the bucket levels the
+    candles occupy (one small distinct over the two time columns finds them).
     """
     ev = kline_events.where(F.col("event_type") == F.lit(event_type)).select("symbol", "event_time")
     cd = kline_data.select("symbol", "open_time", "close_time", "close")
-    if method == "bucketed":
-        j = range_join_bucketed(ev, cd, active_levels=used_levels(cd))
-    else:
-        j = range_join_naive(ev, cd)
+    j = range_join_bucketed(ev, cd, active_levels=used_levels(cd))
     return j.select(F.col("e.symbol").alias("symbol"), F.col("e.event_time").alias("event_time"),
                     F.col("c.open_time").alias("open_time"), F.col("c.close").alias("close"))
 

@@ -28,7 +28,7 @@ LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.shuffle.partitions": "8",
-    "spark.driver.memory": "16g",
+    "spark.driver.memory": "8g",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
 }

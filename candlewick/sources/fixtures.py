@@ -76,20 +76,9 @@ def events_to_messages(events: DataFrame) -> DataFrame:
     return events.select(msg.alias("value"))
 
 
-def read_events(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
-    """The ``events`` table; spread over the session's cores when the scan is too coarse.
-
-    A Parquet file splits only at row-group boundaries: a one-row-group file is
-    one task, and the JSON rendering and parsing downstream (narrow, CPU-bound)
-    would run on one core.  Only then is it rebalanced (round robin); a source
-    of many files or row groups is used as it is.
-    """
-    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    if spread:
-        cores = spark.sparkContext.defaultParallelism
-        if events.rdd.getNumPartitions() < cores:
-            events = events.repartition(cores)
-    return events
+def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``events`` table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 _MESSAGE_FILES: dict[tuple[str, str], str] = {}
@@ -114,7 +103,7 @@ def message_files(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _render(spark: SparkSession, sf_dir: str, path: str) -> str:
-    events = read_events(spark, sf_dir, spread=False)
+    events = read_events(spark, sf_dir)
     # An explicit count keeps AQE from merging the (small) exchange into one
     # task, which would render every message on one core.
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -47,10 +47,10 @@ def kline_agg_stream(messages: DataFrame, window: str = AGG_WINDOW, delay: str =
 
 def start_kline_agg(messages: DataFrame, sink_path: str, checkpoint: str, window: str = AGG_WINDOW,
                     delay: str = AGG_WATERMARK_DELAY, strict: bool = False, trigger: dict | None = None,
-                    fmt: str = "parquet") -> StreamingQuery:
+                    fmt: str = "parquet", mode: str = "strict") -> StreamingQuery:
     """Start the append-mode windowed average into a file sink (exactly-once via the sink log)."""
     spark = messages.sparkSession
-    agg = kline_agg_stream(messages, window, delay)
+    agg = kline_agg_stream(messages, window, delay, mode)
     writer = (agg.writeStream.outputMode("append").format(fmt)
               .option("path", sink_path).option("checkpointLocation", checkpoint))
     writer = writer.trigger(**(trigger or {"availableNow": True}))

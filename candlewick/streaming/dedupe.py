@@ -39,7 +39,12 @@ def _merge_writer(sink_path: str, launched, asset_classes, mode: str):
         spark = batch.sparkSession
         fresh = to_symbols(parse_klines(batch, mode), launched, asset_classes)
         stored = spark.read.schema(SYMBOLS).parquet(sink_path).select("symbol")
-        fresh.join(stored, "symbol", "left_anti").write.mode("append").parquet(sink_path)
+        new = fresh.join(stored, "symbol", "left_anti").persist()
+        try:
+            if not new.isEmpty():  # a batch of known symbols leaves no file
+                new.write.mode("append").parquet(sink_path)
+        finally:
+            new.unpersist()
     return merge
 
 

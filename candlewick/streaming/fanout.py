@@ -49,9 +49,10 @@ def start_fanout(messages: DataFrame, warehouse: Warehouse, checkpoint_dir: str,
     ck = checkpoint_dir.rstrip("/")
     stateless = (messages.writeStream.foreachBatch(_stateless_writer(warehouse, mode, idempotent))
                  .option("checkpointLocation", f"{ck}/stateless").trigger(**trig).start())
-    symbols = start_symbols(messages, warehouse.path("symbols"), f"{ck}/symbols", launched, asset_classes, trig)
+    symbols = start_symbols(messages, warehouse.path("symbols"), f"{ck}/symbols", launched, asset_classes, trig,
+                            mode=mode)
     agg = start_kline_agg(messages, warehouse.path("kline_agg"), f"{ck}/kline_agg", window, delay,
-                          strict_lateness, trig)
+                          strict_lateness, trig, mode=mode)
     return {"stateless": stateless, "symbols": symbols, "kline_agg": agg}
 
 

@@ -7,12 +7,12 @@ import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
-import __spark_entry__ as E  # noqa: E402
+from candlewick.plans.catalog import all_queries  # noqa: E402
+from candlewick.plans.oracle import ORACLE  # noqa: E402
 from conftest import SMOKE_DIR  # noqa: E402
 from oracle_check import compare, duck  # noqa: E402
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = all_queries()
 
 
 @pytest.fixture(scope="module")

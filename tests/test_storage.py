@@ -109,3 +109,10 @@ def test_hot_identical_key_is_split_on_write(spark, fresh_dir):
     files = [f for f in os.listdir(os.path.join(path, "month=202507")) if f.endswith(".parquet")]
     assert len(files) >= 2    # one hot key, several writing tasks
     assert read_table(spark, path, LAYOUTS["kline_data"]).count() == 4000
+
+
+def test_offset_bounds_read_the_right_month(spark):
+    df = spark.sql("SELECT TIMESTAMP '2024-06-30 23:00:00' AS ts, 202406 AS month")
+    for month in ("month", None):
+        assert df.where(time_range("ts", "2024-07-01T00:00:00+02:00", "2024-07-02", month)).count() == 1
+        assert df.where(time_range("ts", "2024-07-01T00:00:00", "2024-07-02", month)).count() == 0

@@ -179,3 +179,28 @@ def test_backfill_in_bounded_batches(spark, fresh_dir):
     assert wh.table("kline_data").count() == 10
     assert sorted(r.symbol for r in wh.table("symbols").collect()) == ["A", "XBTC"]
     assert wh.table("kline_agg").count() == 8    # the last minute of each symbol is still open
+
+
+def test_known_symbols_leave_no_files(spark, fresh_dir):
+    from candlewick.streaming.dedupe import _merge_writer
+    out = os.path.join(fresh_dir, "out")
+    spark.createDataFrame([], SYMBOLS).write.mode("append").parquet(out)
+    batch = spark.createDataFrame([(kline_message("ETHBTC", B + 59999, 1.0),)], "value string")
+    writer = _merge_writer(out, "2025-07-13", None, "strict")
+    writer(batch, 0)
+    files = sorted(os.listdir(out))
+    for k in range(1, 6):
+        writer(batch, k)
+    assert sorted(os.listdir(out)) == files
+
+
+def test_fanout_permissive_with_a_bad_message(spark, fresh_dir):
+    src = os.path.join(fresh_dir, "in")
+    write_files(src, FILES)
+    with open(os.path.join(src, "batch-009.txt"), "w") as fh:
+        fh.write(kline_message("A", B + 179999, 1.0).replace('"c":"1.00000000"', '"c":"x"') + "\n")
+    wh = Warehouse(spark, os.path.join(fresh_dir, "wh"))
+    await_all(start_fanout(stream_messages(spark, src, 1), wh, os.path.join(fresh_dir, "ck"), mode="permissive",
+                           launched="2025-07-13"))
+    counts = {n: wh.table(n).count() for n in ("kline_data", "kline_events", "symbols", "kline_agg")}
+    assert counts == {"kline_data": 6, "kline_events": 6, "symbols": 2, "kline_agg": 2}
