@@ -209,7 +209,11 @@ REPORT = ("doc_id long, n_words long, n_hit long, n_items long, items_sha256 str
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
                   text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """REPORT for every document: hit words, items, the longest verbatim match in words and hit ranges of words."""
+    """REPORT for every document: hit words, items, hit ranges of words, and ``longest``.
+
+    ``longest`` is the longest verbatim match, in words, that some benchmark suffix has in the document; of several
+    documents of a shard that tie for a suffix one is credited, the others show at least the window.
+    """
     files = write_blocks(benchmark, item_col, item_text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
