@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions.time import time_range
-from candlewick.operators.joins import range_join_bucketed, used_levels
+from candlewick.operators.joins import range_join_bucketed
 from candlewick.operators.sequence import DEFAULT_CHUNK_ROWS, chunked_window
 
 # Tie-breakers after open_time: several updates share one candle's open time.
@@ -43,9 +43,19 @@ def avg_volume_by_class(kline_data: DataFrame, symbols: DataFrame, asset_class:
 
 
 def avg_for_members(fact: DataFrame, members: DataFrame, fact_key: str, member_key: str,
-                    value: str, out_name: str) -> DataFrame:
-    """``SELECT f.key, avg(f.value) FROM fact f JOIN members m ON f.key = m.key GROUP BY f.key``,
-    aggregated before the join (see ``avg_volume_by_class``)."""
+                    value: str, out_name: str, filter_first: bool = False) -> DataFrame:
+    """``SELECT f.key, avg(f.value) FROM fact f JOIN members m ON f.key = m.key GROUP BY f.key``.
+
+    By default aggregated before the join (see ``avg_volume_by_class``): right for few
+    keys with many rows each.  ``filter_first=True`` drops the rows of other keys before
+    the aggregate: right for many keys with few rows each, where a partial aggregate
+    reduces little and most rows would be shuffled only to be dropped.  A semi join,
+    so repeated members don't repeat rows.
+    """
+    if filter_first:
+        wanted = members.select(F.col(member_key).alias("_member"))
+        kept = fact.join(wanted, F.col(fact_key) == F.col("_member"), "left_semi")
+        return kept.groupBy(fact_key).agg(F.avg(value).alias(out_name))
     per_key = fact.groupBy(fact_key).agg(F.avg(value).alias(out_name))
     wanted = members.select(F.col(member_key).alias(fact_key)).dropDuplicates([fact_key])
     return per_key.join(wanted, fact_key, "inner").select(fact_key, out_name)
@@ -66,7 +76,7 @@ def moving_average(kline_data: DataFrame, symbol: str | None = None, rows: int =
     out = chunked_window(
         df, ["symbol"], ["open_time", *TIE_BREAK], rows - 1,
         lambda w: {"ma": F.avg("close").over(w.rowsBetween(-(rows - 1), 0))},
-        chunk_rows=chunk_rows, single_key=symbol is not None,
+        chunk_rows=chunk_rows,
     )
     return out.select("symbol", "open_time", "close", F.col("ma").alias(f"ma{rows}"))
 
@@ -87,11 +97,11 @@ def events_in_candles(kline_events: DataFrame, kline_data: DataFrame, event_type
     """Q5: each event joined with every candle row of the same symbol containing it.
 
     A time-bucket equi-key is added; events are copied only to the bucket levels the
-    candles occupy (one small distinct over the two time columns finds them).
+    candles occupy, and a hot bucket's events are spread over salts.
     """
     ev = kline_events.where(F.col("event_type") == F.lit(event_type)).select("symbol", "event_time")
     cd = kline_data.select("symbol", "open_time", "close_time", "close")
-    j = range_join_bucketed(ev, cd, active_levels=used_levels(cd))
+    j = range_join_bucketed(ev, cd)
     return j.select(F.col("e.symbol").alias("symbol"), F.col("e.event_time").alias("event_time"),
                     F.col("c.open_time").alias("open_time"), F.col("c.close").alias("close"))
 
@@ -110,7 +120,7 @@ def price_delta(kline_data: DataFrame, symbol: str | None = None,
     out = chunked_window(
         df, ["symbol"], ["open_time", *TIE_BREAK], 1,
         lambda w: {"prev_close": F.lag("close", 1).over(w)},
-        chunk_rows=chunk_rows, single_key=symbol is not None,
+        chunk_rows=chunk_rows,
     )
     return out.select("symbol", "open_time", "close", "prev_close",
                       (F.col("close") - F.col("prev_close")).alias("price_delta"))

@@ -59,6 +59,9 @@ TRADE_COLUMNS = ["event_type", "event_time_ms", "symbol"] + [c for _, c, _ in _T
 
 MODES = ("strict", "permissive")
 
+# What a field that a message leaves out reads as, by type (fixed values).
+ABSENT = {"bigint": 0, "int": 0, "boolean": False}
+
 
 def is_kline(value: Column | str = "value") -> Column:
     """Whitespace-sensitive substring test, exactly as the reference filters."""
@@ -104,7 +107,10 @@ def _extract(df: DataFrame, value_col: str, outer_keys: list[str], outer_names:
 
 
 def _typed(raw: DataFrame, typed: list[tuple[str, str, str]], keep: list[str]) -> DataFrame:
-    """Convert the raw strings; ``_bad`` marks rows where any field is missing or does not convert.
+    """Convert the raw strings; ``_bad`` marks rows where a field does not convert or a text field is missing.
+
+    Whole numbers and booleans that a message leaves out are 0 and false; decimals are sent as text
+    and must be there.
 
     ``try_cast`` is used in both modes so the outcome does not depend on the
     session's ANSI setting; strict mode turns ``_bad`` into an error.
@@ -113,6 +119,8 @@ def _typed(raw: DataFrame, typed: list[tuple[str, str, str]], keep: list[str]) -
     bad = F.lit(False)
     for raw_name, name, dtype in typed:
         conv = F.col(raw_name) if dtype == "string" else F.col(raw_name).try_cast(dtype)
+        if dtype in ABSENT:
+            conv = F.when(F.col(raw_name).isNull(), F.lit(ABSENT[dtype]).cast(dtype)).otherwise(conv)
         cols.append(conv.alias(name))
         bad = bad | conv.isNull()
     # Same barrier as in ``_extract``: the converted values become generator
@@ -181,8 +189,8 @@ def trade_rejects(messages: DataFrame, value_col: str = "value") -> DataFrame:
 def trade_headers(messages: DataFrame, mode: str = "strict", value_col: str = "value") -> DataFrame:
     """What the reference keeps of a trade message: its header (e, E, s) only.
 
-    Like the reference (which reads trades into the kline class), only the
-    header keys must be present and convert; the trade body is not looked at.
+    Only the header keys are looked at: type and symbol must be present, an absent
+    time is 0, and the trade body does not matter.
     """
     t = _apply_mode(_trade_typed(messages, value_col, header_only=True), mode, "trade", value_col)
     return t.select("event_type", millis_to_ts("event_time_ms").alias("event_time"), "symbol")

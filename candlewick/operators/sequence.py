@@ -8,8 +8,8 @@ bounded number of rows instead:
 
 1. sort globally by (keys, order) — a range exchange, which splits a hot key
    over many tasks — and number the rows 0..n-1 in that order: a per-partition
-   row number plus the row count of all earlier partitions (a table with one row
-   per partition, so its broadcast has a proven size bound).  The numbered rows
+   row number plus the row count of all earlier partitions (one number per
+   partition of the sort, so its broadcast has a proven size bound).  The numbered rows
    are checkpointed so the numbering is computed once and survives lost
    executors;
 2. chunk = position div ``chunk_rows``; the last ``lookback`` rows of each chunk
@@ -20,23 +20,22 @@ bounded number of rows instead:
 The result equals the per-key window exactly: a frame never reaches further back
 than ``lookback`` rows, and within a key positions are consecutive.
 
-When one aggregate shows that no key has more than ``chunk_rows`` rows (two
-numbers come back to the driver: largest group, total), the plain per-key window
-is already bounded per task and is used instead: fewer jobs, same result.  If
-even the total fits in one chunk, a single task computes it and its local sort
-is the global order (no range sampling).
+Every input takes this path, whatever its size: nothing is counted before the
+plan is chosen, and the number of rows in one window group is bounded by a
+parameter, not by the data.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from candlewick.session import scratch_path
 
-DEFAULT_CHUNK_ROWS = 1 << 20
+DEFAULT_CHUNK_ROWS = 1 << 14
 _PARTITION_BITS = 33   # monotonically_increasing_id = partition << 33 | row number
 
 
@@ -68,21 +67,15 @@ def number_rows(df: DataFrame, order_by: Sequence[Column | str], pos_col: str =
     )
     tagged.write.parquet(path)
     stored = spark.read.parquet(path)
-    counts = stored.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    # One number per partition of the sort comes back; their running sum goes out again.
+    counts = sorted(tuple(r) for r in stored.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).collect())
+    starts = accumulate((n for _, n in counts), initial=0)
+    offsets = spark.createDataFrame([(p, at) for (p, _), at in zip(counts, starts)], "_part long, _offset long")
     # One row per partition of the sort: bounded by the partition count, not the data.
     numbered = stored.join(F.broadcast(offsets), "_part")
     return numbered.withColumn(pos_col, F.col("_offset") + F.col("_local")).drop("_part", "_local", "_offset")
 
 
-def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """(rows in the largest key group, rows in total): partial counts per task, two numbers to the driver."""
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    row = per_key.agg(F.max("_n").alias("m"), F.sum("_n").alias("t")).collect()[0]
-    return int(row.m or 0), int(row.t or 0)
-
-
 def chunked_window(
     df: DataFrame,
     keys: Sequence[str],
@@ -90,17 +83,13 @@ def chunked_window(
     lookback: int,
     columns: Callable[[WindowSpec], dict[str, Column]],
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
-    single_key: bool = False,
 ) -> DataFrame:
     """Add window columns whose frames reach at most ``lookback`` rows back.
 
     ``columns(w)`` receives a window spec and returns ``{name: expression over
     w}``; frames must stay within ``rowsBetween(-lookback, 0)``.  The spec is
-    per key ordered by ``order_by`` when the checked bound allows, else per
-    (key, chunk) ordered by position, which is the same order.  The output keeps the input
-    columns plus the new ones, sorted by (keys, order).  ``single_key=True``
-    tells that the input holds at most one key (e.g. filtered to one symbol), so
-    a plain count gives the group-size bound.
+    per (key, chunk) ordered by position, which is the order of ``order_by``.  The
+    output keeps the input columns plus the new ones, sorted by (keys, order).
     """
     if lookback < 0:
         raise ValueError("lookback must be >= 0")
@@ -108,27 +97,10 @@ def chunked_window(
         raise ValueError("chunk_rows must be at least lookback")
     out_cols = df.columns
     # The remaining columns break ties in ``order_by``: the order is then total (the
-    # same in both paths, run after run), and rows that tie on the given order
+    # same run after run), and rows that tie on the given order
     # can still be split by the range sort.  Only exact copies stay together.
     named = {c for c in [*keys, *order_by] if isinstance(c, str)}
     order_by = [*order_by, *[c for c in out_cols if c not in named]]
-    if single_key:
-        largest = total = df.count()
-    else:
-        largest, total = group_sizes(df, keys)
-    if largest <= chunk_rows:
-        # Checked bound: every key fits in one chunk, so one task per key is bounded.
-        w = Window.partitionBy(*keys).orderBy(*_cols(order_by))
-        new_cols = columns(w)
-        if total <= chunk_rows:
-            # All rows fit in one chunk: one task, and its local sort is the global order.
-            out = (df.repartition(1).withColumns(new_cols)
-                   .sortWithinPartitions(*keys, *_cols(order_by)))
-        else:
-            # Range-partitioning on the keys serves both the window (clustered by
-            # key) and the final ORDER BY (keys are its prefix): one exchange.
-            out = df.repartitionByRange(*keys).withColumns(new_cols).orderBy(*keys, *_cols(order_by))
-        return out.select(*out_cols, *new_cols.keys())
     numbered = number_rows(df, [*keys, *order_by], "_pos")
     # Each row goes to its own chunk; the last ``lookback`` rows of a chunk also go
     # to the next one as halo (one pass, no second scan).

@@ -33,7 +33,7 @@ SEGMENT = "BUILDING"
 ORDERS_LO, ORDERS_HI = "1996-01-01", "1997-01-01"
 DIGITS = 6
 # Chunk size of the "_chunked" variants: small enough that the focus symbol spans
-# several chunks from sf0.01 up, so the check covers the path taken at scale.
+# several chunks from sf0.01 up.
 CHECK_CHUNK_ROWS = 1000
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,6 +131,15 @@ def q_price_delta_chunked(spark, sf_dir):
     return A.price_delta(_tables(spark, sf_dir).table("kline_data"), FOCUS_SYMBOL, chunk_rows=CHECK_CHUNK_ROWS)
 
 
+def q_moving_average_5_all(spark, sf_dir):
+    """Every symbol, not only the focus one."""
+    return _round(A.moving_average(_tables(spark, sf_dir).table("kline_data"), None, 5), "ma5")
+
+
+def q_price_delta_all(spark, sf_dir):
+    return A.price_delta(_tables(spark, sf_dir).table("kline_data"))
+
+
 def q_count_between(spark, sf_dir):
     return A.count_between(_tables(spark, sf_dir).table("kline_data"), RANGE_LO, RANGE_HI)
 
@@ -152,12 +161,13 @@ def q_monthly_layout(spark, sf_dir):
 # -- the same operators on the star schema ----------------------------------
 
 def q_orders_by_segment(spark, sf_dir):
-    """JN1 + AGG2 shape on orders ⋈ customer: aggregate the fact first, then join the dimension."""
+    """JN1 + AGG2 shape on orders ⋈ customer: many keys with few rows each, so the fact is filtered first."""
     configure(spark)
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
     wanted = customer.where(F.col("c_mktsegment") == F.lit(SEGMENT))
-    out = A.avg_for_members(orders, wanted, "o_custkey", "c_custkey", "o_totalprice", "avg_totalprice")
+    out = A.avg_for_members(orders, wanted, "o_custkey", "c_custkey", "o_totalprice", "avg_totalprice",
+                            filter_first=True)
     return _round(out, "avg_totalprice")
 
 
@@ -185,6 +195,8 @@ QUERIES: dict[str, Query] = {
     "avg_volume_crypto": q_avg_volume_crypto,
     "moving_average_5": q_moving_average_5,
     "moving_average_5_chunked": q_moving_average_5_chunked,
+    "moving_average_5_all": q_moving_average_5_all,
+    "price_delta_all": q_price_delta_all,
     "count_between": q_count_between,
     "events_in_candles": q_events_in_candles,
     "price_delta": q_price_delta,

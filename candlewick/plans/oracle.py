@@ -158,6 +158,15 @@ ORACLE.update({
     "stream_symbols_state": ORACLE["symbols"],
     "moving_average_5_chunked": ORACLE["moving_average_5"],
     "price_delta_chunked": ORACLE["price_delta"],
+    "moving_average_5_all": _sql(f"""
+        select symbol, open_time, "close",
+          round(avg("close") over (partition by symbol {_ORDER} rows between 4 preceding and current row), {DIGITS}) as ma5
+        from kline_data"""),
+    "price_delta_all": _sql(f"""
+        select symbol, open_time, "close",
+          lag("close", 1) over (partition by symbol {_ORDER}) as prev_close,
+          "close" - lag("close", 1) over (partition by symbol {_ORDER}) as price_delta
+        from kline_data"""),
     "stream_fanout": _sql(f"""
         select 'kline_data' as table_name, count(*) as n from kline_data
         union all select 'kline_events', count(*) from kline_events

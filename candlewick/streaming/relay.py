@@ -16,8 +16,12 @@ from pyspark.sql.streaming import StreamingQuery
 def relay_records(messages: DataFrame, value_col: str = "value") -> DataFrame:
     """(key, value) rows ready for a topic sink; narrow, no shuffle."""
     v = F.col(value_col)
-    # A JSON object decodes; so does a bare `null` (it leaves the record empty).
-    ok = (v != F.lit("")) & (F.json_object_keys(v).isNotNull() | (F.trim(v) == F.lit("null")))
+    # A JSON object decodes; so does a bare `null` (it leaves the record empty).  The JSON functions stop
+    # after the first value, so text behind it is found by putting the message into an array, where it must
+    # be the only element, and into an object, where a stray closing bracket does not fit.
+    alone = (F.json_array_length(F.concat(F.lit("["), v, F.lit("]"))) == 1) & F.json_object_keys(
+        F.concat(F.lit('{"m":'), v, F.lit("}"))).isNotNull()
+    ok = (v != F.lit("")) & alone & (F.json_object_keys(v).isNotNull() | (F.trim(v) == F.lit("null")))
     kept = messages.where(ok)
     return kept.select(F.get_json_object(v, "$.s").alias("key"), v.alias("value"))
 

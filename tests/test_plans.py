@@ -51,19 +51,21 @@ def test_q6_one_window_node(wh):
     assert len(wins) == 1 and "lag(close" in wins[0]
 
 
-def test_small_groups_use_the_plain_window(wh):
-    # every symbol fits in a chunk (checked by one aggregate): the plain per-symbol window,
-    # range-partitioned by symbol (one exchange for the window and the final order)
-    p = plan(A.price_delta(wh.table("kline_data"), chunk_rows=500))
-    wins = _symbol_windows(p)
-    assert len(wins) == 1 and "_chunk" not in p
-    assert p.count("Exchange") == 1 and "rangepartitioning(symbol" in p
+@pytest.mark.parametrize("symbol", ["CLICKUSDT", None])
+def test_one_window_path_at_every_size(wh, symbol):
+    for df in (A.price_delta(wh.table("kline_data"), symbol), A.moving_average(wh.table("kline_data"), symbol)):
+        p = plan(df)
+        assert "SinglePartition" not in p and "_chunk" in p and "rangepartitioning(symbol" in p
 
 
-def test_tiny_result_uses_one_task(wh):
-    # the whole (filtered) input fits in one chunk: a single partition, locally sorted
-    p = plan(A.price_delta(wh.table("kline_data"), "CLICKUSDT"))
-    assert "_chunk" not in p and "rangepartitioning" not in p and "SinglePartition" in p
+def test_filter_first_drops_fact_rows_before_the_aggregate(wh, spark):
+    orders = spark.read.parquet(f"{SMOKE_DIR}/orders.parquet")
+    customer = spark.read.parquet(f"{SMOKE_DIR}/customer.parquet").where("c_mktsegment = 'BUILDING'")
+    args = (orders, customer, "o_custkey", "c_custkey", "o_totalprice", "a")
+    p = plan(A.avg_for_members(*args, filter_first=True))
+    assert "LeftSemi" in p and p.find("HashAggregate") < p.find("LeftSemi")
+    assert sorted((r[0], round(r[1], 6)) for r in A.avg_for_members(*args, filter_first=True).collect()) == sorted(
+        (r[0], round(r[1], 6)) for r in A.avg_for_members(*args).collect())
 
 
 def test_no_python_udf_in_batch_plans(wh):

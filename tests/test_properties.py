@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from candlewick.functions.time import time_range
-from candlewick.operators.joins import range_join_bucketed, range_join_naive, used_levels
+from candlewick.operators.joins import range_join_bucketed, range_join_naive
 from candlewick.operators.sequence import chunked_window
 
 BASE = dt.datetime(2024, 1, 1)
@@ -31,8 +31,7 @@ def test_bucketed_join_is_exact(spark, candles, events, levels):
                               "symbol string, event_time timestamp")
     cols = ["e.symbol", "e.event_time", "c.open_time", "c.close"]
     naive = sorted(tuple(r) for r in range_join_naive(e, c).select(*cols).collect())
-    lv = used_levels(c, levels_s=levels)
-    got = sorted(tuple(r) for r in range_join_bucketed(e, c, levels_s=levels, active_levels=lv).select(*cols).collect())
+    got = sorted(tuple(r) for r in range_join_bucketed(e, c, levels_s=levels).select(*cols).collect())
     assert got == naive
 
 

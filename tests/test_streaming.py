@@ -136,7 +136,9 @@ def test_batch_equals_stream_on_closed_windows(spark, fresh_dir):
 
 def test_relay(spark, fresh_dir):
     msgs = spark.createDataFrame([(kline_message("ETHBTC", B, 1.0),), (CONTROL,), ("",), ("{broken",),
-                                  ("[1,2]",), ("null",)], "value string")
+                                  ("[1,2]",), ("null",), ('{"s":"A"} junk',), ('{"s":"A"}{"s":"B"}',),
+                                  ('{"s":"A"},{"s":"B"}',), ('{"s":"A"}]',), ('{"s":"A"}}',), ('{"s":"A"}] {}',)],
+                                 "value string")
     got = sorted(((r.key, r.value) for r in relay_records(msgs).collect()), key=repr)
     assert got == sorted([("ETHBTC", kline_message("ETHBTC", B, 1.0)), (None, CONTROL), (None, "null")], key=repr)
     src = os.path.join(fresh_dir, "in")
