@@ -39,6 +39,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--max-per-trigger", type=int, default=None)
     s.add_argument("--strict-lateness", action="store_true")
+    s.add_argument("--mode", choices=("strict", "permissive"), default="strict")
 
     b = sub.add_parser("build", help="batch load of message files into the four tables")
     b.add_argument("--messages", required=True)
@@ -50,10 +51,11 @@ def _parser() -> argparse.ArgumentParser:
     f.add_argument("--warehouse", required=True)
     f.add_argument("--checkpoint", required=True)
     f.add_argument("--max-per-trigger", type=int, default=1000)
+    f.add_argument("--mode", choices=("strict", "permissive"), default="strict")
 
     c = sub.add_parser("compact", help="re-cluster month partitions of a table")
     c.add_argument("--warehouse", required=True)
-    c.add_argument("--table", required=True, choices=("kline_data", "kline_events"))
+    c.add_argument("--table", required=True, choices=("kline_data", "kline_events", "symbols", "kline_agg"))
     c.add_argument("--months", type=int, nargs="*", default=None)
 
     q = sub.add_parser("query", help="run an analyst query and write its result")
@@ -117,7 +119,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         else:
             raise SystemExit("stream needs --messages or --bootstrap and --topic")
         queries = start_fanout(messages, Warehouse(spark, args.warehouse), args.checkpoint,
-                               strict_lateness=args.strict_lateness, trigger=_trigger(args))
+                               mode=args.mode, strict_lateness=args.strict_lateness, trigger=_trigger(args))
         await_all(queries)
     elif args.cmd == "build":
         from candlewick.plans.ingest import build_warehouse
@@ -128,7 +130,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         from candlewick.plans.ingest import backfill_warehouse
         from candlewick.sources.warehouse import Warehouse
         backfill_warehouse(spark, args.messages, Warehouse(spark, args.warehouse), args.checkpoint,
-                           args.max_per_trigger)
+                           args.max_per_trigger, mode=args.mode)
     elif args.cmd == "compact":
         from candlewick.sources.warehouse import Warehouse
         Warehouse(spark, args.warehouse).compact(args.table, args.months)

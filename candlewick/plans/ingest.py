@@ -39,7 +39,8 @@ def build_warehouse(messages: DataFrame, warehouse: Warehouse, mode: str = "stri
     split windows that span both loads into two partial averages.  Increments
     go through the stream (``streaming.fanout.start_fanout``) or
     ``backfill_warehouse``, whose state carries windows and symbols across
-    batches.
+    batches; their loads stand next to this one in the same tables.  Cut between
+    build and stream at a window's end, or that window has an average from each.
     """
     klines = parse_klines(messages, mode).persist(StorageLevel.MEMORY_AND_DISK)
     tables = {
@@ -89,7 +90,7 @@ def _build_fixture_warehouse(spark: SparkSession, sf_dir: str, key: tuple[str, s
 
 def backfill_warehouse(spark: SparkSession, messages_path: str, warehouse: Warehouse, checkpoint_dir: str,
                        max_files_per_trigger: int = 1000, launched=None,
-                       asset_classes: dict[str, str] | None = None, idempotent: bool = True) -> None:
+                       asset_classes: dict[str, str] | None = None, mode: str = "strict") -> None:
     """Load a large folder of message files through the streaming fan-out, in bounded micro-batches.
 
     Nothing is cached across the whole input: each micro-batch (at most
@@ -103,5 +104,5 @@ def backfill_warehouse(spark: SparkSession, messages_path: str, warehouse: Wareh
 
     messages = stream_messages(spark, messages_path, max_files_per_trigger)
     queries = start_fanout(messages, warehouse, checkpoint_dir, launched=launched,
-                           asset_classes=asset_classes, idempotent=idempotent)
+                           asset_classes=asset_classes, mode=mode)
     await_all(queries)

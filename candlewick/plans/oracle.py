@@ -175,7 +175,15 @@ ORACLE.update({
           select symbol, date_trunc('minute', make_timestamp(close_ms * 1000)) as window_start
           from kline_data group by all) where {_WITHHELD}"""),
     "stream_relay": ORACLE["relay"],
+    "compact_after_backfill": ORACLE["kline_data"],
+    "stream_symbols_restart": ORACLE["symbols"],
     "stream_kline_data": ORACLE["kline_data"],
     "kline_permissive": _sql(f"select first_trade_id as event_id from kline_data where first_trade_id % {CORRUPT_MODULUS} <> 0"),
     "kline_rejects": _sql(f"select first_trade_id as event_id from kline_data where first_trade_id % {CORRUPT_MODULUS} = 0"),
 })
+
+ORACLE.update({
+    "build_then_stream": ORACLE["stream_avg_close"],
+    "build_then_stream_counts": ORACLE["stream_fanout"],
+    "stream_avg_close_batches": ORACLE["stream_avg_close"],
+})

@@ -17,17 +17,21 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.plans.ingest import FIXTURE_LAUNCHED
+from candlewick.plans.ingest import FIXTURE_LAUNCHED, backfill_warehouse, build_warehouse
 from candlewick.schemas import KLINE_AGG, LAYOUTS, SYMBOLS
 from candlewick.session import configure, scratch_path
-from candlewick.sources.fixtures import ASSET_CLASS_OVERRIDES, message_files
+from candlewick.sources.fixtures import ASSET_CLASS_OVERRIDES, events_to_messages, message_files, read_events
 from candlewick.sources.messages import stream_messages
-from candlewick.sources.warehouse import Warehouse, stored_schema
+from candlewick.sources.warehouse import Warehouse, read_table
 from candlewick.streaming.aggregate import start_kline_agg
 from candlewick.streaming.dedupe import start_symbols
 from candlewick.streaming.fanout import await_all, start_fanout
 from candlewick.streaming.relay import start_relay_to_files
 
+# Where the entries with several arrivals cut the events (hour ends, so windows' ends).
+CUTS = ("2024-01-08", "2024-01-15", "2024-01-22")
+
+
 def _source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_messages(configure(spark), message_files(spark, sf_dir))
 
@@ -44,6 +48,8 @@ def _symbols(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
     sink, ck = scratch_path(spark, "stream-symbols"), scratch_path(spark, "stream-symbols-ck")
     q = start_symbols(_source(spark, sf_dir), sink, ck, FIXTURE_LAUNCHED, ASSET_CLASS_OVERRIDES, method=method)
     q.awaitTermination()
+    if method == "merge":
+        return read_table(spark, sink, LAYOUTS["symbols"])
     return spark.read.schema(SYMBOLS).parquet(sink)
 
 
@@ -79,18 +85,79 @@ def q_stream_kline_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fanout_warehouse(configure(spark), sf_dir).table("kline_data").drop("month")
 
 
-def q_stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wh = fanout_warehouse(configure(spark), sf_dir)
+def _row_counts(wh: Warehouse) -> DataFrame:
     parts = []
     for name in ("kline_data", "kline_events", "symbols", "kline_agg"):
-        t = spark.read.schema(stored_schema(LAYOUTS[name])).parquet(wh.path(name))
-        parts.append(t.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n"))
+        parts.append(wh.table(name).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def q_stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _row_counts(fanout_warehouse(configure(spark), sf_dir))
+
+
+def _slice(spark: SparkSession, sf_dir: str, lo: str | None, hi: str | None) -> DataFrame:
+    """Messages of the events with lo <= ts < hi."""
+    events = read_events(configure(spark), sf_dir)
+    if lo is not None:
+        events = events.where(F.col("ts") >= F.lit(lo).cast("timestamp"))
+    if hi is not None:
+        events = events.where(F.col("ts") < F.lit(hi).cast("timestamp"))
+    return events_to_messages(events)
+
+
+def _built_then_streamed(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The events before the first cut as a batch build, the rest as a stream into the same tables."""
+    wh = Warehouse(spark, scratch_path(configure(spark), "build-then-stream"))
+    options = dict(launched=FIXTURE_LAUNCHED, asset_classes=ASSET_CLASS_OVERRIDES)
+    build_warehouse(_slice(spark, sf_dir, None, CUTS[1]), wh, **options)
+    folder = scratch_path(spark, "messages")
+    _slice(spark, sf_dir, CUTS[1], None).write.text(folder)
+    await_all(start_fanout(stream_messages(spark, folder), wh, scratch_path(spark, "build-then-stream-ck"), **options))
+    return wh
+
+
+def q_build_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``kline_agg`` after a batch build and a stream (the cut lies at a window's end, so none is split)."""
+    return _built_then_streamed(spark, sf_dir).table("kline_agg").select(
+        "symbol", "window_start", F.round("avg_close", 6).alias("avg_close"))
+
+
+def q_build_then_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _row_counts(_built_then_streamed(spark, sf_dir))
+
+
+def q_compact_after_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``kline_data`` after a backfill in several micro-batches and a compaction."""
+    wh = Warehouse(spark, scratch_path(configure(spark), "backfilled"))
+    backfill_warehouse(spark, message_files(spark, sf_dir), wh, scratch_path(spark, "backfill-ck"),
+                       max_files_per_trigger=4, launched=FIXTURE_LAUNCHED, asset_classes=ASSET_CLASS_OVERRIDES)
+    for name in ("kline_data", "kline_events", "symbols", "kline_agg"):
+        wh.compact(name)
+    return wh.table("kline_data").drop("month")
+
+
+def q_stream_avg_close_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windowed average over files that arrive slice by slice, the query restarted for each (strict lateness)."""
+    folder, sink, ck = (scratch_path(configure(spark), n) for n in ("messages", "stream-agg", "stream-agg-ck"))
+    for lo, hi in zip((None, *CUTS), (*CUTS, None)):
+        _slice(spark, sf_dir, lo, hi).write.mode("append").text(folder)
+        start_kline_agg(stream_messages(spark, folder), sink, ck, strict=True).awaitTermination()
+    return spark.read.schema(KLINE_AGG).parquet(sink).withColumn("avg_close", F.round("avg_close", 6))
+
+
+def q_stream_symbols_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The symbols over the same arrivals and restarts."""
+    folder, sink, ck = (scratch_path(configure(spark), n) for n in ("messages", "stream-symbols", "stream-symbols-ck"))
+    for lo, hi in zip((None, *CUTS), (*CUTS, None)):
+        _slice(spark, sf_dir, lo, hi).write.mode("append").text(folder)
+        start_symbols(stream_messages(spark, folder), sink, ck, FIXTURE_LAUNCHED, ASSET_CLASS_OVERRIDES).awaitTermination()
+    return read_table(spark, sink, LAYOUTS["symbols"])
+
+
 def q_stream_relay(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink, ck = scratch_path(spark, "stream-relay"), scratch_path(spark, "stream-relay-ck")
     q = start_relay_to_files(_source(spark, sf_dir), sink, ck)
@@ -105,4 +172,9 @@ STREAM_QUERIES = {
     "stream_fanout": q_stream_fanout,
     "stream_relay": q_stream_relay,
     "stream_kline_data": q_stream_kline_data,
+    "build_then_stream": q_build_then_stream,
+    "build_then_stream_counts": q_build_then_stream_counts,
+    "compact_after_backfill": q_compact_after_backfill,
+    "stream_avg_close_batches": q_stream_avg_close_batches,
+    "stream_symbols_restart": q_stream_symbols_restart,
 }

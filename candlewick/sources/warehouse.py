@@ -1,13 +1,19 @@
-"""The four tables at rest: Parquet folders, month-partitioned and sorted.
-
-``month`` (yyyymm of the layout's time column) is a partition folder, so a
-time-range query that also filters ``month`` (see ``functions.time_range``)
-skips whole months; inside each file rows are sorted by the layout's key, so
-Parquet row-group min/max statistics skip most of the rest.
+"""The four tables at rest: Parquet folders by load and month, sorted.
+
+Every writer uses one layout, ``load=<id>/month=<yyyymm>/``: a batch build, each
+micro-batch of a backfill or live stream, and a compaction are loads.  Writing a load
+again replaces it, so a replayed batch repeats nothing, and any mix of writers stays
+readable as one table.  ``month`` (yyyymm of the layout's time column) lets a
+time-range query that also filters ``month`` (see ``functions.time_range``) skip whole
+months; inside each file rows are sorted by the layout's key, so Parquet row-group
+min/max statistics skip most of the rest.  Tables without a time column have loads only.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +26,7 @@ MAX_RECORDS_PER_FILE = 5_000_000
 
 
 def stored_schema(layout: TableLayout) -> T.StructType:
-    fields = list(layout.schema.fields)
+    fields = [*layout.schema.fields, T.StructField("load", T.StringType())]
     if layout.month_of:
         fields.append(T.StructField("month", T.IntegerType()))
     return T.StructType(fields)
@@ -33,9 +39,16 @@ def with_layout_columns(df: DataFrame, layout: TableLayout) -> DataFrame:
     return df.select(*cols)
 
 
+def stream_load(checkpoint: str, batch_id: int) -> str:
+    """Load id of a stream's micro-batch: the same for every replay, different for every checkpoint."""
+    return f"{hashlib.sha1(checkpoint.rstrip('/').encode()).hexdigest()[:12]}-{batch_id}"
+
+
 def write_table(df: DataFrame, path: str, layout: TableLayout, mode: str = "append",
-                clustered: bool = True) -> None:
-    """Write ``df`` in the table's layout.
+                clustered: bool = True, load: str | None = None) -> None:
+    """Write ``df`` in the table's layout as one load (a new one if ``load`` is None).
+
+    ``mode="append"`` replaces that load only, ``"overwrite"`` the whole table.
 
     ``clustered=True`` first rebalances on (month, symbol): rows of one symbol
     and month land together, AQE merges small partitions, and a partition that
@@ -51,14 +64,20 @@ def write_table(df: DataFrame, path: str, layout: TableLayout, mode: str = "appe
     if clustered:
         out = out.hint("rebalance", *layout.partition_by, layout.sort_by[0])
     out = out.sortWithinPartitions(*keys)
-    writer = out.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-    if layout.partition_by:
-        writer = writer.partitionBy(*layout.partition_by)
+    load = load or uuid.uuid4().hex
+    parts = list(layout.partition_by)
+    if mode == "overwrite":
+        out, parts = out.withColumn("load", F.lit(load)), ["load", *parts]
+    else:
+        path = f"{path}/load={load}"
+    writer = out.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+    if parts:
+        writer = writer.partitionBy(*parts)
     writer.parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, layout: TableLayout) -> DataFrame:
-    return spark.read.schema(stored_schema(layout)).parquet(path)
+    return spark.read.schema(stored_schema(layout)).parquet(path).drop("load")
 
 
 class Warehouse:
@@ -74,58 +93,63 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.path(name), LAYOUTS[name])
 
-    def write(self, name: str, df: DataFrame, mode: str = "append", clustered: bool = True) -> None:
-        write_table(df, self.path(name), LAYOUTS[name], mode, clustered)
+    def write(self, name: str, df: DataFrame, mode: str = "append", clustered: bool = True,
+              load: str | None = None) -> None:
+        write_table(df, self.path(name), LAYOUTS[name], mode, clustered, load)
+
+    def write_rejects(self, messages: DataFrame, load: str) -> None:
+        """Messages (``value``) that did not parse, as one load."""
+        messages.select("value").write.mode("overwrite").parquet(f"{self.path('rejects')}/load={load}")
+
+    def rejects(self) -> DataFrame:
+        self._mkdirs("rejects")
+        return self.spark.read.schema("value string, load string").parquet(self.path("rejects")).drop("load")
+
+    def _fs(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _mkdirs(self, name: str) -> None:
+        fs, p = self._fs(self.path(name))
+        fs.mkdirs(p)
 
     def create_if_missing(self) -> None:
-        """``CREATE TABLE IF NOT EXISTS`` equivalent: an empty table with its schema."""
-        for name, layout in LAYOUTS.items():
-            if not self.exists(name):
-                empty = self.spark.createDataFrame([], layout.schema)
-                write_table(empty, self.path(name), layout, "append", clustered=False)
+        """``CREATE TABLE IF NOT EXISTS`` equivalent: a folder without loads is an empty table."""
+        for name in LAYOUTS:
+            self._mkdirs(name)
+
+    def exists(self, name: str) -> bool:
+        fs, p = self._fs(self.path(name))
+        return fs.exists(p)
 
     def compact(self, name: str, months: list[int] | None = None) -> None:
-        """Re-cluster month partitions that streaming appends left as many small files.
-
-        Micro-batches are only sorted within each task; this rewrites the chosen
-        months (all if ``None``) clustered and sorted, like a batch write.
-        The rows are staged under the checkpoint folder first (a path cannot be
-        read and overwritten by one job), then only those month folders are
-        replaced (dynamic partition overwrite); other months are untouched.
-        Run it on months that no longer receive appends (e.g. last month once the
-        stream's watermark is past it): rows appended to a month while it is being
-        compacted would be replaced.  Not for tables written with per-batch folders.
+        """Rewrite the loads there are (only ``months`` of them, if given) as one clustered and sorted load.
+
+        Micro-batches are only sorted within each task and leave many small files.  The
+        new load is written under a hidden name first; then the months it replaces are
+        deleted and it takes its name.  Loads that arrive meanwhile are not touched.  If
+        the job ends in between, the hidden folder ``_compact=...`` still holds all rows.
+        Leave out months whose last batch may still be replayed: a replay writes its own
+        load again.
         """
-        from candlewick.session import scratch_path
-
         layout = LAYOUTS[name]
-        if not layout.month_of:
+        if months is not None and not layout.month_of:
             raise ValueError(f"{name} has no month partitions")
-        current = self.table(name)
+        root = self.path(name)
+        fs, p = self._fs(root)
+        loads = [f.getPath().getName() for f in fs.listStatus(p) if f.getPath().getName().startswith("load=")]
+        if not loads:
+            return
+        current = self.spark.read.schema(stored_schema(layout)).option("basePath", root).parquet(
+            *[f"{root}/{x}" for x in loads])
         if months is not None:
             current = current.where(F.col("month").isin([int(m) for m in months]))
-        staged = scratch_path(self.spark, "compact", name)
-        write_table(current.drop("month"), staged, layout, "overwrite", clustered=True)
-        key = "spark.sql.sources.partitionOverwriteMode"
-        old = self.spark.conf.get(key, None)
-        self.spark.conf.set(key, "dynamic")
-        try:
-            write_table(read_table(self.spark, staged, layout).drop("month"), self.path(name), layout,
-                        "overwrite", clustered=True)
-        finally:
-            self.spark.conf.set(key, old) if old is not None else self.spark.conf.unset(key)
-
-    def exists(self, name: str) -> bool:
-        try:
-            self.spark.read.schema(stored_schema(LAYOUTS[name])).parquet(self.path(name)).schema
-            return _has_success(self.spark, self.path(name))
-        except Exception:
-            return False
-
-
-def _has_success(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(f"{path}/_SUCCESS")
-        return True
-    except Exception:
-        return False
+        own = uuid.uuid4().hex
+        write_table(current, f"{root}/_compact={own}", layout, "append", load=own)
+        for x in loads:
+            gone = [f"{root}/{x}"] if months is None else [f"{root}/{x}/month={int(m)}" for m in months]
+            for g in gone:
+                fs.delete(self._fs(g)[1], True)
+        if not fs.rename(self._fs(f"{root}/_compact={own}/load={own}")[1], self._fs(f"{root}/load={own}")[1]):
+            raise OSError(f"could not rename the compacted load in {root}/_compact={own}")
+        fs.delete(self._fs(f"{root}/_compact={own}")[1], True)

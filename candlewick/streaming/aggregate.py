@@ -18,7 +18,8 @@ from pyspark.sql.streaming import StreamingQuery
 from candlewick.operators.parse import parse_klines
 from candlewick.operators.tables import to_candles
 from candlewick.operators.windows import avg_close
-from candlewick.schemas import AGG_WATERMARK_DELAY, AGG_WINDOW
+from candlewick.schemas import AGG_WATERMARK_DELAY, AGG_WINDOW, LAYOUTS
+from candlewick.sources.warehouse import stream_load, write_table
 
 STRICT_LATENESS_CONF = "spark.sql.streaming.statefulOperator.allowMultiple"
 
@@ -47,12 +48,29 @@ def kline_agg_stream(messages: DataFrame, window: str = AGG_WINDOW, delay: str =
 
 def start_kline_agg(messages: DataFrame, sink_path: str, checkpoint: str, window: str = AGG_WINDOW,
                     delay: str = AGG_WATERMARK_DELAY, strict: bool = False, trigger: dict | None = None,
-                    fmt: str = "parquet", mode: str = "strict") -> StreamingQuery:
-    """Start the append-mode windowed average into a file sink (exactly-once via the sink log)."""
+                    fmt: str = "parquet", mode: str = "strict", table: bool = False) -> StreamingQuery:
+    """Start the append-mode windowed average.
+
+    Into a file sink (exactly-once via the sink's log, whose readers see the stream's files
+    only), or with ``table=True`` into the warehouse table at ``sink_path``: each
+    micro-batch is a load there, next to loads of batch builds and other streams.  A window
+    whose updates are spread over two of those has one average from each.
+    """
     spark = messages.sparkSession
     agg = kline_agg_stream(messages, window, delay, mode)
-    writer = (agg.writeStream.outputMode("append").format(fmt)
-              .option("path", sink_path).option("checkpointLocation", checkpoint))
+    writer = agg.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    if table:
+        def write(batch: DataFrame, batch_id: int) -> None:
+            batch = batch.persist()
+            try:
+                if not batch.isEmpty():
+                    write_table(batch, sink_path, LAYOUTS["kline_agg"], clustered=False,
+                                load=stream_load(checkpoint, batch_id))
+            finally:
+                batch.unpersist()
+        writer = writer.foreachBatch(write)
+    else:
+        writer = writer.format(fmt).option("path", sink_path)
     writer = writer.trigger(**(trigger or {"availableNow": True}))
     # The setting is read when the query plans its first batch; it is stored in the
     # checkpoint with the query, so restoring the session value afterwards is safe.

@@ -23,7 +23,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from candlewick.operators.parse import parse_klines
 from candlewick.operators.tables import to_symbols
-from candlewick.schemas import SYMBOLS
+from candlewick.schemas import LAYOUTS
+from candlewick.sources.warehouse import read_table, stream_load, write_table
 
 METHODS = ("merge", "state")
 
@@ -34,17 +35,22 @@ def symbols_stream(messages: DataFrame, launched=None, asset_classes: dict[str,
     return to_symbols(parse_klines(messages, mode), launched, asset_classes)
 
 
-def _merge_writer(sink_path: str, launched, asset_classes, mode: str):
+def add_symbols(fresh: DataFrame, sink_path: str, load: str) -> None:
+    """Append the symbols that the table does not hold yet, as one load; no file if there are none."""
+    spark = fresh.sparkSession
+    stored = read_table(spark, sink_path, LAYOUTS["symbols"]).select("symbol")
+    new = fresh.join(stored, "symbol", "left_anti").persist()
+    try:
+        if not new.isEmpty():
+            write_table(new, sink_path, LAYOUTS["symbols"], clustered=False, load=load)
+    finally:
+        new.unpersist()
+
+
+def _merge_writer(sink_path: str, launched, asset_classes, mode: str, checkpoint: str = ""):
     def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         fresh = to_symbols(parse_klines(batch, mode), launched, asset_classes)
-        stored = spark.read.schema(SYMBOLS).parquet(sink_path).select("symbol")
-        new = fresh.join(stored, "symbol", "left_anti").persist()
-        try:
-            if not new.isEmpty():  # a batch of known symbols leaves no file
-                new.write.mode("append").parquet(sink_path)
-        finally:
-            new.unpersist()
+        add_symbols(fresh, sink_path, stream_load(checkpoint, batch_id))
     return merge
 
 
@@ -60,7 +66,7 @@ def start_symbols(messages: DataFrame, sink_path: str, checkpoint: str, launched
                 .option("path", sink_path).option("checkpointLocation", checkpoint)
                 .trigger(**trig).start())
     spark = messages.sparkSession
-    # Create the table if it is missing (appending no rows leaves the schema in place).
-    spark.createDataFrame([], SYMBOLS).write.mode("append").parquet(sink_path)
-    return (messages.writeStream.foreachBatch(_merge_writer(sink_path, launched, asset_classes, mode))
+    root = spark._jvm.org.apache.hadoop.fs.Path(sink_path)
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(root)
+    return (messages.writeStream.foreachBatch(_merge_writer(sink_path, launched, asset_classes, mode, checkpoint))
             .option("checkpointLocation", checkpoint).trigger(**trig).start())

@@ -1,15 +1,15 @@
 """One message stream fanned out to the four tables.
 
-* the two stateless tables (``kline_data``, ``kline_events``) share one query:
-  each micro-batch is parsed once, persisted, and appended to both tables
-  (``foreachBatch``), sorted within each task and month-partitioned;
-* ``symbols`` and ``kline_agg`` are stateful and each run as their own query with
-  their own checkpoint (each rereads the source; a topic read is cheap, state
-  handling stays Spark's).
-
-``foreachBatch`` is at-least-once: a batch replayed after a failure is written
-again.  ``idempotent=True`` writes each batch to ``batch=<id>`` sub-folders with
-overwrite, so a replay replaces its own output instead of duplicating it.
+* ``kline_data``, ``kline_events`` and ``symbols`` share one query: each micro-batch is
+  parsed once, persisted, and written to the tables (``foreachBatch``), sorted within
+  each task and month-partitioned; of the symbols, only those not stored yet;
+* ``kline_agg`` is stateful and runs as its own query with its own checkpoint (it rereads
+  the source; a topic read is cheap, state handling stays Spark's).
+
+``foreachBatch`` is at-least-once, so each micro-batch is a load of its own, named after
+checkpoint and batch: a replay replaces its output.  Tables built before by a batch job,
+a backfill or another stream are simply other loads.  In permissive mode the messages
+that do not parse go to the warehouse's rejects.
 """
 
 from __future__ import annotations
@@ -18,24 +18,24 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from candlewick.operators.parse import parse_klines
-from candlewick.operators.tables import to_kline_data, to_kline_events
-from candlewick.schemas import AGG_WATERMARK_DELAY, AGG_WINDOW, LAYOUTS
-from candlewick.sources.warehouse import Warehouse, write_table
+from candlewick.operators.parse import kline_rejects, parse_klines
+from candlewick.operators.tables import to_kline_data, to_kline_events, to_symbols
+from candlewick.schemas import AGG_WATERMARK_DELAY, AGG_WINDOW
+from candlewick.sources.warehouse import Warehouse, stream_load
 from candlewick.streaming.aggregate import start_kline_agg
-from candlewick.streaming.dedupe import start_symbols
+from candlewick.streaming.dedupe import add_symbols
 
 
-def _stateless_writer(warehouse: Warehouse, mode: str, idempotent: bool):
+def _stateless_writer(warehouse: Warehouse, mode: str, checkpoint: str, launched, asset_classes):
     def write(batch: DataFrame, batch_id: int) -> None:
+        load = stream_load(checkpoint, batch_id)
         klines = parse_klines(batch, mode).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            for name, frame in (("kline_data", to_kline_data(klines)), ("kline_events", to_kline_events(klines))):
-                if idempotent:
-                    path = f"{warehouse.path(name)}/batch={batch_id}"
-                    write_table(frame, path, LAYOUTS[name], "overwrite", clustered=False)
-                else:
-                    warehouse.write(name, frame, "append", clustered=False)
+            warehouse.write("kline_data", to_kline_data(klines), clustered=False, load=load)
+            warehouse.write("kline_events", to_kline_events(klines), clustered=False, load=load)
+            add_symbols(to_symbols(klines, launched, asset_classes), warehouse.path("symbols"), load)
+            if mode == "permissive":
+                warehouse.write_rejects(kline_rejects(batch), load)
         finally:
             klines.unpersist()
     return write
@@ -44,16 +44,16 @@ def _stateless_writer(warehouse: Warehouse, mode: str, idempotent: bool):
 def start_fanout(messages: DataFrame, warehouse: Warehouse, checkpoint_dir: str, mode: str = "strict",
                  launched=None, asset_classes: dict[str, str] | None = None, window: str = AGG_WINDOW,
                  delay: str = AGG_WATERMARK_DELAY, strict_lateness: bool = False,
-                 trigger: dict | None = None, idempotent: bool = False) -> dict[str, StreamingQuery]:
+                 trigger: dict | None = None) -> dict[str, StreamingQuery]:
     trig = trigger or {"availableNow": True}
     ck = checkpoint_dir.rstrip("/")
-    stateless = (messages.writeStream.foreachBatch(_stateless_writer(warehouse, mode, idempotent))
+    warehouse.create_if_missing()
+    writer = _stateless_writer(warehouse, mode, f"{ck}/stateless", launched, asset_classes)
+    stateless = (messages.writeStream.foreachBatch(writer)
                  .option("checkpointLocation", f"{ck}/stateless").trigger(**trig).start())
-    symbols = start_symbols(messages, warehouse.path("symbols"), f"{ck}/symbols", launched, asset_classes, trig,
-                            mode=mode)
     agg = start_kline_agg(messages, warehouse.path("kline_agg"), f"{ck}/kline_agg", window, delay,
-                          strict_lateness, trig, mode=mode)
-    return {"stateless": stateless, "symbols": symbols, "kline_agg": agg}
+                          strict_lateness, trig, mode=mode, table=True)
+    return {"stateless": stateless, "kline_agg": agg}
 
 
 def await_all(queries: dict[str, StreamingQuery], timeout_s: float | None = None) -> None:

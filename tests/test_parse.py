@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from candlewick.operators.parse import kline_rejects, parse_klines, parse_trades, trade_headers, trade_rejects
 from candlewick.operators.tables import to_candles, to_kline_data, to_kline_events, to_symbols
 from candlewick.operators.windows import avg_close
-from conftest import CONTROL, SAMPLE
+from conftest import CONTROL, SAMPLE, kline_message
 
 
 def msgs(spark, *values):
@@ -120,3 +120,11 @@ def test_symbols_launched_defaults_to_processing_date(spark):
     row = to_symbols(k).collect()[0]
     today = spark.sql("select current_date() as d").collect()[0].d
     assert row.launched == today
+
+
+def test_absent_numbers_and_booleans_have_defaults(spark):
+    msg = kline_message("A", 1752397319999, 1.0).replace('"n":1,', "").replace('"x":false,', "")
+    row = parse_klines(spark.createDataFrame([(msg,)], "value string")).first()
+    assert (row.trade_count, row.is_closed) == (0, False)
+    no_close = msg.replace('"c":"1.00000000",', "")
+    assert kline_rejects(spark.createDataFrame([(no_close,), (msg,)], "value string")).count() == 1

@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+from pathlib import Path
 
 
 from candlewick.functions.time import month_key, time_range, yyyymm
@@ -26,14 +27,14 @@ def test_write_month_partitioned_sorted(spark, fresh_dir):
     msgs = [kline_message(s, B + 86400000 * 40 * i + 59999, float(i), first=i) for i in range(6) for s in ("B", "A")]
     kd = to_kline_data(parse_klines(spark.createDataFrame([(m,) for m in msgs], "value string")))
     path = os.path.join(fresh_dir, "kline_data")
-    write_table(kd, path, LAYOUTS["kline_data"], "overwrite")
-    months = sorted(d for d in os.listdir(path) if d.startswith("month="))
+    write_table(kd, path, LAYOUTS["kline_data"], "overwrite", load="one")
+    months = sorted(d for d in os.listdir(os.path.join(path, "load=one")) if d.startswith("month="))
     assert months == ["month=202507", "month=202508", "month=202510", "month=202511", "month=202512", "month=202601"]
     back = read_table(spark, path, LAYOUTS["kline_data"])
     assert back.count() == 12 and "month" in back.columns
     # rows inside every file are in (symbol, interval, open_time) order
     for m in months:
-        part = spark.read.parquet(os.path.join(path, m)).collect()
+        part = spark.read.parquet(os.path.join(path, "load=one", m)).collect()
         keys = [(r.symbol, r.interval, r.open_time) for r in part]
         assert keys == sorted(keys)
 
@@ -78,19 +79,18 @@ def test_compact_rewrites_only_the_chosen_months(spark, fresh_dir):
     for i in range(4):   # four small appends into July, one into August
         wh.write("kline_data", batch(i, 0), "append", clustered=False)
     wh.write("kline_data", batch(9, 1), "append", clustered=False)
-    july = os.path.join(fresh_dir, "kline_data", "month=202507")
-    aug = os.path.join(fresh_dir, "kline_data", "month=202508")
-    aug_files = sorted(os.listdir(aug))
+    def files(month):
+        return sorted(str(f) for f in Path(fresh_dir, "kline_data").glob(f"load=*/month={month}/*.parquet"))
+    aug_files = files(202508)
     before = sorted(tuple(r) for r in wh.table("kline_data").collect())
-    assert len([f for f in os.listdir(july) if f.endswith(".parquet")]) >= 4
+    assert len(files(202507)) >= 4
     wh.compact("kline_data", [202507])
     assert sorted(tuple(r) for r in wh.table("kline_data").collect()) == before
-    files = [f for f in os.listdir(july) if f.endswith(".parquet")]
-    assert len(files) == 1
-    rows = spark.read.parquet(os.path.join(july, files[0])).collect()
+    assert len(files(202507)) == 1
+    rows = spark.read.parquet(files(202507)[0]).collect()
     keys = [(r.symbol, r.interval, r.open_time) for r in rows]
     assert keys == sorted(keys)
-    assert sorted(os.listdir(aug)) == aug_files
+    assert files(202508) == aug_files
 
 
 def test_hot_identical_key_is_split_on_write(spark, fresh_dir):
@@ -103,10 +103,10 @@ def test_hot_identical_key_is_split_on_write(spark, fresh_dir):
     spark.conf.set(key, "1k")
     try:
         path = os.path.join(fresh_dir, "kd")
-        write_table(kd, path, LAYOUTS["kline_data"], "overwrite")
+        write_table(kd, path, LAYOUTS["kline_data"], "overwrite", load="one")
     finally:
         spark.conf.set(key, old)
-    files = [f for f in os.listdir(os.path.join(path, "month=202507")) if f.endswith(".parquet")]
+    files = [f for f in os.listdir(os.path.join(path, "load=one", "month=202507")) if f.endswith(".parquet")]
     assert len(files) >= 2    # one hot key, several writing tasks
     assert read_table(spark, path, LAYOUTS["kline_data"]).count() == 4000
 

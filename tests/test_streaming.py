@@ -84,7 +84,7 @@ def test_merge_dedupe_replay_appends_nothing(spark, fresh_dir):
     """Re-running a batch (as after a failure) finds its symbols stored already."""
     from candlewick.streaming.dedupe import _merge_writer
     out = os.path.join(fresh_dir, "out")
-    spark.createDataFrame([], SYMBOLS).write.mode("append").parquet(out)
+    os.makedirs(out)
     batch = spark.createDataFrame([(kline_message("ETHBTC", B + 59999, 1.0),)] * 3, "value string")
     writer = _merge_writer(out, "2025-07-13", None, "strict")
     writer(batch, 0)
@@ -100,23 +100,24 @@ def test_fanout_row_counts(spark, fresh_dir):
     await_all(queries)
     counts = {n: wh.table(n).count() for n in ("kline_data", "kline_events", "symbols", "kline_agg")}
     assert counts == {"kline_data": 6, "kline_events": 6, "symbols": 2, "kline_agg": 2}
-    # month partition folder written by the stateless sink
-    assert os.path.isdir(os.path.join(fresh_dir, "wh", "kline_data", "month=202507"))
-
-
-def test_fanout_idempotent_batches(spark, fresh_dir):
-    src = os.path.join(fresh_dir, "in")
-    write_files(src, FILES)
-    wh = Warehouse(spark, os.path.join(fresh_dir, "wh"))
-    queries = start_fanout(stream_messages(spark, src, 1), wh, os.path.join(fresh_dir, "ck"),
-                           launched="2025-07-13", idempotent=True)
-    await_all(queries)
-    assert sorted(d for d in os.listdir(os.path.join(fresh_dir, "wh", "kline_data")) if d.startswith("batch=")) == [
-        "batch=0", "batch=1", "batch=2", "batch=3"]
-    assert spark.read.parquet(os.path.join(fresh_dir, "wh", "kline_data")).count() == 6
-    # the analyst side reads it through the table layout (``batch`` appears as an extra partition column)
-    from candlewick.operators.analytics import count_between
-    assert count_between(wh.table("kline_data"), "2025-07-01", "2025-08-01").collect()[0].n == 6
+    # one load for every micro-batch, month folders inside
+    loads = [d for d in os.listdir(os.path.join(fresh_dir, "wh", "kline_data")) if d.startswith("load=")]
+    assert len(loads) == 4
+    assert os.path.isdir(os.path.join(fresh_dir, "wh", "kline_data", loads[0], "month=202507"))
+
+
+def test_replayed_batch_changes_nothing(spark, fresh_dir):
+    from candlewick.streaming.fanout import _stateless_writer
+    wh = Warehouse(spark, fresh_dir)
+    wh.create_if_missing()
+    write = _stateless_writer(wh, "permissive", "/ck", "2025-07-13", None)
+    bad = kline_message("A", B + 179999, 1.0).replace('"c":"1.00000000"', '"c":"x"')
+    batch = spark.createDataFrame([(kline_message("A", B + 59999, 1.0),), (bad,)], "value string")
+    for _ in range(2):
+        write(batch, 7)
+    assert {n: wh.table(n).count() for n in ("kline_data", "kline_events", "symbols")} == {
+        "kline_data": 1, "kline_events": 1, "symbols": 1}
+    assert [r.value for r in wh.rejects().collect()] == [bad]
 
 
 def test_batch_equals_stream_on_closed_windows(spark, fresh_dir):
@@ -186,7 +187,7 @@ def test_backfill_in_bounded_batches(spark, fresh_dir):
 def test_known_symbols_leave_no_files(spark, fresh_dir):
     from candlewick.streaming.dedupe import _merge_writer
     out = os.path.join(fresh_dir, "out")
-    spark.createDataFrame([], SYMBOLS).write.mode("append").parquet(out)
+    os.makedirs(out)
     batch = spark.createDataFrame([(kline_message("ETHBTC", B + 59999, 1.0),)], "value string")
     writer = _merge_writer(out, "2025-07-13", None, "strict")
     writer(batch, 0)
