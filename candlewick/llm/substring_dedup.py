@@ -14,6 +14,11 @@ over all windows it stands for.
    Their windows are compared one by one (by 128 bits of hash: the anchor's and the
    window's), again in a shuffle by content.  A window of a represented seed that has an
    earlier equal is always found here or in step 1, so the result is exact.
+   An anchor with ``hot`` different extensions in one slice already differs there: its
+   seeds skip step 1 and go to this comparison at once, and the slice sends a single
+   witness to the anchor's list, which makes the seeds of other slices be compared too.
+   So a phrase that a third of all documents hold in different surroundings is spread
+   by the content around it, and its list gets less than ``hot`` rows a slice.
 3. The marked windows return to their documents, which drop the covered words.
 
 Words are runs of anything but ASCII white space, unchanged.  Null and empty texts have
@@ -38,6 +43,8 @@ from xxhash import xxh64_intdigest
 from candlewick.llm._common import coded, expand, materialise, plain, shuffle_parts, split_words, text_slices
 
 WINDOW, GRAM = 20, 5
+#: Different extensions of one anchor in a slice from which on its seeds are spread by content.
+HOT = 8
 
 U = np.uint64
 _BASE = (U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F))
@@ -107,7 +114,10 @@ def seeds(words: pa.Array, offs: np.ndarray, window: int = WINDOW, gram: int = G
     return doc[begin], begin_word, last, key[own[begin]], whole, seq
 
 
-SEED = "far boolean, key long, whole long, doc_id long, tie int, first int, last int"
+#: How far a seed has come: to be compared with its anchor's list, a repeat, or to be compared by windows.
+OPEN, REPEAT, CHECK = 0, 1, 2
+SEED = "far byte, key long, whole long, doc_id long, tie int, first int, last int"
+NAMES = ["far", "key", "whole", "doc_id", "tie", "first", "last"]
 MARK = "doc_id long, tie int, first int, last int, check boolean"
 
 
@@ -129,7 +139,7 @@ def _earliest(group: list[np.ndarray], doc: np.ndarray, null: np.ndarray, start:
     return out
 
 
-def _cut(window: int, gram: int):
+def _cut(window: int, gram: int, hot: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, text in text_slices(batch):
@@ -140,18 +150,28 @@ def _cut(window: int, gram: int):
                 doc_id = pc.fill_null(ids, 0).to_numpy(zero_copy_only=False)[doc]
                 tie = _text_tie(text)[doc]
                 lead = _earliest([key, whole], doc_id, null, first - offs[doc])
+                far = np.where(lead, OPEN, REPEAT).astype(np.int8)
+                own = np.flatnonzero(lead)
+                anchors, place, n = np.unique(key[own], return_inverse=True, return_counts=True)
+                far[own[n[place] >= hot]] = CHECK
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(~lead), pa.array(key.view(np.int64)), pa.array(whole.view(np.int64)),
+                    [pa.array(far), pa.array(key.view(np.int64)), pa.array(whole.view(np.int64)),
                      pa.array(doc_id, mask=null), pa.array(tie),
                      pa.array((first - offs[doc]).astype(np.int32)), pa.array((last - offs[doc]).astype(np.int32))],
-                    names=["far", "key", "whole", "doc_id", "tie", "first", "last"])
+                    names=NAMES)
+                # A witness has an extension of its own and stands nowhere (first is -1).
+                seen = anchors[n >= hot]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(seen), OPEN, np.int8)), pa.array(seen.view(np.int64)),
+                     pa.array((~seen).view(np.int64)), pa.nulls(len(seen), pa.int64()),
+                     *[pa.array(np.full(len(seen), -1, np.int32)) for _ in range(3)]], names=NAMES)
     return run
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (far, key, whole, place).  Holds one row between batches.
 
-    far rows are repeats already.  Of the others, a row that is not the first of its
+    Rows that are not OPEN pass.  Of the others, a row that is not the first of its
     (key, whole) is a repeat; a first one must be checked if its key has another whole.
     """
     held: pa.Table | None = None
@@ -166,10 +186,10 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         far = batch.column(0).to_numpy(zero_copy_only=False)
         rows = pa.Table.from_batches([batch])
-        near = rows.filter(pa.array(~far))
-        if far.any():
-            done = rows.filter(pa.array(far))
-            yield marks(done, np.zeros(done.num_rows, bool))
+        near = rows.filter(pa.array(far == OPEN))
+        if (far != OPEN).any():
+            done = rows.filter(pa.array(far != OPEN))
+            yield marks(done, far[far != OPEN] == CHECK)
         if not near.num_rows:
             continue
         key, whole = near["key"].to_numpy(), near["whole"].to_numpy()
@@ -235,27 +255,28 @@ def _windows(window: int, gram: int):
                 a, b = seq.hash(at, at + window), seq.hash(at, at + window, 1)
                 lead = _earliest([a, b], ids, null, at - offs[doc])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(~lead), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(ids, mask=null),
+                    [pa.array(np.where(lead, OPEN, REPEAT).astype(np.int8)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(ids, mask=null),
                      pa.array(tie), pa.array((at - offs[doc]).astype(np.int32)),
                      pa.array((at - offs[doc]).astype(np.int32))],
-                    names=["far", "key", "whole", "doc_id", "tie", "first", "last"])
+                    names=NAMES)
     return run
 
 
 def _sorted(seeds_: DataFrame) -> DataFrame:
-    """By content; repeats already known go anywhere."""
-    place = F.when(F.col("far"), F.xxhash64("doc_id", "first")).otherwise(F.col("key"))
+    """Open seeds by content; the others go anywhere."""
+    place = F.when(F.col("far") != OPEN, F.xxhash64("doc_id", "first")).otherwise(F.col("key"))
     return seeds_.repartition(shuffle_parts(seeds_.sparkSession), place).sortWithinPartitions(
         "far", "key", "whole", F.col("doc_id").asc_nulls_first(), "first", "tie")
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
-                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                     id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """Ranges of windows (doc_id, tie, first, last: word numbers of their starts) that have an earlier equal."""
     if gram > window:
         raise ValueError("an anchor must fit into a window")
     src = plain(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    marks = materialise(_sorted(src.mapInArrow(_cut(window, gram), SEED)).mapInArrow(_compare, MARK), "seed_marks")
+    marks = materialise(_sorted(src.mapInArrow(_cut(window, gram, hot), SEED)).mapInArrow(_compare, MARK).where(
+        "first >= 0"), "seed_marks")
     repeats = marks.where("not check").drop("check")
     check = marks.where("check")
     tied = _with_spans(src, check, "inner").select("doc_id", "tie", "text", "spans")
@@ -303,10 +324,10 @@ CLEAN = "doc_id long, n_words long, n_removed long, kept string"
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
-                   id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
+                   id_col: str = "doc_id", text_col: str = "text", digest: bool = False, hot: int = HOT) -> DataFrame:
     """doc_id, n_words, n_removed, kept: words left, joined by one space (its SHA-256 with ``digest``)."""
     src = plain(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    joined = _with_spans(src, repeated_windows(docs, window, gram, id_col, text_col), "left")
+    joined = _with_spans(src, repeated_windows(docs, window, gram, id_col, text_col, hot), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

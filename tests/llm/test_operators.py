@@ -198,7 +198,8 @@ def test_components_of_chains_and_stars(spark):
     assert got == {**{k: 0 for k in range(61)}, **{k: 200 for k in range(200, 240)}, 300: 300, 301: 300}
 
 
-def test_repeated_windows_are_removed_exactly(docs, empty):
+@pytest.mark.parametrize("hot", [1, 2, 3, substring_dedup.HOT])
+def test_repeated_windows_are_removed_exactly(docs, empty, hot):
     rows = [(i, t) for i, t in ROWS if i is not None and (i, t) != (7, ROWS[7][1])] + [(7, ROWS[7][1])]
     seen, want = set(), {}
     for i, t in [(None, ROWS[-1][1])] + sorted(rows, key=lambda r: r[0]):
@@ -211,7 +212,7 @@ def test_repeated_windows_are_removed_exactly(docs, empty):
             seen.add(window)
         left = b" ".join(w for k, w in enumerate(words) if k not in gone)
         want[i] = (len(words), len(gone), hashlib.sha256(left).hexdigest())
-    got = substring_dedup.remove_repeats(docs, digest=True).collect()
+    got = substring_dedup.remove_repeats(docs, digest=True, hot=hot).collect()
     assert len(got) == len(ROWS)
     for r in got:  # the repeated row of doc 7 gets the same result as its twin
         assert (r.n_words, r.n_removed, r.kept) == want[r.doc_id], r.doc_id
