@@ -12,8 +12,7 @@
 
 Every entry: best of two timed runs after one warm-up run.  ``value`` is the sum
 of the per-query times (ingest and stream included).  ``extra`` times Q3 and Q6
-forced through the chunked path (what a symbol larger than a chunk takes); it is
-reported, not summed.
+with small chunks (many for each symbol); it is reported, not summed.
 """
 
 from __future__ import annotations
@@ -97,7 +96,7 @@ def main() -> None:
         times[name] = best_of(lambda: _materialise(build()), name)
     times["stream_avg_close"] = best_of(lambda: _materialise(q_stream_avg_close(spark, sf_dir)), "stream_avg_close")
 
-    # The path taken at scale (a symbol larger than a chunk), forced with small chunks: not in the total.
+    # The same path with small chunks: not in the total.
     extra = {
         "q3_moving_average_5_chunked": best_of(lambda: _materialise(
             A.moving_average(kd(), C.FOCUS_SYMBOL, 5, chunk_rows=C.CHECK_CHUNK_ROWS)), "q3_chunked"),

@@ -36,13 +36,13 @@ def main(argv) -> None:
     shown = {
         "parse (messages -> kline_data)": to_kline_data(parse_klines(fixture_messages(spark, sf_dir))),
         "Q2 avg_volume_by_class": A.avg_volume_by_class(kd, sy),
-        "Q3 moving_average (whole input within one chunk: one task)": A.moving_average(kd, "CLICKUSDT"),
-        "Q3 moving_average, all symbols (each symbol within a chunk: range by symbol)":
+        "Q3 moving_average, one symbol": A.moving_average(kd, "CLICKUSDT"),
+        "Q3 moving_average, all symbols":
             A.moving_average(kd, None, chunk_rows=3000),
-        "Q3 moving_average (symbol larger than a chunk: chunked)": A.moving_average(kd, "CLICKUSDT", chunk_rows=500),
+        "Q3 moving_average, small chunks": A.moving_average(kd, "CLICKUSDT", chunk_rows=500),
         "Q4 count_between": A.count_between(kd, "2024-01-08", "2024-01-15"),
-        "Q5 events_in_candles (bucketed)": A.events_in_candles(ke, kd),
-        "Q6 price_delta (chunked)": A.price_delta(kd, "CLICKUSDT", chunk_rows=500),
+        "Q5 events_in_candles": A.events_in_candles(ke, kd),
+        "Q6 price_delta, small chunks": A.price_delta(kd, "CLICKUSDT", chunk_rows=500),
     }
     for title, df in shown.items():
         print(f"### {title}\n```\n{condensed(df)}\n```\n")
