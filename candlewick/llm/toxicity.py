@@ -3,16 +3,18 @@
 Grades 0 (clean) to ``GRADES`` - 1.  Labels say toxic or not; a toxic training document's
 grade is the part of toxic documents (by thirds, with 4 grades) into which its share of
 toxic words falls, where a word is toxic if its odds between the classes are over
-``TOXIC_ODDS``.  Features are indicators of words (letters only, lower case) and of their
-first 4, 5 and 6 letters, as far as their share differs between the classes by ``MIN_Z``
-standard errors.  P(grade >= k) = logistic(w.x - t_k) with one weight vector for
+``TOXIC_ODDS``, and counts by its evidence.  Features are indicators of words (letters only, lower case) and of their
+first 4, 5 and 6 letters.  Each is scaled by its evidence: the standard errors by which its
+share differs between the classes, as a part of the strongest term's, squared.  So the penalty falls
+hardest on weak terms, and no term has to pass an absolute figure that few labels can't
+reach.  P(grade >= k) = logistic(w.x - t_k) with one weight vector for
 all thresholds t_1 < t_2 < ...; the weights are fitted by full-batch gradient steps with
 an L2 penalty.  Results: expected severity (the sum of P(grade >= k), 0 to GRADES - 1),
 the likeliest grade, and toxic: w.x over the cut with the fewest errors on the training
 rows (the grades' spread makes P(grade >= 1) too cautious to be cut at one half).
 
-The model learns from at most ``MAX_TRAIN`` labelled documents outside the held-out fold;
-terms are counted by Spark; every document is scored in one pass without a shuffle.
+The model learns from at most ``MAX_TRAIN`` labelled documents outside the held-out fold
+and keeps the ``MAX_FEATURES`` terms of most evidence; terms are counted by Spark; every document is scored in one pass without a shuffle.
 Null and empty texts have no feature (w.x = 0);
 null doc_ids are kept and count as held out; repeated rows each get a row; without labels
 of both classes nothing is toxic; an empty table gives an empty table; other columns are
@@ -36,10 +38,8 @@ FOLD, FOLDS = 1, 3
 GRADES = 4
 PREFIXES = (4, 5, 6)
 MIN_DOCS, MAX_FEATURES = 3, 20_000
-#: Standard errors by which a term's share must differ between the classes to become a feature.
-MIN_Z = 8.0
 TOXIC_ODDS = 10.0
-PENALTY, ROUNDS, RATE = 1e-4, 300, 0.1
+PENALTY, ROUNDS, RATE = 1e-3, 300, 0.1
 SLICE = 6 << 20
 
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 0x80 else 32 for c in range(256))
@@ -81,13 +81,17 @@ def logistic(x: np.ndarray) -> np.ndarray:
 
 
 def fit_ordinal(doc: np.ndarray, feature: np.ndarray, grade: np.ndarray, features: int, grades: int = GRADES,
-                rounds: int = ROUNDS, rate: float = RATE, penalty: float = PENALTY) -> tuple[np.ndarray, np.ndarray]:
+                rounds: int = ROUNDS, rate: float = RATE, penalty: float = PENALTY,
+                scale: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(weights, thresholds) of the cumulative-link model; (doc, feature) are the indicators that are set.
 
+    ``scale`` is the value of each feature's indicator (1 without it); the weights returned include it.
     The log-likelihood of grade g is log(F(t_g+1 - s) - F(t_g - s)), s = w.x; thresholds are a first value
     plus steps kept positive through their logarithms.  Adaptive-moment gradient steps on all rows.
     """
     n = len(grade)
+    scale = np.ones(features) if scale is None else scale
+    value = scale[feature]
     share = np.array([(np.sum(grade >= k) + 0.5) / (n + 1) for k in range(1, grades)])
     start = -np.log(share / (1 - share))
     x = np.concatenate([np.zeros(features), [start[0]], np.log(np.maximum(np.diff(start), 0.05))])
@@ -95,7 +99,7 @@ def fit_ordinal(doc: np.ndarray, feature: np.ndarray, grade: np.ndarray, feature
     for step in range(1, rounds + 1):
         w, first, gaps = x[:features], x[features], np.exp(x[features + 1:])
         t = first + np.concatenate([[0.0], np.cumsum(gaps)])
-        s = np.bincount(doc, w[feature], minlength=n)
+        s = np.bincount(doc, w[feature] * value, minlength=n)
         edge = np.concatenate([[-np.inf], t, [np.inf]])
         hi, lo = logistic(edge[grade + 1] - s), logistic(edge[grade] - s)
         p = np.maximum(hi - lo, 1e-12)
@@ -104,12 +108,12 @@ def fit_ordinal(doc: np.ndarray, feature: np.ndarray, grade: np.ndarray, feature
         g_t = np.zeros(grades - 1)
         for k in range(grades - 1):
             g_t[k] = (d_lo[grade == k + 1].sum() - d_hi[grade == k].sum()) / n
-        g = np.concatenate([np.bincount(feature, slope_s[doc], minlength=features) + penalty * w, [g_t.sum()],
+        g = np.concatenate([np.bincount(feature, slope_s[doc] * value, minlength=features) + penalty * w, [g_t.sum()],
                             gaps * np.cumsum(g_t[::-1])[::-1][1:]])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         x = x - rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
     gaps = np.exp(x[features + 1:])
-    return x[:features], x[features] + np.concatenate([[0.0], np.cumsum(gaps)])
+    return x[:features] * scale, x[features] + np.concatenate([[0.0], np.cumsum(gaps)])
 
 
 class Model:
@@ -165,8 +169,10 @@ def fit(train: DataFrame, grades: int = GRADES) -> Model:
     p = F.col("n") / F.lit(sizes.n)
     z = F.abs(p1 - p0) / F.sqrt(p * (1 - p) * F.lit(1 / sizes.n1 + 1 / (sizes.n - sizes.n1)) + F.lit(1e-12))
     odds = ((F.col("n1") + 0.5) / F.lit(sizes.n1)) / ((F.col("n") - F.col("n1") + 0.5) / F.lit(sizes.n - sizes.n1))
-    best = counted.select("term", z.alias("z"), odds.alias("odds")).where(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "term").limit(MAX_FEATURES).collect()
+    best = counted.select("term", z.alias("z"), odds.alias("odds")).orderBy(F.desc("z"), "term").limit(MAX_FEATURES).collect()
     vocabulary = Vocabulary([r.term for r in best])
+    evidence = np.array([r.z for r in best], float)
+    scale = (evidence / max(evidence.max(initial=0.0), 1e-12)) ** 2
     is_toxic = np.array([r.odds > TOXIC_ODDS and not r.term.endswith("*") for r in best], bool)
 
     def set_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,10 +194,10 @@ def fit(train: DataFrame, grades: int = GRADES) -> Model:
     y, words = np.array(y), np.array(words)
     doc = np.repeat(np.arange(len(y)), [len(s) for s in sets])
     feature = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-    rate = np.bincount(doc, is_toxic[feature] if len(feature) else None, minlength=len(y)) / np.maximum(words, 1)
+    rate = np.bincount(doc, (is_toxic * scale)[feature] if len(feature) else None, minlength=len(y)) / np.maximum(words, 1)
     cuts = np.quantile(rate[y == 1], np.arange(1, grades - 1) / (grades - 1))
     grade = np.where(y == 1, 1 + np.searchsorted(cuts, rate, side="left"), 0)
-    weights, thresholds = fit_ordinal(doc, feature, grade, len(best), grades)
+    weights, thresholds = fit_ordinal(doc, feature, grade, len(best), grades, scale=scale)
     s = np.bincount(doc, weights[feature] if len(feature) else None, minlength=len(y)).astype(float)
     return Model(vocabulary, weights, thresholds, best_cut(s, y))
 

@@ -322,6 +322,26 @@ def test_quality_and_toxicity_of_held_out_documents(spark, small, empty):
     assert not any(r.toxic for r in toxicity.severity(odd, none).collect())
 
 
+def test_toxicity_learns_from_few_labels(spark, docs):
+    pick = random.Random(8)
+    own = ["".join(pick.choice("abcdefghij") for _ in range(6)) for _ in range(300)]
+    rows = []
+    for k in range(240):
+        words = [pick.choice(own) for _ in range(40)]
+        if k % 6 == 0:
+            words[pick.randrange(40)] = ("vilething", "slurword")[k // 6 % 2]
+        rows.append((k, " ".join(words), int(k % 6 == 0)))
+    documents = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    # Under 64 labels of training rows: a term that separates the classes has under 8 standard errors.
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows if i < 80], "doc_id long, toxic int")
+    truth = {i: bool(y) for i, _, y in rows}
+    got = [r for r in toxicity.severity(documents, labels).collect() if r.doc_id >= 80 or r.held_out]
+    assert len(got) > 160
+    assert np.mean([r.toxic for r in got if truth[r.doc_id]]) > 0.9
+    assert np.mean([r.toxic for r in got if not truth[r.doc_id]]) < 0.03
+    assert documents.count() - toxicity.remove_toxic(documents, labels).count() >= 36
+
+
 def test_dual_coordinate_descent_separates():
     g = np.random.default_rng(0)
     y = np.where(g.random(200) < 0.5, 1.0, -1.0)
