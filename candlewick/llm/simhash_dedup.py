@@ -159,31 +159,60 @@ def links(distinct: DataFrame, distance: int = DISTANCE, limit: int = LIST_LIMIT
     return out
 
 
-def simhash_classes(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
+def _marked(src: DataFrame, shingle: int) -> DataFrame:
+    """The columns of ``src`` besides text, and fp: written once."""
+    own = [c for c in src.columns if c != "text"]
+    schema = ", ".join(f"{c} {src.schema[c].dataType.simpleString()}" for c in own) + ", fp long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, text in text_slices(batch):
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), pa.array(fingerprints(text, shingle).view(np.int64))], names=["doc_id", "fp"])
+                    [*rows.select(own).columns, pa.array(fingerprints(text, shingle).view(np.int64))], names=[*own, "fp"])
 
-    src = plain(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    marked = materialise(src.mapInArrow(run, "doc_id long, fp long"), "fingerprints")
-    classes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    return materialise(src.mapInArrow(run, schema), "fingerprints")
+
+
+def _least(marked: DataFrame, value, distance: int) -> DataFrame:
+    """fp, least: the least ``value`` in the component of every fingerprint."""
+    classes = marked.groupBy("fp").agg(F.min(value).alias("least"))
     linked = components(links(classes.select("fp"), distance)).withColumnsRenamed(
         {"vertex": "fp", "component": "root"})
     grouped = classes.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = grouped.join(least, "root").select("fp", "component_id")
+    least = grouped.groupBy("root").agg(F.min("least").alias("least"))
+    return grouped.drop("least").join(least, "root").select("fp", "least")
+
+
+def simhash_classes(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
+    src = plain(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
+    marked = _marked(src, shingle)
+    named = _least(marked, F.col("doc_id"), distance).withColumnRenamed("least", "component_id")
     return marked.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id names their component (all columns as they were); null ids stay."""
-    gone = simhash_classes(docs, shingle, distance, id_col, text_col).where("doc_id <> component_id").select(
-        F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti").select(docs.columns)
+    """One row of each component (all columns as they were): the least by (doc_id, text hash), null ids last.
+
+    A row is known by its id and text, so texts that share an id are told apart; of rows
+    equal in both any one stays.
+    """
+    row_id = F.col(f"`{id_col}`").cast("long")
+    tie = F.xxhash64(F.col(f"`{text_col}`"))
+    marked = _marked(docs.select(row_id.alias("doc_id"), tie.alias("tie"), F.col(f"`{text_col}`").alias("text")), shingle)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")
+    # Rows equal in id and text are one from here on, and how many there are.
+    rows = marked.groupBy("fp", "doc_id", "tie").agg(F.count(F.lit(1)).alias("n")).join(_least(marked, place, distance), "fp")
+    away = rows.where(~place.eqNullSafe(F.col("least")) | (F.col("n") > 1)).select(
+        F.col("doc_id").alias("_doc"), F.col("tie").alias("_tie"))
+    many = rows.where(place.eqNullSafe(F.col("least")) & (F.col("n") > 1)).select(
+        F.col("doc_id").alias("_doc"), F.col("tie").alias("_tie"))
+    same = row_id.eqNullSafe(F.col("_doc")) & (tie == F.col("_tie"))
+    kept = docs.join(away, same, "left_anti").select(docs.columns)
+    # A partial aggregate: each task sends one of the equal rows it holds.
+    once = docs.join(many, same, "left_semi").groupBy(row_id.alias("_doc"), tie.alias("_tie")).agg(
+        F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")).select("row.*")
+    return kept.unionByName(once)

@@ -177,6 +177,19 @@ def test_simhash_classes(docs, empty):
     assert simhash_dedup.simhash_classes(empty).collect() == []
 
 
+def test_simhash_keeps_one_row_of_each_group(spark, docs):
+    pick = random.Random(4)
+    a, b, c, d, e, f = (" ".join(pick.choice(VOCABULARY) for _ in range(50)) for _ in range(6))
+    rows = [(5, a), (7, a), (5, b), (2, b), (9, c), (9, c), (9, c), (None, d), (None, d), (None, e), (11, e), (None, f), (7, "")]
+    frame = spark.createDataFrame([(t, i, k) for k, (i, t) in enumerate(rows)], "text string, doc_id long, fp long").repartition(4)
+    got = simhash_dedup.keep_one(frame)
+    assert got.columns == frame.columns
+    got = got.collect()
+    assert sorted((str(r.doc_id), r.text) for r in got) == sorted(
+        (str(i), t) for i, t in [(5, a), (2, b), (9, c), (None, d), (11, e), (None, f), (7, "")])
+    assert all(rows[r.fp] == (r.doc_id, r.text) for r in got)
+
+
 @pytest.mark.parametrize("limit", [4, 8192])
 def test_simhash_links_find_all_near_fingerprints(spark, limit):
     pick = random.Random(9)
