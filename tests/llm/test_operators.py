@@ -10,8 +10,8 @@ import pyarrow as pa
 import pytest
 import xxhash
 
-from candlewick.llm import (bpe_count, decontamination, embedding_dedup, language_id, packing, quality, simhash_dedup,
-                            substring_dedup, token_output, toxicity)
+from candlewick.llm import (bpe_count, decontamination, embedding_dedup, labelled, language_id, packing, quality,
+                            simhash_dedup, substring_dedup, token_output, toxicity)
 from candlewick.llm.components import components
 from candlewick.llm.queries import ready
 from tests.conftest import SMOKE_DIR
@@ -355,6 +355,17 @@ def test_toxicity_learns_from_few_labels(spark, docs):
     assert documents.count() - toxicity.remove_toxic(documents, labels).count() >= 36
 
 
+def test_training_rows_are_bounded_and_fill_the_bound(spark, docs):
+    rows = [(1, f"text {k}") for k in range(60)] + [(k, f"own {k}") for k in range(2, 30)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    # Most labels have no document.
+    labels = spark.createDataFrame([(k, k % 2) for k in [*range(1, 30), *range(1000, 1400)]], "doc_id long, toxic int")
+    for limit, want in ((10, 10), (100, 29)):
+        got = labelled.training_rows(documents, labels, "toxic", -1, 3, limit).collect()
+        assert len(got) == len({r.doc_id for r in got}) == want
+        assert all((r.doc_id, r.text) in rows and r.y == r.doc_id % 2 for r in got)
+
+
 def test_dual_coordinate_descent_separates():
     g = np.random.default_rng(0)
     y = np.where(g.random(200) < 0.5, 1.0, -1.0)
