@@ -14,10 +14,12 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import candlewick
-from candlewick.llm import (bpe_count, decontamination, embedding_dedup, language_id, packing, quality, simhash_dedup,
-                            substring_dedup, token_output, toxicity)
+from candlewick.llm import (bpe_count, conversation_repair, decontamination, embedding_dedup, embedding_whitening,
+                            fingerprints, language_id, packing, quality, simhash_dedup, substring_dedup, token_output,
+                            toxicity)
 from candlewick.session import configure
 
 _ROOT = Path(candlewick.__file__).resolve().parent
@@ -83,6 +85,22 @@ def op10_quality(spark, sf_dir):
     return quality.score(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op11_embedding_whitening(spark, sf_dir):
+    return embedding_whitening.whiten(_read(spark, sf_dir, "embeddings"))
+
+
+def op12_conversation_repair(spark, sf_dir):
+    return conversation_repair.damaged_audits(_read(spark, sf_dir, "conversations"))
+
+
+def op13_fingerprints(spark, sf_dir):
+    pairs = fingerprints.edited_pairs(_read(spark, sf_dir, "documents"))
+    return pairs.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+                        fingerprints.hex_text(F.col("fingerprint")).alias("fingerprint"),
+                        fingerprints.hex_text(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+                        "near_edited", "near_next")
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
     return corpus_pipeline.run(ready(spark), sf_dir)
@@ -90,7 +108,8 @@ def pipeline(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_token_output, op2_decontamination, op3_embedding_dedup, op4_token_counts, op5_language_id, op6_packing,
-    op7_substring_dedup, op8_simhash_dedup, op9_toxicity, op10_quality, pipeline)}
+    op7_substring_dedup, op8_simhash_dedup, op9_toxicity, op10_quality, op11_embedding_whitening,
+    op12_conversation_repair, op13_fingerprints, pipeline)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = (f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), "
