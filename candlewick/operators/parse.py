@@ -162,9 +162,22 @@ def parse_klines(messages: DataFrame, mode: str = "strict", value_col: str = "va
     return _apply_mode(_kline_typed(messages, value_col), mode, "kline", value_col)
 
 
+def checked_klines(messages: DataFrame, value_col: str = "value") -> DataFrame:
+    """All kline messages, parsed once: for ``accepted`` and ``rejected`` of one persisted frame."""
+    return _kline_typed(messages, value_col)
+
+
+def accepted(checked: DataFrame, value_col: str = "value") -> DataFrame:
+    return _apply_mode(checked, "permissive", "kline", value_col)
+
+
+def rejected(checked: DataFrame, value_col: str = "value") -> DataFrame:
+    return checked.where(F.col("_bad")).select(value_col)
+
+
 def kline_rejects(messages: DataFrame, value_col: str = "value") -> DataFrame:
     """Kline-looking messages that do not parse or convert (permissive mode drops them)."""
-    return _kline_typed(messages, value_col).where(F.col("_bad")).select(value_col)
+    return rejected(checked_klines(messages, value_col), value_col)
 
 
 def _trade_typed(messages: DataFrame, value_col: str, header_only: bool = False) -> DataFrame:

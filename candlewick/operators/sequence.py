@@ -6,23 +6,21 @@ symbol may hold a third of all rows.  Frames that look back a fixed number of
 rows only need that many rows of context, so the work is cut into chunks of a
 bounded number of rows instead:
 
-1. sort globally by (keys, order) — a range exchange, which splits a hot key
-   over many tasks — and number the rows 0..n-1 in that order: a per-partition
-   row number plus the row count of all earlier partitions (one number per
-   partition of the sort, so its broadcast has a proven size bound).  The numbered rows
-   are checkpointed so the numbering is computed once and survives lost
-   executors;
-2. chunk = position div ``chunk_rows``; the last ``lookback`` rows of each chunk
-   are copied into the next chunk as read-only context ("halo");
-3. evaluate the window per (keys, chunk) ordered by position — at most
-   ``chunk_rows + lookback`` rows per group — and drop the halo rows.
-
+1. one light pass picks some rows by the hash of their whole sort key and counts all rows.
+   The picked keys, in order, cut the table into chunks of about ``chunk_rows`` rows.  They
+   are few (bounded by ``MOST_KEYS``), and decide nothing but the cut;
+2. each row goes to the chunk its key falls in.  Rows between the ``lookback``-th picked key
+   before a chunk's end and that end go to the next chunk too, as read-only context
+   ("halo"): picked keys are rows themselves, so there are at least ``lookback`` of them;
+3. range-partition by (keys, chunk) and evaluate the window per (keys, chunk), ordered by
+   the sort key; drop the halo rows.
+
+Nothing is written, and rows are shuffled once.
 The result equals the per-key window exactly: a frame never reaches further back
-than ``lookback`` rows, and within a key positions are consecutive.
+than ``lookback`` rows, and a chunk holds at least that many rows before its first.
 
-Every input takes this path, whatever its size: nothing is counted before the
-plan is chosen, and the number of rows in one window group is bounded by a
-parameter, not by the data.
+Every input takes this path, whatever its size, and the number of rows in one window
+group follows a parameter, not the data.
 """
 
 from __future__ import annotations
@@ -30,12 +28,17 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Observation, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from candlewick.session import scratch_path
 
 DEFAULT_CHUNK_ROWS = 1 << 14
+#: Keys picked in the first pass; for many chunks, keys for each of them in a second pass, and in all.
+FIRST_KEYS, KEYS_A_CHUNK, MOST_KEYS = 1024, 32, 1_000_000
 _PARTITION_BITS = 33   # monotonically_increasing_id = partition << 33 | row number
 
 
@@ -76,6 +79,30 @@ def number_rows(df: DataFrame, order_by: Sequence[Column | str], pos_col: str =
     return numbered.withColumn(pos_col, F.col("_offset") + F.col("_local")).drop("_part", "_local", "_offset")
 
 
+def _picked(keyed: DataFrame, chunk_rows: int, lookback: int) -> pa.Table:
+    """One row: ``e``, where chunks end, and ``t``, from where on rows are context of the next chunk, as sort keys in order."""
+    def pick(most: int) -> tuple[pa.Table, int]:
+        seen = Observation()
+        some = (keyed.select("_key").observe(seen, F.count(F.lit(1)).alias("n"))
+                .orderBy(F.xxhash64("_key"), "_key").limit(most).select("_key.*").toArrow())
+        return some, seen.get["n"]
+
+    keys, n = pick(FIRST_KEYS)
+    chunks = -(-n // chunk_rows)
+    if n > len(keys) and chunks * KEYS_A_CHUNK > len(keys):
+        keys, n = pick(min(chunks * KEYS_A_CHUNK, MOST_KEYS))
+    order = pc.sort_indices(keys, [(c, "ascending") for c in keys.column_names], null_placement="at_start")
+    step = max(lookback, 1, -(-len(keys) * chunk_rows // max(n, 1)))
+    cuts = np.arange(step, len(keys), step)
+
+    def row(at: np.ndarray) -> pa.Array:
+        taken = keys.take(order.take(pa.array(at))).combine_chunks()
+        structs = pa.StructArray.from_arrays([c.combine_chunks() for c in taken.columns], fields=list(taken.schema))
+        return pa.ListArray.from_arrays(pa.array([0, len(at)], pa.int32()), structs)
+
+    return pa.table({"e": row(cuts), "t": row(cuts - lookback)})
+
+
 def chunked_window(
     df: DataFrame,
     keys: Sequence[str],
@@ -83,13 +110,15 @@ def chunked_window(
     lookback: int,
     columns: Callable[[WindowSpec], dict[str, Column]],
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    context: Column | None = None,
 ) -> DataFrame:
     """Add window columns whose frames reach at most ``lookback`` rows back.
 
     ``columns(w)`` receives a window spec and returns ``{name: expression over
     w}``; frames must stay within ``rowsBetween(-lookback, 0)``.  The spec is
-    per (key, chunk) ordered by position, which is the order of ``order_by``.  The
-    output keeps the input columns plus the new ones, sorted by (keys, order).
+    per (key, chunk) in the order of ``order_by``.  The output keeps the input columns
+    plus the new ones, sorted by (keys, order).  Rows for which ``context`` holds are
+    looked back at but not returned.
     """
     if lookback < 0:
         raise ValueError("lookback must be >= 0")
@@ -97,25 +126,45 @@ def chunked_window(
         raise ValueError("chunk_rows must be at least lookback")
     out_cols = df.columns
     # The remaining columns break ties in ``order_by``: the order is then total (the
-    # same run after run), and rows that tie on the given order
-    # can still be split by the range sort.  Only exact copies stay together.
+    # same run after run), and rows that tie on the given order can still be split.  Exact
+    # copies are split by their input position: copies are interchangeable, so the result
+    # does not depend on it.  It is stable for a table scan (the callers here).
     named = {c for c in [*keys, *order_by] if isinstance(c, str)}
-    order_by = [*order_by, *[c for c in out_cols if c not in named]]
-    numbered = number_rows(df, [*keys, *order_by], "_pos")
-    # Each row goes to its own chunk; the last ``lookback`` rows of a chunk also go
-    # to the next one as halo (one pass, no second scan).
-    in_tail = F.pmod(F.col("_pos"), F.lit(chunk_rows)) >= F.lit(chunk_rows - lookback)
-    shifts = F.when(in_tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))) if lookback else F.array(F.lit(0))
-    both = numbered.withColumn("_shift", F.explode(shifts)).withColumns({
-        "_chunk": F.expr(f"_pos div {int(chunk_rows)}") + F.col("_shift"),
-        "_halo": F.col("_shift") == 1,
-    }).drop("_shift")
+    order = _cols([*keys, *order_by, *[c for c in out_cols if c not in named]])
+    if context is not None:
+        df = df.withColumn("_context", context)
+    key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate([*order, F.monotonically_increasing_id()])])
+    keyed = df.withColumn("_key", key)
+    picked = _picked(keyed, chunk_rows, lookback)
+    # One row of a few keys for each chunk, read by the tasks as a constant.
+    cut = df.sparkSession.createDataFrame(picked)
+    step = max(1, int(len(picked["e"][0]) ** 0.5))
+
+    def below(a: Column) -> Column:
+        return F.size(F.filter(a, lambda e: e <= F.col("_key")))
+
+    # How many ends are at or below the key: among every step-th of them, then among those between.
+    placed = keyed.withColumns({"_ends": cut.select("e").scalar(), "_tails": cut.select("t").scalar()})
+    coarse = below(F.filter("_ends", lambda e, i: i % step == 0)) if step > 1 else below(F.col("_ends"))
+    placed = placed.withColumn("_chunk", coarse)
+    if step > 1:
+        placed = placed.withColumn("_chunk", F.when(F.col("_chunk") == 0, 0).otherwise(
+            (F.col("_chunk") - 1) * step + below(F.slice("_ends", (F.col("_chunk") - 1) * step + 1, F.lit(step)))))
+    if lookback:
+        both = F.when(F.get("_tails", F.col("_chunk")) <= F.col("_key"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        placed = placed.withColumn("_shift", F.explode(both))
+    else:
+        placed = placed.withColumn("_shift", F.lit(0))
+    kept = [*out_cols, "_key", *(["_context"] if context is not None else [])]
+    placed = placed.select(*kept, (F.col("_chunk") + F.col("_shift")).alias("_chunk"), (F.col("_shift") == 1).alias("_halo"))
     # Range-partitioning on (keys, chunk) satisfies the window's clustering, so the
-    # window adds no exchange and its output is already in (keys, chunk, pos) order.
-    both = both.repartitionByRange(*keys, "_chunk")
-    w = Window.partitionBy(*keys, "_chunk").orderBy("_pos")
+    # window adds no exchange and its output is already in (keys, chunk, key) order.
+    placed = placed.repartitionByRange(*keys, "_chunk")
+    w = Window.partitionBy(*keys, "_chunk").orderBy("_key")
     new_cols = columns(w)
-    result = both.withColumns(new_cols).where(~F.col("_halo"))
+    result = placed.withColumns(new_cols).where(~F.col("_halo"))
+    if context is not None:
+        result = result.where(~F.col("_context"))
     # Already range-partitioned and sorted this way: no exchange, no extra sort.
-    result = result.orderBy(*keys, "_chunk", "_pos")
+    result = result.orderBy(*keys, "_chunk", "_key")
     return result.select(*out_cols, *new_cols.keys())

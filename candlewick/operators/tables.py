@@ -61,7 +61,7 @@ def asset_class(symbol: Column, overrides: dict[str, str] | None = None,
 
 
 def to_symbols(klines: DataFrame, launched: dt.date | str | None = None,
-               asset_classes: dict[str, str] | None = None) -> DataFrame:
+               asset_classes: dict[str, str] | None = None, distinct: bool = True) -> DataFrame:
     """First sighting of each symbol → ``symbols`` row.
 
     ``dropDuplicates`` on the symbol alone, before anything is derived: in batch
@@ -69,9 +69,12 @@ def to_symbols(klines: DataFrame, launched: dt.date | str | None = None,
     of all rows is collapsed in every task before the shuffle); on a stream it
     keeps one state entry per symbol forever, like the reference's keyed flag.
     The derived columns depend only on the symbol, so which duplicate survives
-    does not matter.  ``launched`` is the processing date unless given.
+    does not matter.  ``launched`` is the processing date unless given.  ``distinct=False``
+    takes rows whose symbols are distinct already.
     """
-    firsts = klines.select("symbol").dropDuplicates(["symbol"])
+    firsts = klines.select("symbol")
+    if distinct:
+        firsts = firsts.dropDuplicates(["symbol"])
     s = F.col("symbol")
     day = F.current_date() if launched is None else F.lit(str(launched)).cast("date")
     out = firsts.select(

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from candlewick.operators.parse import parse_klines
 from candlewick.operators.tables import to_candles, to_kline_data, to_kline_events, to_symbols
-from candlewick.operators.windows import avg_close
+from candlewick.operators.windows import close_parts
 from candlewick.schemas import AGG_WINDOW
 from candlewick.session import checkpoint_root
 from candlewick.sources.fixtures import ASSET_CLASS_OVERRIDES, fixture_messages
@@ -35,25 +35,36 @@ def build_warehouse(messages: DataFrame, warehouse: Warehouse, mode: str = "stri
                     window: str = AGG_WINDOW) -> Warehouse:
     """(Re)build the four tables from all of ``messages`` (overwrites them).
 
-    Batch loads are whole: appending a second load would repeat symbols and
-    split windows that span both loads into two partial averages.  Increments
-    go through the stream (``streaming.fanout.start_fanout``) or
-    ``backfill_warehouse``, whose state carries windows and symbols across
-    batches; their loads stand next to this one in the same tables.  Cut between
-    build and stream at a window's end, or that window has an average from each.
+    Loads of ``add_messages``, backfills and streams stand next to this one in the same
+    tables afterwards; a window that is split between them has one average.
     """
+    return _load(messages, warehouse, mode, launched, asset_classes, window, "overwrite")
+
+
+def add_messages(messages: DataFrame, warehouse: Warehouse, mode: str = "strict", launched=None,
+                 asset_classes: dict[str, str] | None = None, window: str = AGG_WINDOW) -> Warehouse:
+    """Add ``messages`` to the tables as one more batch load; of the symbols those not stored yet."""
+    warehouse.create_if_missing()
+    return _load(messages, warehouse, mode, launched, asset_classes, window, "append")
+
+
+def _load(messages, warehouse, mode, launched, asset_classes, window, write_mode) -> Warehouse:
     klines = parse_klines(messages, mode).persist(StorageLevel.MEMORY_AND_DISK)
+    symbols = to_symbols(klines, launched, asset_classes)
+    if write_mode == "append":
+        symbols = symbols.join(warehouse.table("symbols").select("symbol"), "symbol", "left_anti")
     tables = {
         "kline_data": to_kline_data(klines),
         "kline_events": to_kline_events(klines),
-        "symbols": to_symbols(klines, launched, asset_classes),
-        "kline_agg": avg_close(to_candles(klines), window),
+        "symbols": symbols,
+        "kline_agg": close_parts(to_candles(klines), window),
     }
     try:
         # No separate pass to fill the cache: the concurrent writes fill it, a block
         # being computed by one task is waited for (not recomputed) by the others.
         with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-            futures = [pool.submit(warehouse.write, name, df, "overwrite") for name, df in tables.items()]
+            futures = [pool.submit(warehouse.write, name, df, write_mode, merged=name == "kline_agg")
+                       for name, df in tables.items()]
             for f in futures:
                 f.result()
     finally:

@@ -187,3 +187,32 @@ ORACLE.update({
     "build_then_stream_counts": ORACLE["stream_fanout"],
     "stream_avg_close_batches": ORACLE["stream_avg_close"],
 })
+
+# Arrivals of plans/streams.py: the slice of a message, one later for stragglers; a row is late if its
+# window had ended at the greatest close time of all earlier arrivals.
+CUTS = ("2024-01-08", "2024-01-15", "2024-01-22")
+_ARRIVALS = f"""
+arr as (select *, (first_trade_id % 29 = 3)::integer + {" + ".join(f"(event_time >= timestamp '{c}')::integer" for c in CUTS)} as arrival
+  from kline_data),
+tops as (select arrival, max(close_ms) as top from arr group by arrival),
+seen as (select a.arrival, max(b.top) as top from tops a left join tops b on b.arrival < a.arrival group by a.arrival),
+told as (select arr.*, coalesce(close_ms + 1 <= seen.top, false) as late,
+  date_trunc('minute', make_timestamp(close_ms * 1000)) as window_start
+  from arr join seen using (arrival))"""
+
+
+def _with_arrivals(body: str) -> str:
+    return f"with {CTES.strip()},{_ARRIVALS}\n{body.strip()}"
+
+
+ORACLE.update({
+    "stream_symbols_value_state": ORACLE["symbols"],
+    "split_window_merge": ORACLE["stream_avg_close"],
+    "compact_then_replay": ORACLE["kline_data"],
+    "stream_closed_windows": _with_arrivals(f"""
+        select symbol, window_start, round(avg("close"), {DIGITS}) as avg_close from told
+        where not late and {_WITHHELD} group by symbol, window_start"""),
+    "stream_late_rows": _with_arrivals("""
+        select symbol, make_timestamp(close_ms * 1000) as close_time, window_start, "close" from told where late"""),
+})
+ORACLE["stream_strict_averages"] = ORACLE["stream_closed_windows"]

@@ -17,19 +17,25 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.plans.ingest import FIXTURE_LAUNCHED, backfill_warehouse, build_warehouse
+from candlewick.plans.ingest import FIXTURE_LAUNCHED, add_messages, backfill_warehouse, build_warehouse
 from candlewick.schemas import KLINE_AGG, LAYOUTS, SYMBOLS
 from candlewick.session import configure, scratch_path
 from candlewick.sources.fixtures import ASSET_CLASS_OVERRIDES, events_to_messages, message_files, read_events
+from candlewick.sources.loads import Files
 from candlewick.sources.messages import stream_messages
 from candlewick.sources.warehouse import Warehouse, read_table
 from candlewick.streaming.aggregate import start_kline_agg
 from candlewick.streaming.dedupe import start_symbols
 from candlewick.streaming.fanout import await_all, start_fanout
+from candlewick.streaming.stateful import start_closed_windows
 from candlewick.streaming.relay import start_relay_to_files
 
 # Where the entries with several arrivals cut the events (hour ends, so windows' ends).
 CUTS = ("2024-01-08", "2024-01-15", "2024-01-22")
+# Where the loads that split windows are cut (inside hours, and a candle's updates share one window).
+SPLITS = ("2024-01-08 12:30:00", "2024-01-15 07:20:00", "2024-01-22 18:45:00")
+# Messages that come one arrival late.
+STRAGGLERS, STRAGGLER_REMAINDER = 29, 3
 
 
 def _source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,6 +164,104 @@ def q_stream_symbols_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sink, LAYOUTS["symbols"])
 
 
+def q_stream_symbols_value_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The symbols from a keyed value state, over the same arrivals and restarts."""
+    folder, sink, ck = (scratch_path(configure(spark), n) for n in ("messages", "stream-symbols", "stream-symbols-ck"))
+    for lo, hi in zip((None, *CUTS), (*CUTS, None)):
+        _slice(spark, sf_dir, lo, hi).write.mode("append").text(folder)
+        start_symbols(stream_messages(spark, folder), sink, ck, FIXTURE_LAUNCHED, ASSET_CLASS_OVERRIDES,
+                      method="value_state").awaitTermination()
+    return read_table(spark, sink, LAYOUTS["symbols"])
+
+
+# -- loads that split windows, compaction, replay ----------------------------
+
+def q_split_window_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``kline_agg`` from a build, a further batch load, a backfill and the stream after it, cut inside windows.
+
+    Compacted in between.  Every window has one average; the stream withholds the last ones.
+    """
+    wh = Warehouse(spark, scratch_path(configure(spark), "split-windows"))
+    options = dict(launched=FIXTURE_LAUNCHED, asset_classes=ASSET_CLASS_OVERRIDES)
+    one, two, three = SPLITS
+    build_warehouse(_slice(spark, sf_dir, None, one), wh, **options)
+    add_messages(_slice(spark, sf_dir, one, two), wh, **options)
+    folder, ck = scratch_path(spark, "messages"), scratch_path(spark, "split-windows-ck")
+    _slice(spark, sf_dir, two, three).write.text(folder)
+    backfill_warehouse(spark, folder, wh, ck, max_files_per_trigger=4, **options)
+    wh.compact("kline_agg")
+    _slice(spark, sf_dir, three, None).write.mode("append").text(folder)
+    await_all(start_fanout(stream_messages(spark, folder), wh, ck, **options))
+    return wh.table("kline_agg").withColumn("avg_close", F.round("avg_close", 6))
+
+
+def replay_last_batch(spark: SparkSession, checkpoint: str) -> None:
+    """Take back a stopped query's last commit, as if it had died before it: the next start runs that batch again."""
+    files = Files(spark)
+    batches = [int(n) for n in files.names(f"{checkpoint}/commits") if n.isdigit()]
+    files.delete(f"{checkpoint}/commits/{max(batches)}")
+
+
+def q_compact_then_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``kline_data`` after a backfill in several batches, a compaction, and a replay of its last batch."""
+    wh = Warehouse(spark, scratch_path(configure(spark), "replayed"))
+    ck = scratch_path(spark, "replayed-ck")
+    options = dict(max_files_per_trigger=4, launched=FIXTURE_LAUNCHED, asset_classes=ASSET_CLASS_OVERRIDES)
+    backfill_warehouse(spark, message_files(spark, sf_dir), wh, ck, **options)
+    for name in ("kline_data", "kline_events", "symbols", "kline_agg"):
+        wh.compact(name)
+    replay_last_batch(spark, f"{ck}/stateless")
+    backfill_warehouse(spark, message_files(spark, sf_dir), wh, ck, **options)
+    return wh.table("kline_data").drop("month")
+
+
+# -- rows that come late -----------------------------------------------------
+
+def _with_stragglers(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The arrivals, with some messages one arrival late (so there is one arrival more)."""
+    events = read_events(configure(spark), sf_dir)
+    slow = (F.col("event_id") % STRAGGLERS == STRAGGLER_REMAINDER).cast("int")
+    arrival = slow
+    for cut in CUTS:
+        arrival = arrival + (F.col("ts") >= F.lit(cut).cast("timestamp")).cast("int")
+    return [events_to_messages(events.where(arrival == k)) for k in range(len(CUTS) + 2)]
+
+
+_LATE: dict[tuple[str, str], Warehouse] = {}
+_LATE_LOCK = threading.Lock()
+
+
+def late_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Averages of windows closed by timers and their late rows, the query restarted for each arrival."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    with _LATE_LOCK:
+        if key not in _LATE:
+            wh = Warehouse(spark, scratch_path(configure(spark), "late"))
+            folder, ck = scratch_path(spark, "messages"), scratch_path(spark, "late-ck")
+            for messages in _with_stragglers(spark, sf_dir):
+                messages.write.mode("append").text(folder)
+                start_closed_windows(stream_messages(spark, folder), wh, ck).awaitTermination()
+            _LATE[key] = wh
+        return _LATE[key]
+
+
+def q_stream_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return late_warehouse(configure(spark), sf_dir).table("kline_agg").withColumn("avg_close", F.round("avg_close", 6))
+
+
+def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return late_warehouse(configure(spark), sf_dir).table("kline_late").drop("month")
+
+
+def q_stream_strict_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The engine's own windows over the same arrivals: late rows are dropped by default."""
+    folder, sink, ck = (scratch_path(configure(spark), n) for n in ("messages", "stream-agg", "stream-agg-ck"))
+    for messages in _with_stragglers(spark, sf_dir):
+        messages.write.mode("append").text(folder)
+        start_kline_agg(stream_messages(spark, folder), sink, ck).awaitTermination()
+    return spark.read.schema(KLINE_AGG).parquet(sink).withColumn("avg_close", F.round("avg_close", 6))
+
+
 def q_stream_relay(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink, ck = scratch_path(spark, "stream-relay"), scratch_path(spark, "stream-relay-ck")
     q = start_relay_to_files(_source(spark, sf_dir), sink, ck)
@@ -177,4 +281,10 @@ STREAM_QUERIES = {
     "compact_after_backfill": q_compact_after_backfill,
     "stream_avg_close_batches": q_stream_avg_close_batches,
     "stream_symbols_restart": q_stream_symbols_restart,
+    "stream_symbols_value_state": q_stream_symbols_value_state,
+    "split_window_merge": q_split_window_merge,
+    "compact_then_replay": q_compact_then_replay,
+    "stream_closed_windows": q_stream_closed_windows,
+    "stream_late_rows": q_stream_late_rows,
+    "stream_strict_averages": q_stream_strict_averages,
 }

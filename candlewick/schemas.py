@@ -67,6 +67,23 @@ KLINE_AGG = T.StructType([
     T.StructField("avg_close", T.DoubleType()),
 ])
 
+# How ``kline_agg`` is stored: the parts of each window's average, one row for each load (or
+# more) that saw some of its updates.  Readers add them up.
+KLINE_AGG_PARTS = T.StructType([
+    T.StructField("symbol", T.StringType()),
+    T.StructField("window_start", T.TimestampType()),
+    T.StructField("close_sum", T.DoubleType()),
+    T.StructField("close_count", T.LongType()),
+])
+
+# Candle updates that came after their window was closed.
+KLINE_LATE = T.StructType([
+    T.StructField("symbol", T.StringType()),
+    T.StructField("close_time", T.TimestampType()),
+    T.StructField("window_start", T.TimestampType()),
+    T.StructField("close", T.DoubleType()),
+])
+
 # The compact in-flight candle that feeds the windowed average (times in ms).
 CANDLES = T.StructType([
     T.StructField("symbol", T.StringType()),
@@ -100,15 +117,21 @@ class TableLayout:
     schema: T.StructType
     sort_by: tuple[str, ...]
     month_of: str | None = None   # column whose yyyymm becomes the ``month`` partition
+    parts: T.StructType | None = None   # stored instead of ``schema``: parts of rows that readers merge
 
     @property
     def partition_by(self) -> tuple[str, ...]:
         return ("month",) if self.month_of else ()
 
+    @property
+    def stored(self) -> T.StructType:
+        return self.parts or self.schema
+
 
 LAYOUTS = {
-    "kline_agg": TableLayout("kline_agg", KLINE_AGG, ("symbol", "window_start")),
+    "kline_agg": TableLayout("kline_agg", KLINE_AGG, ("symbol", "window_start"), parts=KLINE_AGG_PARTS),
     "kline_events": TableLayout("kline_events", KLINE_EVENTS, ("symbol", "event_time"), "event_time"),
     "kline_data": TableLayout("kline_data", KLINE_DATA, ("symbol", "interval", "open_time"), "open_time"),
     "symbols": TableLayout("symbols", SYMBOLS, ("symbol",)),
+    "kline_late": TableLayout("kline_late", KLINE_LATE, ("symbol", "close_time"), "close_time"),
 }

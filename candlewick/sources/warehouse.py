@@ -1,9 +1,12 @@
 """The four tables at rest: Parquet folders by load and month, sorted.
 
 Every writer uses one layout, ``load=<id>/month=<yyyymm>/``: a batch build, each
-micro-batch of a backfill or live stream, and a compaction are loads.  Writing a load
-again replaces it, so a replayed batch repeats nothing, and any mix of writers stays
-readable as one table.  ``month`` (yyyymm of the layout's time column) lets a
+micro-batch of a backfill or live stream, and a compaction are loads.  A load counts once
+it is committed to the table's manifest (``sources.loads``), which readers follow: loads
+appear whole, a compaction replaces many of them in one step, and a replayed batch adds
+nothing, also after it was compacted away.  ``kline_agg`` is stored as the parts of its
+averages, which readers and compactions add up, so a window that is split between loads
+has one average.  ``month`` (yyyymm of the layout's time column) lets a
 time-range query that also filters ``month`` (see ``functions.time_range``) skip whole
 months; inside each file rows are sorted by the layout's key, so Parquet row-group
 min/max statistics skip most of the rest.  Tables without a time column have loads only.
@@ -19,21 +22,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick.functions.time import yyyymm
+from candlewick.operators.windows import average, merge_parts
 from candlewick.schemas import LAYOUTS, TableLayout
+from candlewick.sources.loads import Files, Loads, Unit
 
 # Rows per output file: keeps files (and a lost task's rework) bounded.
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
 def stored_schema(layout: TableLayout) -> T.StructType:
-    fields = [*layout.schema.fields, T.StructField("load", T.StringType())]
+    fields = [*layout.stored.fields, T.StructField("load", T.StringType())]
     if layout.month_of:
         fields.append(T.StructField("month", T.IntegerType()))
     return T.StructType(fields)
 
 
 def with_layout_columns(df: DataFrame, layout: TableLayout) -> DataFrame:
-    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in layout.schema.fields]
+    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in layout.stored.fields]
     if layout.month_of:
         cols.append(yyyymm(layout.month_of).alias("month"))
     return df.select(*cols)
@@ -45,10 +50,15 @@ def stream_load(checkpoint: str, batch_id: int) -> str:
 
 
 def write_table(df: DataFrame, path: str, layout: TableLayout, mode: str = "append",
-                clustered: bool = True, load: str | None = None) -> None:
-    """Write ``df`` in the table's layout as one load (a new one if ``load`` is None).
+                clustered: bool = True, load: str | None = None, replaces: list[Unit] | None = None,
+                merged: bool = False, keep_replaced: bool = False) -> bool:
+    """Write ``df`` in the table's layout as one load (a new one if ``load`` is None) and commit it.
 
-    ``mode="append"`` replaces that load only, ``"overwrite"`` the whole table.
+    A load that was committed before is left as it is.  ``mode="append"`` adds the load
+    beside the others (or in place of ``replaces``), ``"overwrite"`` puts it in place of all
+    that was committed.  Files of replaced loads are deleted after the commit unless
+    ``keep_replaced`` (then ``Loads.vacuum`` does it later).  False if the load is void
+    because something it replaces was replaced by another.
 
     ``clustered=True`` first rebalances on (month, symbol): rows of one symbol
     and month land together, AQE merges small partitions, and a partition that
@@ -59,25 +69,37 @@ def write_table(df: DataFrame, path: str, layout: TableLayout, mode: str = "appe
     row-group min/max statistics prune by symbol and time.
     ``clustered=False`` (streaming micro-batches) only sorts within each task.
     """
+    loads = Loads(df.sparkSession, path)
+    if load is not None and loads.known(load):
+        return True
     out = with_layout_columns(df, layout)
     keys = [*layout.partition_by, *layout.sort_by]
     if clustered:
         out = out.hint("rebalance", *layout.partition_by, layout.sort_by[0])
     out = out.sortWithinPartitions(*keys)
     load = load or uuid.uuid4().hex
-    parts = list(layout.partition_by)
-    if mode == "overwrite":
-        out, parts = out.withColumn("load", F.lit(load)), ["load", *parts]
-    else:
-        path = f"{path}/load={load}"
     writer = out.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-    if parts:
-        writer = writer.partitionBy(*parts)
-    writer.parquet(path)
+    if layout.partition_by:
+        writer = writer.partitionBy(*layout.partition_by)
+    writer.parquet(f"{path}/load={load}")
+    months = loads.months_written(load) if layout.month_of else None
+    gone = "*" if mode == "overwrite" else replaces or []
+    counts = loads.commit(load, months, gone, merged)
+    if counts and gone and not keep_replaced:
+        loads.vacuum()
+    return counts
 
 
 def read_table(spark: SparkSession, path: str, layout: TableLayout) -> DataFrame:
-    return spark.read.schema(stored_schema(layout)).parquet(path).drop("load")
+    """The rows of all loads that count, as stored (``month`` included where there is one)."""
+    return read_loads(spark, path, layout, Loads(spark, path).paths()).drop("load")
+
+
+def read_loads(spark: SparkSession, path: str, layout: TableLayout, folders: list[str]) -> DataFrame:
+    schema = stored_schema(layout)
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
 
 
 class Warehouse:
@@ -90,66 +112,71 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def loads(self, name: str) -> Loads:
+        return Loads(self.spark, self.path(name))
+
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.path(name), LAYOUTS[name])
+        """The table's rows as of now.
+
+        Parts of averages are added up, unless a single load holds one row for each window.
+        """
+        layout, loads = LAYOUTS[name], self.loads(name)
+        state = loads.state()
+        rows = read_loads(self.spark, self.path(name), layout, loads.paths(state)).drop("load")
+        if layout.parts is None:
+            return rows
+        if len(state.live) > 1 or not set(state.live) <= state.merged:
+            rows = merge_parts(rows)
+        return rows.select("symbol", "window_start", average())
 
     def write(self, name: str, df: DataFrame, mode: str = "append", clustered: bool = True,
-              load: str | None = None) -> None:
-        write_table(df, self.path(name), LAYOUTS[name], mode, clustered, load)
+              load: str | None = None, merged: bool = False) -> None:
+        write_table(df, self.path(name), LAYOUTS[name], mode, clustered, load, merged=merged)
 
     def write_rejects(self, messages: DataFrame, load: str) -> None:
         """Messages (``value``) that did not parse, as one load."""
         messages.select("value").write.mode("overwrite").parquet(f"{self.path('rejects')}/load={load}")
 
     def rejects(self) -> DataFrame:
-        self._mkdirs("rejects")
+        self._files().mkdirs(self.path("rejects"))
         return self.spark.read.schema("value string, load string").parquet(self.path("rejects")).drop("load")
 
-    def _fs(self, path: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
-
-    def _mkdirs(self, name: str) -> None:
-        fs, p = self._fs(self.path(name))
-        fs.mkdirs(p)
+    def _files(self) -> Files:
+        return Files(self.spark)
 
     def create_if_missing(self) -> None:
         """``CREATE TABLE IF NOT EXISTS`` equivalent: a folder without loads is an empty table."""
         for name in LAYOUTS:
-            self._mkdirs(name)
+            self.loads(name).create()
 
     def exists(self, name: str) -> bool:
-        fs, p = self._fs(self.path(name))
-        return fs.exists(p)
+        return self._files().exists(self.path(name))
 
-    def compact(self, name: str, months: list[int] | None = None) -> None:
+    def compact(self, name: str, months: list[int] | None = None, keep_replaced: bool = False) -> bool:
         """Rewrite the loads there are (only ``months`` of them, if given) as one clustered and sorted load.
 
-        Micro-batches are only sorted within each task and leave many small files.  The
-        new load is written under a hidden name first; then the months it replaces are
-        deleted and it takes its name.  Loads that arrive meanwhile are not touched.  If
-        the job ends in between, the hidden folder ``_compact=...`` still holds all rows.
-        Leave out months whose last batch may still be replayed: a replay writes its own
-        load again.
+        Micro-batches are only sorted within each task and leave many small files, and
+        split windows have several parts.  The new load takes the place of the others in
+        one commit; loads that arrive meanwhile are not touched, and batches among the
+        replaced ones may still be replayed.  Readers that planned before the commit need
+        the replaced files: give them time with ``keep_replaced`` and a later ``vacuum``.
+        False if another compaction of the same loads was committed first.
         """
-        layout = LAYOUTS[name]
+        layout, loads = LAYOUTS[name], self.loads(name)
         if months is not None and not layout.month_of:
             raise ValueError(f"{name} has no month partitions")
-        root = self.path(name)
-        fs, p = self._fs(root)
-        loads = [f.getPath().getName() for f in fs.listStatus(p) if f.getPath().getName().startswith("load=")]
-        if not loads:
-            return
-        current = self.spark.read.schema(stored_schema(layout)).option("basePath", root).parquet(
-            *[f"{root}/{x}" for x in loads])
-        if months is not None:
-            current = current.where(F.col("month").isin([int(m) for m in months]))
-        own = uuid.uuid4().hex
-        write_table(current, f"{root}/_compact={own}", layout, "append", load=own)
-        for x in loads:
-            gone = [f"{root}/{x}"] if months is None else [f"{root}/{x}/month={int(m)}" for m in months]
-            for g in gone:
-                fs.delete(self._fs(g)[1], True)
-        if not fs.rename(self._fs(f"{root}/_compact={own}/load={own}")[1], self._fs(f"{root}/load={own}")[1]):
-            raise OSError(f"could not rename the compacted load in {root}/_compact={own}")
-        fs.delete(self._fs(f"{root}/_compact={own}")[1], True)
+        state = loads.state()
+        wanted = None if months is None else {int(m) for m in months}
+        units = [(load, m) for load, m in state.units() if wanted is None or m in wanted]
+        if not units:
+            return True
+        folders = sorted({f"{self.path(name)}/load={load}" + ("" if m is None else f"/month={m}") for load, m in units})
+        current = read_loads(self.spark, self.path(name), layout, folders)
+        if layout.parts is not None:
+            current = merge_parts(current)
+        return write_table(current, self.path(name), layout, "append", replaces=units,
+                           merged=layout.parts is not None, keep_replaced=keep_replaced)
+
+    def vacuum(self, name: str, older_than_s: float = 0.0) -> None:
+        """Delete the files of replaced loads (see ``Loads.vacuum``)."""
+        self.loads(name).vacuum(older_than_s)

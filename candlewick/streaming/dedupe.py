@@ -12,27 +12,33 @@ Two forms:
 * ``method="state"``: ``dropDuplicates(["symbol"])`` without a watermark keeps one
   state row per symbol in the state store for the life of the checkpoint (like
   the reference's keyed flag, but surviving restarts).  Streaming dedupe has no
-  partial step: every row of a micro-batch is shuffled by symbol, so a hot
-  symbol's rows land in one task per batch (bounded by the trigger size).
+  partial step, so each task first reduces its rows to one a symbol.  Its sink is a
+  plain file sink: not for a warehouse table;
+* ``method="value_state"``: a keyed value state (``streaming.stateful``), each
+  micro-batch a load of the warehouse table.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from candlewick.operators.parse import parse_klines
 from candlewick.operators.tables import to_symbols
 from candlewick.schemas import LAYOUTS
+from candlewick.sources.loads import Loads
 from candlewick.sources.warehouse import read_table, stream_load, write_table
+from candlewick.streaming.stateful import once_a_task, start_symbols_value_state
 
-METHODS = ("merge", "state")
+METHODS = ("merge", "state", "value_state")
 
 
 def symbols_stream(messages: DataFrame, launched=None, asset_classes: dict[str, str] | None = None,
                    mode: str = "strict") -> DataFrame:
     """The state-store form as a streaming DataFrame."""
-    return to_symbols(parse_klines(messages, mode), launched, asset_classes)
+    klines = parse_klines(messages, mode).select("symbol").where(F.col("symbol").isNotNull())
+    return to_symbols(klines.mapInArrow(once_a_task, "symbol string"), launched, asset_classes)
 
 
 def add_symbols(fresh: DataFrame, sink_path: str, load: str) -> None:
@@ -60,13 +66,13 @@ def start_symbols(messages: DataFrame, sink_path: str, checkpoint: str, launched
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}, got {method!r}")
     trig = trigger or {"availableNow": True}
+    if method == "value_state":
+        return start_symbols_value_state(messages, sink_path, checkpoint, launched, asset_classes, trig, mode)
     if method == "state":
         out = symbols_stream(messages, launched, asset_classes, mode)
         return (out.writeStream.outputMode("append").format("parquet")
                 .option("path", sink_path).option("checkpointLocation", checkpoint)
                 .trigger(**trig).start())
-    spark = messages.sparkSession
-    root = spark._jvm.org.apache.hadoop.fs.Path(sink_path)
-    root.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(root)
+    Loads(messages.sparkSession, sink_path).create()
     return (messages.writeStream.foreachBatch(_merge_writer(sink_path, launched, asset_classes, mode, checkpoint))
             .option("checkpointLocation", checkpoint).trigger(**trig).start())

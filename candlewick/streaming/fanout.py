@@ -7,7 +7,7 @@
   the source; a topic read is cheap, state handling stays Spark's).
 
 ``foreachBatch`` is at-least-once, so each micro-batch is a load of its own, named after
-checkpoint and batch: a replay replaces its output.  Tables built before by a batch job,
+checkpoint and batch: a replay finds it committed and adds nothing.  Tables built before by a batch job,
 a backfill or another stream are simply other loads.  In permissive mode the messages
 that do not parse go to the warehouse's rejects.
 """
@@ -18,41 +18,51 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from candlewick.operators.parse import kline_rejects, parse_klines
+from candlewick.operators.parse import accepted, checked_klines, parse_klines, rejected
 from candlewick.operators.tables import to_kline_data, to_kline_events, to_symbols
 from candlewick.schemas import AGG_WATERMARK_DELAY, AGG_WINDOW
 from candlewick.sources.warehouse import Warehouse, stream_load
 from candlewick.streaming.aggregate import start_kline_agg
 from candlewick.streaming.dedupe import add_symbols
+from candlewick.streaming.stateful import start_closed_windows
 
 
 def _stateless_writer(warehouse: Warehouse, mode: str, checkpoint: str, launched, asset_classes):
     def write(batch: DataFrame, batch_id: int) -> None:
         load = stream_load(checkpoint, batch_id)
-        klines = parse_klines(batch, mode).persist(StorageLevel.MEMORY_AND_DISK)
+        # One read and one parse of the batch, also where rejects are kept.
+        marked = (checked_klines(batch) if mode == "permissive" else parse_klines(batch, mode)).persist(
+            StorageLevel.MEMORY_AND_DISK)
         try:
+            klines = accepted(marked) if mode == "permissive" else marked
             warehouse.write("kline_data", to_kline_data(klines), clustered=False, load=load)
             warehouse.write("kline_events", to_kline_events(klines), clustered=False, load=load)
             add_symbols(to_symbols(klines, launched, asset_classes), warehouse.path("symbols"), load)
             if mode == "permissive":
-                warehouse.write_rejects(kline_rejects(batch), load)
+                bad = rejected(marked)
+                if not bad.isEmpty():
+                    warehouse.write_rejects(bad, load)
         finally:
-            klines.unpersist()
+            marked.unpersist()
     return write
 
 
 def start_fanout(messages: DataFrame, warehouse: Warehouse, checkpoint_dir: str, mode: str = "strict",
                  launched=None, asset_classes: dict[str, str] | None = None, window: str = AGG_WINDOW,
-                 delay: str = AGG_WATERMARK_DELAY, strict_lateness: bool = False,
-                 trigger: dict | None = None) -> dict[str, StreamingQuery]:
+                 delay: str = AGG_WATERMARK_DELAY, strict_lateness: bool = True,
+                 trigger: dict | None = None, keep_late: bool = False) -> dict[str, StreamingQuery]:
+    """Start the queries.  ``keep_late`` closes windows by timers and writes late rows to ``kline_late``."""
     trig = trigger or {"availableNow": True}
     ck = checkpoint_dir.rstrip("/")
     warehouse.create_if_missing()
     writer = _stateless_writer(warehouse, mode, f"{ck}/stateless", launched, asset_classes)
     stateless = (messages.writeStream.foreachBatch(writer)
                  .option("checkpointLocation", f"{ck}/stateless").trigger(**trig).start())
-    agg = start_kline_agg(messages, warehouse.path("kline_agg"), f"{ck}/kline_agg", window, delay,
-                          strict_lateness, trig, mode=mode, table=True)
+    if keep_late:
+        agg = start_closed_windows(messages, warehouse, f"{ck}/kline_agg", window, trigger=trig, mode=mode)
+    else:
+        agg = start_kline_agg(messages, warehouse.path("kline_agg"), f"{ck}/kline_agg", window, delay,
+                              strict_lateness, trig, mode=mode, table=True)
     return {"stateless": stateless, "kline_agg": agg}
 
 
