@@ -116,14 +116,16 @@ def seeds(words: pa.Array, offs: np.ndarray, window: int = WINDOW, gram: int = G
 
 #: How far a seed has come: to be compared with its anchor's list, a repeat, or to be compared by windows.
 OPEN, REPEAT, CHECK = 0, 1, 2
-SEED = "far byte, key long, whole long, doc_id long, tie int, first int, last int"
+SEED = "far byte, key long, whole long, doc_id long, tie long, first int, last int"
 NAMES = ["far", "key", "whole", "doc_id", "tie", "first", "last"]
-MARK = "doc_id long, tie int, first int, last int, check boolean"
+MARK = "doc_id long, tie long, first int, last int, check boolean"
+#: First rows of one extension (rows of one doc_id with different texts) that are held until the next extension is seen.
+RUN_LIMIT = 1 << 16
 
 
 def _text_tie(text: pa.Array) -> np.ndarray:
     """Tells apart rows of one doc_id with different texts."""
-    return np.fromiter((xxh64_intdigest(t.as_buffer(), 42) & 0x7FFFFFFF for t in text), np.int32, len(text))
+    return np.fromiter((xxh64_intdigest(t.as_buffer(), 42) for t in text), U, len(text)).view(np.int64)
 
 
 def _earliest(group: list[np.ndarray], doc: np.ndarray, null: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -163,26 +165,33 @@ def _cut(window: int, gram: int, hot: int):
                 seen = anchors[n >= hot]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(seen), OPEN, np.int8)), pa.array(seen.view(np.int64)),
-                     pa.array((~seen).view(np.int64)), pa.nulls(len(seen), pa.int64()),
-                     *[pa.array(np.full(len(seen), -1, np.int32)) for _ in range(3)]], names=NAMES)
+                     pa.array((~seen).view(np.int64)), pa.nulls(len(seen), pa.int64()), pa.array(np.full(len(seen), -1)),
+                     *[pa.array(np.full(len(seen), -1, np.int32)) for _ in range(2)]], names=NAMES)
     return run
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (far, key, whole, place).  Holds one row between batches.
+    """Rows sorted by (far, key, whole, place).  Holds the first rows of one extension between batches.
 
     Rows that are not OPEN pass.  Of the others, a row that is not the first of its
-    (key, whole) is a repeat; a first one must be checked if its key has another whole.
+    (key, whole) is a repeat; the first ones (several if a doc_id repeats with different
+    texts) must all be checked if their key has another whole.  Over RUN_LIMIT first rows
+    of one extension are checked in any case, which costs work and changes nothing.
     """
-    held: pa.Table | None = None
+    held: list[pa.Table] = []   # first rows of the last (key, whole)
     lead = None  # (key, whole, doc_id, first) of the current first row
-    key_seen = None  # key of the row before the held one, if that has another whole
+    run_key, run_whole, decided = None, None, False   # that extension, and whether its first rows are checked
 
     def marks(rows: pa.Table, check: np.ndarray):
         return pa.RecordBatch.from_arrays(
             [rows.column(k).combine_chunks() for k in ("doc_id", "tie", "first", "last")] + [pa.array(check)],
             names=["doc_id", "tie", "first", "last", "check"])
 
+    def checked() -> Iterator[pa.RecordBatch]:
+        for rows in held:
+            yield marks(rows, np.ones(rows.num_rows, bool))
+        held.clear()
+
     for batch in batches:
         far = batch.column(0).to_numpy(zero_copy_only=False)
         rows = pa.Table.from_batches([batch])
@@ -212,26 +221,36 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not len(k):
             continue
         firsts = near.take(pa.array(k))
-        if held is not None:
-            firsts = pa.concat_tables([held, firsts])
-        # The last first-row waits: the next one may share its key.
         fk, fw = firsts["key"].to_numpy(), firsts["whole"].to_numpy()
-        other = np.zeros(len(fk), bool)
-        differ = (fk[1:] == fk[:-1]) & (fw[1:] != fw[:-1])
-        other[1:] |= differ
-        other[:-1] |= differ
-        if key_seen is not None and fk[0] == key_seen:
-            other[0] = True
-        # Equals of a first row (repeated rows) share its answer.
-        for j in np.flatnonzero((fk[1:] == fk[:-1]) & (fw[1:] == fw[:-1])) + 1:
-            other[j] |= other[j - 1]
-        out = firsts.slice(0, len(fk) - 1).filter(pa.array(other[:-1]))
-        if out.num_rows:
-            yield marks(out, np.ones(out.num_rows, bool))
-        held = firsts.slice(len(fk) - 1).combine_chunks()
-        key_seen = fk[-1] if other[-1] else None
-    if held is not None and key_seen is not None:
-        yield marks(held, np.ones(1, bool))
+        # Runs of one extension; a run's key has another whole if a run beside it has the same key.
+        cut = np.flatnonzero(np.concatenate([[True], (fk[1:] != fk[:-1]) | (fw[1:] != fw[:-1])]))
+        ends = np.append(cut[1:], len(fk))
+        if (fk[0], fw[0]) == (run_key, run_whole):
+            more = firsts.slice(0, int(ends[0]))
+            if decided:
+                yield marks(more, np.ones(more.num_rows, bool))
+            else:
+                held.append(more)
+                if sum(x.num_rows for x in held) > RUN_LIMIT:
+                    yield from checked()
+                    decided = True
+            cut, ends = cut[1:], ends[1:]
+        if not len(cut):
+            continue
+        keys = fk[cut]
+        beside = np.zeros(len(cut), bool)
+        beside[1:] |= keys[1:] == keys[:-1]
+        beside[:-1] |= keys[1:] == keys[:-1]
+        if keys[0] == run_key:
+            yield from checked()
+            beside[0] = True
+        held.clear()
+        now = np.repeat(beside, ends - cut)
+        if now.any():
+            yield marks(firsts.slice(int(cut[0])).filter(pa.array(now)), np.ones(int(now.sum()), bool))
+        run_key, run_whole, decided = keys[-1], fw[cut[-1]], bool(beside[-1])
+        if not decided:
+            held.append(firsts.slice(int(cut[-1])).combine_chunks())
 
 
 def _windows(window: int, gram: int):
@@ -287,12 +306,13 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
 
 def tie_of(text_col: str = "text"):
     """The number that tells apart different texts of one doc_id, as a column (see ``_text_tie``)."""
-    return F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+    return F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
 
 
 def _with_spans(src: DataFrame, marks: DataFrame, how: str) -> DataFrame:
     """src (doc_id, text and any others) with the marked ranges of its document, in column spans."""
-    spans = marks.groupBy("doc_id", "tie").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    # Repeated rows mark the same ranges: each counts once, in every task's part first.
+    spans = marks.groupBy("doc_id", "tie").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
     spans = spans.withColumnsRenamed({"doc_id": "_doc", "tie": "_own"})
     tied = src.withColumn("tie", tie_of())
     return tied.join(spans, tied["doc_id"].eqNullSafe(spans["_doc"]) & (tied["tie"] == spans["_own"]), how).drop("_doc", "_own")
