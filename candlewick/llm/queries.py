@@ -117,7 +117,7 @@ _WORDS = (f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWE
 
 _OP2 = f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
-b AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
 bw AS (SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') AS win
        FROM b, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS r(i) WHERE len(w) > 0),
 sizes AS (SELECT DISTINCT n FROM bw),
@@ -126,7 +126,7 @@ dw AS (SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS win
 m AS (SELECT dw.doc_id, dw.i, dw.n, bw.item_id FROM dw JOIN bw ON dw.win = bw.win AND dw.n = bw.n),
 hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM m, unnest(range(i, i + n)) AS r(p) GROUP BY doc_id),
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
-          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM m) GROUP BY doc_id)
+          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM m WHERE item_id IS NOT NULL) GROUP BY doc_id)
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
