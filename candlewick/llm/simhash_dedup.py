@@ -178,9 +178,12 @@ def _least(marked: DataFrame, value, distance: int) -> DataFrame:
     classes = marked.groupBy("fp").agg(F.min(value).alias("least"))
     linked = components(links(classes.select("fp"), distance)).withColumnsRenamed(
         {"vertex": "fp", "component": "root"})
-    grouped = classes.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = grouped.groupBy("root").agg(F.min("least").alias("least"))
-    return grouped.drop("least").join(least, "root").select("fp", "least")
+    # Only fingerprints with a link need their component's least.  Both sides of the join by
+    # root are read from written tables, so a component that holds many of them is split.
+    members = materialise(classes.join(linked, "fp"), "members")
+    least = materialise(members.groupBy("root").agg(F.min("least").alias("shared")), "least")
+    shared = members.join(least, "root").select("fp", "shared")
+    return materialise(classes.join(shared, "fp", "left").select("fp", F.coalesce("shared", "least").alias("least")), "classes")
 
 
 def simhash_classes(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
@@ -206,13 +209,14 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")
     # Rows equal in id and text are one from here on, and how many there are.
     rows = marked.groupBy("fp", "doc_id", "tie").agg(F.count(F.lit(1)).alias("n")).join(_least(marked, place, distance), "fp")
-    away = rows.where(~place.eqNullSafe(F.col("least")) | (F.col("n") > 1)).select(
-        F.col("doc_id").alias("_doc"), F.col("tie").alias("_tie"))
-    many = rows.where(place.eqNullSafe(F.col("least")) & (F.col("n") > 1)).select(
-        F.col("doc_id").alias("_doc"), F.col("tie").alias("_tie"))
-    same = row_id.eqNullSafe(F.col("_doc")) & (tie == F.col("_tie"))
+    # Names that no column of the input has.
+    free = "_" * (1 + max(len(c) for c in docs.columns))
+    d, t = f"{free}doc", f"{free}tie"
+    away = rows.where(~place.eqNullSafe(F.col("least")) | (F.col("n") > 1)).select(F.col("doc_id").alias(d), F.col("tie").alias(t))
+    many = rows.where(place.eqNullSafe(F.col("least")) & (F.col("n") > 1)).select(F.col("doc_id").alias(d), F.col("tie").alias(t))
+    same = row_id.eqNullSafe(F.col(d)) & (tie == F.col(t))
     kept = docs.join(away, same, "left_anti").select(docs.columns)
     # A partial aggregate: each task sends one of the equal rows it holds.
-    once = docs.join(many, same, "left_semi").groupBy(row_id.alias("_doc"), tie.alias("_tie")).agg(
+    once = docs.join(many, same, "left_semi").groupBy(row_id.alias(d), tie.alias(t)).agg(
         F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")).select("row.*")
     return kept.unionByName(once)
