@@ -245,8 +245,8 @@ def test_decontamination(spark, docs, empty, monkeypatch):
     for i, t in items:
         w = split(t)
         n = min(10, len(w))
-        for k in range(len(w) - n + 1 if n and i is not None else 0):
-            windows.setdefault(tuple(w[k:k + n]), set()).add(str(i))
+        for k in range(len(w) - n + 1 if n else 0):
+            windows.setdefault(tuple(w[k:k + n]), set()).update([str(i)] if i is not None else [])
     want = []
     for i, t in ROWS:
         w, hit, found = split(t), set(), set()
@@ -267,6 +267,80 @@ def test_decontamination(spark, docs, empty, monkeypatch):
     assert not any(r.contaminated for r in decontamination.contamination(docs, bench.where("false")).collect())
 
 
+def test_decontamination_longest_and_shared_windows(spark):
+    pick = random.Random(4)
+    passage = [f"p{k}" for k in range(15)]
+    items = [(k, " ".join([*passage[:12], *(f"own{k}x{j}" for j in range(4))])) for k in range(40)] + [(None, " ".join(passage))]
+    texts = [" ".join(["a", *passage, f"b{k}"]) for k in range(30)] + [" ".join(passage[:11]), " ".join(passage[1:9]),
+             " ".join(["x", *passage[:12], "own7x0", "own7x1", "other"])]
+    rows = list(enumerate(texts))
+    pick.shuffle(rows)
+    report = {r.doc_id: r for r in decontamination.contamination(
+        spark.createDataFrame(rows, "doc_id long, text string").repartition(2),
+        spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert [report[k].longest for k in range(33)] == [15] * 30 + [11, 0, 14]
+    assert [report[k].n_items for k in range(33)] == [40] * 31 + [0, 40]
+    # Occurrences of distinct windows grow with the words, not with documents times items.
+    block = decontamination.Block(pa.table({"item_id": [str(i) for i, _ in items], "text": [t for _, t in items]}), 10)
+    words, offs = decontamination.item_words(pa.array(texts, pa.large_string()))
+    found, word, *_ = decontamination.locate(block, words, offs)
+    assert len(found) == len(set(zip(found.tolist(), word.tolist()))) <= len(words)
+
+
+@pytest.mark.parametrize("hot", [1, 2, substring_dedup.HOT])
+def test_repeats_in_texts_that_share_an_id(spark, hot, monkeypatch):
+    """Texts of one id with a common seed, before and after another document's; many copies; many null ids."""
+    monkeypatch.setattr(substring_dedup, "RUN_LIMIT", 3)
+    pick = random.Random(8)
+    new = iter(range(10 ** 6))
+    word = lambda: f"w{next(new)}"
+    shared = [word() for _ in range(25)]
+    head = [word() for _ in range(12)]
+    rows = []
+    for own in (5, 9):
+        for _ in range(4):
+            rows.append((own, " ".join([*head, *shared, *(word() for _ in range(6))])))
+    for other in (1, 7, 11):
+        rows.append((other, " ".join([*(word() for _ in range(other)), *shared[:22], *(word() for _ in range(9))])))
+    long = " ".join(word() for _ in range(40))
+    rows += [(20, long)] * 30 + [(19, long)]
+    rows += [(None, " ".join([*shared[3:], *(word() for _ in range(pick.randint(0, 5)))])) for _ in range(12)]
+    seen, want = {}, {}
+    place = lambda r: (r[0] is not None, r[0] or 0)
+    for i, t in rows:
+        w = t.split()
+        for k in range(len(w) - 19):
+            key = tuple(w[k:k + 20])
+            at = (*place((i, t)), k)
+            seen[key] = min(seen.get(key, at), at)
+    for i, t in set(rows):
+        w = t.split()
+        gone = set()
+        for k in range(len(w) - 19):
+            if seen[tuple(w[k:k + 20])] < (*place((i, t)), k):
+                gone.update(range(k, k + 20))
+        want[i, len(w), len(gone), hashlib.sha256(" ".join(x for k, x in enumerate(w) if k not in gone).encode()).hexdigest()] = t
+    got = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), digest=True, hot=hot)
+    got = [(r.doc_id, r.n_words, r.n_removed, r.kept) for r in got.collect()]
+    assert len(got) == len(rows) and set(got) == set(want)
+
+
+def test_ranges_of_repeated_rows_are_listed_once(spark):
+    long = " ".join(f"v{k}" for k in range(40))
+    docs = spark.createDataFrame([(1, long)] + [(5, long)] * 200, "doc_id long, text string").repartition(7)
+    src = docs.withColumn("doc_id", docs["doc_id"])
+    spans = substring_dedup._with_spans(src, substring_dedup.repeated_windows(docs), "left").collect()
+    assert {len(r.spans or []) for r in spans if r.doc_id == 5} == {len(next(r.spans for r in spans if r.doc_id == 5))}
+    assert sum(len(r.spans or []) for r in spans) <= 200 * 2 * 21
+
+
+def test_keep_one_with_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a b c d e", 1, 2, 3), (2, "a b c d e", 4, 5, 6), (2, "a b c d e", 4, 5, 6)],
+                                 "doc_id long, text string, _doc int, _tie int, __doc int")
+    kept = simhash_dedup.keep_one(docs)
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [1]
+
+
 @pytest.mark.parametrize("limit", [8, 2048])
 def test_embedding_classes(spark, limit, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "BUCKET_LIMIT", limit)
