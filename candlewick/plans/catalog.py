@@ -21,9 +21,12 @@ from candlewick.operators.parse import kline_rejects, parse_klines, trade_header
 from candlewick.operators.tables import to_candles, to_kline_data, to_kline_events, to_symbols
 from candlewick.operators.windows import avg_close
 from candlewick.plans.ingest import FIXTURE_LAUNCHED, fixture_warehouse
-from candlewick.session import configure
-from candlewick.sources.fixtures import ASSET_CLASS_OVERRIDES, corrupted_messages, fixture_messages
-from candlewick.streaming.relay import relay_records
+from candlewick.functions.time import yyyymm
+from candlewick.session import configure, scratch_path
+from candlewick.sources.fixtures import (
+    ASSET_CLASS_OVERRIDES, corrupted_messages, faulty_messages, fixture_messages, read_events,
+)
+from candlewick.streaming.relay import balanced, relay_records
 
 # Parameters of the analyst queries on the fixture (fixed values).
 FOCUS_SYMBOL = "CLICKUSDT"
@@ -32,6 +35,7 @@ ASSET_CLASS = "crypto"
 SEGMENT = "BUILDING"
 ORDERS_LO, ORDERS_HI = "1996-01-01", "1997-01-01"
 DIGITS = 6
+RELAY_PARTS = 7
 # Chunk size of the "_chunked" variants: small enough that the focus symbol spans
 # several chunks from sf0.01 up.
 CHECK_CHUNK_ROWS = 1000
@@ -103,6 +107,20 @@ def q_relay(spark, sf_dir):
     return relay_records(fixture_messages(configure(spark), sf_dir))
 
 
+def q_relay_faults(spark, sf_dir):
+    """The relay of messages among which some are empty, cut, arrays, or have text behind them."""
+    return relay_records(faulty_messages(read_events(configure(spark), sf_dir)))
+
+
+def q_relay_balanced(spark, sf_dir):
+    """The relay spread by bytes over RELAY_PARTS parts; ``even``: no part differs from the mean by over a tenth."""
+    parts = balanced(relay_records(fixture_messages(configure(spark), sf_dir)), RELAY_PARTS)
+    sizes = parts.groupBy(F.spark_partition_id().alias("part")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value").cast("long")).alias("bytes"))
+    return sizes.agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("parts"),
+                     (F.max("bytes") <= F.avg("bytes") * 1.1).alias("even"))
+
+
 def q_avg_close_hourly(spark, sf_dir):
     return _round(avg_close(to_candles(_klines(spark, sf_dir)), "1 hour"), "avg_close")
 
@@ -178,6 +196,31 @@ def q_orders_between(spark, sf_dir):
     return A.count_between(orders, ORDERS_LO, ORDERS_HI, time_col="o_orderdate")
 
 
+_MONTHLY: dict[tuple[str, str], str] = {}
+
+
+def _orders_by_month(spark, sf_dir):
+    """``orders`` stored by month of the order date, once per session and input."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _MONTHLY:
+        path = scratch_path(configure(spark), "orders-by-month")
+        orders = spark.read.parquet(f"{sf_dir}/orders.parquet").withColumn("month", yyyymm("o_orderdate"))
+        (orders.hint("rebalance", "month").sortWithinPartitions("month", "o_orderdate")
+         .write.partitionBy("month").parquet(path))
+        _MONTHLY[key] = path
+    return spark.read.parquet(_MONTHLY[key])
+
+
+def q_orders_between_pruned(spark, sf_dir):
+    """FLT6 on a table of many months: the month predicate leaves those of one year."""
+    return A.count_between(_orders_by_month(spark, sf_dir), ORDERS_LO, ORDERS_HI, time_col="o_orderdate")
+
+
+def q_orders_monthly_layout(spark, sf_dir):
+    """SNK10 on a table of many months."""
+    return _orders_by_month(spark, sf_dir).groupBy("month").agg(F.count(F.lit(1)).alias("n"))
+
+
 QUERIES: dict[str, Query] = {
     "kline_messages": q_kline_messages,
     "kline_data": q_kline_data,
@@ -190,6 +233,8 @@ QUERIES: dict[str, Query] = {
     "kline_permissive": q_kline_permissive,
     "kline_rejects": q_kline_rejects,
     "relay": q_relay,
+    "relay_faults": q_relay_faults,
+    "relay_balanced": q_relay_balanced,
     "avg_close": q_avg_close,
     "avg_close_hourly": q_avg_close_hourly,
     "avg_volume_crypto": q_avg_volume_crypto,
@@ -204,6 +249,8 @@ QUERIES: dict[str, Query] = {
     "monthly_layout": q_monthly_layout,
     "orders_by_segment": q_orders_by_segment,
     "orders_between": q_orders_between,
+    "orders_between_pruned": q_orders_between_pruned,
+    "orders_monthly_layout": q_orders_monthly_layout,
 }
 
 

@@ -8,13 +8,13 @@ the fixed values.
 from __future__ import annotations
 
 from candlewick.plans.catalog import (
-    ASSET_CLASS, DIGITS, FOCUS_SYMBOL, ORDERS_HI, ORDERS_LO, RANGE_HI, RANGE_LO, SEGMENT,
+    ASSET_CLASS, DIGITS, FOCUS_SYMBOL, ORDERS_HI, ORDERS_LO, RANGE_HI, RANGE_LO, RELAY_PARTS, SEGMENT,
 )
 from candlewick.plans.ingest import FIXTURE_LAUNCHED
 from candlewick.schemas import DEFAULT_ASSET_CLASS, KNOWN_QUOTES, UNKNOWN_QUOTE
 from candlewick.sources.fixtures import (
-    ASSET_CLASS_OVERRIDES, CONTROL_TEMPLATE, CORRUPT_MODULUS, EVENT_SYMBOLS, KLINE_TEMPLATE, OTHER_SYMBOL,
-    TRADE_TEMPLATE,
+    ASSET_CLASS_OVERRIDES, CONTROL_TEMPLATE, CORRUPT_MODULUS, EVENT_SYMBOLS, FAULT_MODULUS, FAULTS, KLINE_TEMPLATE,
+    OTHER_SYMBOL, TRADE_TEMPLATE,
 )
 
 
@@ -216,3 +216,22 @@ ORACLE.update({
         select symbol, make_timestamp(close_ms * 1000) as close_time, window_start, "close" from told where late"""),
 })
 ORACLE["stream_strict_averages"] = ORACLE["stream_closed_windows"]
+
+ORACLE.update({
+    "stream_moving_average_5": ORACLE["moving_average_5_all"],
+    "stream_price_delta": ORACLE["price_delta_all"],
+    "stream_two_sources": _sql(f"""
+        select symbol, date_trunc('minute', make_timestamp(close_ms * 1000)) as window_start,
+          round(avg("close"), {DIGITS}) as avg_close
+        from kline_data
+        where close_ms + 1 <= (select least(max(close_ms) filter (first_trade_id % 2 = 1), max(close_ms) filter (first_trade_id % 2 = 0))
+                               from kline_data)
+        group by all"""),
+    "relay_faults": ORACLE["relay"] + f" where event_id % {FAULT_MODULUS} not in ({', '.join(map(str, FAULTS.values()))})",
+    "relay_balanced": f"""
+        with relayed as ({ORACLE["relay"]})
+        select count(*) as n, sum(strlen(value))::bigint as bytes, {RELAY_PARTS}::bigint as parts, true as even from relayed""".strip(),
+    "orders_between_pruned": ORACLE["orders_between"],
+    "orders_monthly_layout": """
+        select cast(year(o_orderdate) * 100 + month(o_orderdate) as integer) as month, count(*) as n from orders group by 1""".strip(),
+})

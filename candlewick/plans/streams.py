@@ -14,9 +14,10 @@ from __future__ import annotations
 
 import threading
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlewick.operators.windows import average, merge_parts
 from candlewick.plans.ingest import FIXTURE_LAUNCHED, add_messages, backfill_warehouse, build_warehouse
 from candlewick.schemas import KLINE_AGG, LAYOUTS, SYMBOLS
 from candlewick.session import configure, scratch_path
@@ -27,8 +28,12 @@ from candlewick.sources.warehouse import Warehouse, read_table
 from candlewick.streaming.aggregate import start_kline_agg
 from candlewick.streaming.dedupe import start_symbols
 from candlewick.streaming.fanout import await_all, start_fanout
-from candlewick.streaming.stateful import start_closed_windows
+from candlewick.streaming.multisource import beat, last_event_ms, start_sources_agg
 from candlewick.streaming.relay import start_relay_to_files
+from candlewick.streaming.rowframes import (
+    PRICE_DELTA_LAYOUT, moving_average_layout, start_moving_average, start_price_delta,
+)
+from candlewick.streaming.stateful import start_closed_windows
 
 # Where the entries with several arrivals cut the events (hour ends, so windows' ends).
 CUTS = ("2024-01-08", "2024-01-15", "2024-01-22")
@@ -105,9 +110,11 @@ def q_stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _row_counts(fanout_warehouse(configure(spark), sf_dir))
 
 
-def _slice(spark: SparkSession, sf_dir: str, lo: str | None, hi: str | None) -> DataFrame:
-    """Messages of the events with lo <= ts < hi."""
+def _slice(spark: SparkSession, sf_dir: str, lo: str | None, hi: str | None, where: Column | None = None) -> DataFrame:
+    """Messages of the events with lo <= ts < hi (of those that ``where`` holds for)."""
     events = read_events(configure(spark), sf_dir)
+    if where is not None:
+        events = events.where(where)
     if lo is not None:
         events = events.where(F.col("ts") >= F.lit(lo).cast("timestamp"))
     if hi is not None:
@@ -262,6 +269,46 @@ def q_stream_strict_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(KLINE_AGG).parquet(sink).withColumn("avg_close", F.round("avg_close", 6))
 
 
+# -- row-frame windows, several sources ---------------------------------------
+
+def _arrivals(spark: SparkSession, sf_dir: str, start) -> None:
+    """Write the slices one after the other into a folder and run the query that ``start`` starts over it for each."""
+    folder = scratch_path(configure(spark), "messages")
+    for lo, hi in zip((None, *CUTS), (*CUTS, None)):
+        _slice(spark, sf_dir, lo, hi).write.mode("append").text(folder)
+        start(stream_messages(spark, folder)).awaitTermination()
+
+
+def q_stream_moving_average_5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5-row moving average of every symbol, update by update, over four arrivals with restarts."""
+    out, ring, ck = (scratch_path(configure(spark), n) for n in ("stream-ma", "stream-ma-ring", "stream-ma-ck"))
+    _arrivals(spark, sf_dir, lambda m: start_moving_average(m, out, ring, ck, 5))
+    return read_table(spark, out, moving_average_layout(5)).withColumn("ma5", F.round("ma5", 6))
+
+
+def q_stream_price_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, ring, ck = (scratch_path(configure(spark), n) for n in ("stream-delta", "stream-delta-ring", "stream-delta-ck"))
+    _arrivals(spark, sf_dir, lambda m: start_price_delta(m, out, ring, ck))
+    return read_table(spark, out, PRICE_DELTA_LAYOUT)
+
+
+def q_stream_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windowed average of two sources of which one is always an arrival behind: no row is late."""
+    names = ("source-odd", "source-even", "two-sources", "two-sources-ck")
+    odd, even, sink, ck = (scratch_path(configure(spark), n) for n in names)
+    bounds = list(zip((None, *CUTS), (*CUTS, None)))
+    for k in range(len(bounds) + 1):
+        for folder, at, rest in ((odd, k, 1), (even, k - 1, 0)):
+            Files(spark).mkdirs(folder)
+            if 0 <= at < len(bounds):
+                _slice(spark, sf_dir, *bounds[at], where=F.col("event_id") % 2 == rest).write.mode("append").text(folder)
+            elif at >= len(bounds):
+                beat(spark, folder, last_event_ms(spark, folder))      # this source has ended
+        start_sources_agg([stream_messages(spark, odd), stream_messages(spark, even)], sink, ck).awaitTermination()
+    parts = merge_parts(read_table(spark, sink, LAYOUTS["kline_agg"]))
+    return parts.select("symbol", "window_start", F.round(average(), 6).alias("avg_close"))
+
+
 def q_stream_relay(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink, ck = scratch_path(spark, "stream-relay"), scratch_path(spark, "stream-relay-ck")
     q = start_relay_to_files(_source(spark, sf_dir), sink, ck)
@@ -287,4 +334,7 @@ STREAM_QUERIES = {
     "stream_closed_windows": q_stream_closed_windows,
     "stream_late_rows": q_stream_late_rows,
     "stream_strict_averages": q_stream_strict_averages,
+    "stream_moving_average_5": q_stream_moving_average_5,
+    "stream_price_delta": q_stream_price_delta,
+    "stream_two_sources": q_stream_two_sources,
 }

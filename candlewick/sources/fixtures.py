@@ -34,6 +34,9 @@ ASSET_CLASS_OVERRIDES = {"VIEWXYZ": "other"}
 # unparsable close price.
 CORRUPT_MODULUS = 97
 CORRUPT_CLOSE = "n/a"
+# Relay check: what happens to the messages whose event id has these remainders.
+FAULT_MODULUS = 31
+FAULTS = {"empty": 5, "tail": 6, "cut": 7, "array": 8}
 
 KLINE_TEMPLATE = (
     '{"e":"kline","E":%d,"s":"%s","k":{"t":%d,"T":%d,"s":"%s","i":"%s","f":%d,"L":%d,'
@@ -53,6 +56,11 @@ def event_symbol(event_type: Column) -> Column:
 
 def events_to_messages(events: DataFrame) -> DataFrame:
     """``events`` → one ``value STRING`` column of raw messages (narrow: no shuffle)."""
+    return events.select(events_message().alias("value"))
+
+
+def events_message() -> Column:
+    """The raw message of a row of ``events``."""
     e = F.col("event_id")
     ems = F.unix_millis(F.col("ts").cast("timestamp"))
     hour_ms = F.unix_millis(F.date_trunc("hour", F.col("ts").cast("timestamp")))
@@ -70,10 +78,23 @@ def events_to_messages(events: DataFrame) -> DataFrame:
     trade = F.format_string(TRADE_TEMPLATE, ems, sym, e, value, uid, ems)
     control = F.format_string(CONTROL_TEMPLATE, e)
     r = e % MESSAGE_MODULUS
-    msg = (F.when(r == CONTROL_REMAINDER, control)
+    return (F.when(r == CONTROL_REMAINDER, control)
             .when(r == TRADE_REMAINDER, trade)
             .otherwise(kline))
-    return events.select(msg.alias("value"))
+
+
+def faulty_messages(events: DataFrame) -> DataFrame:
+    """The messages with some emptied, cut short, followed by other text, or replaced by another JSON value.
+
+    By the event id's remainder (``FAULTS``): what a relay must drop.
+    """
+    r = F.col("event_id") % FAULT_MODULUS
+    kept = events.withColumn("_m", events_message())
+    text = F.col("_m")
+    bad = (F.when(r == FAULTS["empty"], F.lit("")).when(r == FAULTS["tail"], F.concat(text, F.lit(" tail")))
+           .when(r == FAULTS["cut"], F.substring(text, 1, 20)).when(r == FAULTS["array"], F.concat(F.lit("["), text, F.lit("]")))
+           .otherwise(text))
+    return kept.select(bad.alias("value"))
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
