@@ -17,11 +17,14 @@ import threading
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlewick.operators.parse import parse_klines
+from candlewick.operators.tables import to_kline_data
 from candlewick.operators.windows import average, merge_parts
 from candlewick.plans.ingest import FIXTURE_LAUNCHED, add_messages, backfill_warehouse, build_warehouse
-from candlewick.schemas import KLINE_AGG, LAYOUTS, SYMBOLS
+from candlewick.schemas import KLINE_AGG, KLINE_DATA, LAYOUTS, SYMBOLS
 from candlewick.session import configure, scratch_path
 from candlewick.sources.fixtures import ASSET_CLASS_OVERRIDES, events_to_messages, message_files, read_events
+from candlewick.sources.flush import read_flushed, start_flush
 from candlewick.sources.loads import Files
 from candlewick.sources.messages import stream_messages
 from candlewick.sources.warehouse import Warehouse, read_table
@@ -309,6 +312,13 @@ def q_stream_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.select("symbol", "window_start", F.round(average(), 6).alias("avg_close"))
 
 
+def q_stream_flush_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``kline_data`` through the sink that flushes by number or time."""
+    out, ck = scratch_path(configure(spark), "flushed"), scratch_path(spark, "flushed-ck")
+    start_flush(to_kline_data(parse_klines(_source(spark, sf_dir))), out, ck, batch_rows=1000).awaitTermination()
+    return read_flushed(spark, out, KLINE_DATA)
+
+
 def q_stream_relay(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink, ck = scratch_path(spark, "stream-relay"), scratch_path(spark, "stream-relay-ck")
     q = start_relay_to_files(_source(spark, sf_dir), sink, ck)
@@ -337,4 +347,5 @@ STREAM_QUERIES = {
     "stream_moving_average_5": q_stream_moving_average_5,
     "stream_price_delta": q_stream_price_delta,
     "stream_two_sources": q_stream_two_sources,
+    "stream_flush_writer": q_stream_flush_writer,
 }
