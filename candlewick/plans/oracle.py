@@ -221,6 +221,7 @@ ORACLE.update({
     "stream_moving_average_5": ORACLE["moving_average_5_all"],
     "stream_price_delta": ORACLE["price_delta_all"],
     "stream_flush_writer": ORACLE["kline_data"],
+    "catalog_kline_data": ORACLE["kline_data"],
     "stream_two_sources": _sql(f"""
         select symbol, date_trunc('minute', make_timestamp(close_ms * 1000)) as window_start,
           round(avg("close"), {DIGITS}) as avg_close

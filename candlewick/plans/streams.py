@@ -13,6 +13,7 @@ covered by the tests.
 from __future__ import annotations
 
 import threading
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -225,6 +226,21 @@ def q_compact_then_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wh.table("kline_data").drop("month")
 
 
+def q_catalog_kline_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``kline_data`` by its catalogue name: tables created twice, a build, two more loads, a compaction of some months."""
+    database = f"market_{uuid.uuid4().hex[:12]}"
+    wh = Warehouse(spark, scratch_path(configure(spark), "catalogued"), database)
+    options = dict(launched=FIXTURE_LAUNCHED, asset_classes=ASSET_CLASS_OVERRIDES)
+    wh.create_if_missing()
+    wh.create_if_missing()
+    one, two, _ = SPLITS
+    build_warehouse(_slice(spark, sf_dir, None, one), wh, **options)
+    add_messages(_slice(spark, sf_dir, one, two), wh, **options)
+    wh.compact("kline_data")
+    add_messages(_slice(spark, sf_dir, two, None), wh, **options)
+    return spark.sql(f"SELECT * FROM {database}.kline_data").drop("load", "month")
+
+
 # -- rows that come late -----------------------------------------------------
 
 def _with_stragglers(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
@@ -341,6 +357,7 @@ STREAM_QUERIES = {
     "stream_symbols_value_state": q_stream_symbols_value_state,
     "split_window_merge": q_split_window_merge,
     "compact_then_replay": q_compact_then_replay,
+    "catalog_kline_data": q_catalog_kline_data,
     "stream_closed_windows": q_stream_closed_windows,
     "stream_late_rows": q_stream_late_rows,
     "stream_strict_averages": q_stream_strict_averages,

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from candlewick.functions.time import yyyymm
 from candlewick.operators.windows import average, merge_parts
 from candlewick.schemas import LAYOUTS, TableLayout
+from candlewick.sources.catalog import create_tables, sync
 from candlewick.sources.loads import Files, Loads, Unit
 
 # Rows per output file: keeps files (and a lost task's rework) bounded.
@@ -103,11 +104,12 @@ def read_loads(spark: SparkSession, path: str, layout: TableLayout, folders: lis
 
 
 class Warehouse:
-    """A folder holding the four tables, one sub-folder each."""
+    """A folder holding the tables, one sub-folder each; with ``database``, in the catalogue too (``sources.catalog``)."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, database: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.database = database
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -132,6 +134,13 @@ class Warehouse:
     def write(self, name: str, df: DataFrame, mode: str = "append", clustered: bool = True,
               load: str | None = None, merged: bool = False) -> None:
         write_table(df, self.path(name), LAYOUTS[name], mode, clustered, load, merged=merged)
+        self.register(name)
+
+    def register(self, name: str) -> None:
+        """Bring the catalogue's partitions up to date, if there is a database."""
+        if self.database:
+            create_tables(self.spark, self.root, self.database)
+            sync(self.spark, self.root, self.database, name)
 
     def write_rejects(self, messages: DataFrame, load: str) -> None:
         """Messages (``value``) that did not parse, as one load."""
@@ -148,6 +157,8 @@ class Warehouse:
         """``CREATE TABLE IF NOT EXISTS`` equivalent: a folder without loads is an empty table."""
         for name in LAYOUTS:
             self.loads(name).create()
+        if self.database:
+            create_tables(self.spark, self.root, self.database)
 
     def exists(self, name: str) -> bool:
         return self._files().exists(self.path(name))
@@ -174,8 +185,10 @@ class Warehouse:
         current = read_loads(self.spark, self.path(name), layout, folders)
         if layout.parts is not None:
             current = merge_parts(current)
-        return write_table(current, self.path(name), layout, "append", replaces=units,
-                           merged=layout.parts is not None, keep_replaced=keep_replaced)
+        counts = write_table(current, self.path(name), layout, "append", replaces=units,
+                             merged=layout.parts is not None, keep_replaced=keep_replaced)
+        self.register(name)
+        return counts
 
     def vacuum(self, name: str, older_than_s: float = 0.0) -> None:
         """Delete the files of replaced loads (see ``Loads.vacuum``)."""

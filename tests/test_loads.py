@@ -179,3 +179,23 @@ def test_compacting_an_empty_table(spark, fresh_dir, name):
     wh = Warehouse(spark, fresh_dir)
     wh.create_if_missing()
     assert wh.compact(name) and wh.table(name).count() == 0
+
+
+def test_catalogue_follows_the_manifest(spark, fresh_dir):
+    wh = Warehouse(spark, fresh_dir, "market_loads_test")
+    wh.create_if_missing()
+    wh.create_if_missing()
+    table = lambda n: spark.table(f"market_loads_test.{n}")
+    assert table("kline_data").count() == 0 and table("kline_agg").count() == 0
+    items = [("A", 0, 1.0), ("A", 0, 3.0), ("B", MONTH, 5.0)]
+    for part in (items[:1], items[1:]):
+        wh.write("kline_data", to_kline_data(rows(spark, *part)))
+        wh.write("kline_agg", close_parts(to_candles(rows(spark, *part))), merged=True)
+    assert table("kline_data").count() == 3
+    assert sorted((r.symbol, r.avg_close) for r in table("kline_agg").collect()) == [("A", 2.0), ("B", 5.0)]
+    wh.compact("kline_data", [202507])
+    wh.compact("kline_agg")
+    assert table("kline_data").count() == 3 and table("kline_data").select("load").distinct().count() == 2
+    assert sorted((r.symbol, r.avg_close) for r in table("kline_agg").collect()) == [("A", 2.0), ("B", 5.0)]
+    plan = table("kline_data").where("month = 202507")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan
