@@ -4,6 +4,16 @@ toxicity: documents graded toxic go.  simhash: one document of each near-duplica
 stays (4-word shingles, 4 bits).  substring: passages of 20 words or more that stand in an
 earlier document are cut.  decontaminate: documents with a benchmark passage go.  pack: the
 rest is packed into sequences of 2048 token ids (the last stage's rows are its pieces).
+
+Defined results, in all stages but the last: all columns of ``documents`` come out as they
+came in, whatever their names; only ``substring`` changes texts, and ``n_chars`` with them.
+A null text counts as empty.  Empty texts are not toxic, share one fingerprint (so one of
+them stays), and have no repeats and no benchmark passage; in ``pack`` each document left
+has its end id, also an empty one.  Texts of any length are read whole.  A null ``doc_id``
+is an id of its own; rows with equal ids and different texts are different documents; of
+rows equal in both one stays (``simhash``).  Ties are settled by id, then by the hash of the
+text.  An empty table gives empty tables.  Without labels nothing is toxic; without a
+benchmark nothing is contaminated.
 """
 
 from __future__ import annotations
