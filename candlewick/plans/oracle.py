@@ -109,10 +109,9 @@ ORACLE: dict[str, str] = {
           round(avg("close"), {DIGITS}) as avg_close
         from kline_data group by all"""),
     "avg_volume_crypto": _sql(f"""
-        select kd.symbol, round(avg(kd.volume), {DIGITS}) as avg_volume
-        from kline_data kd join symbols s on kd.symbol = s.symbol
-        where s.asset_class = '{ASSET_CLASS}'
-        group by kd.symbol"""),
+        select symbol, round(avg(volume), {DIGITS}) as avg_volume from kline_data
+        where symbol in (select symbol from symbols where asset_class = '{ASSET_CLASS}')
+        group by symbol"""),
     "moving_average_5": _sql(f"""
         select symbol, open_time, "close",
           round(avg("close") over (partition by symbol {_ORDER} rows between 4 preceding and current row), {DIGITS}) as ma5
@@ -122,10 +121,10 @@ ORACLE: dict[str, str] = {
         select count(*) as n from kline_data
         where open_time >= timestamp '{RANGE_LO}' and open_time < timestamp '{RANGE_HI}'"""),
     "events_in_candles": _sql("""
-        select e.symbol, e.event_time, d.open_time, d."close"
-        from kline_events e join kline_data d
-          on e.symbol = d.symbol and d.open_time <= e.event_time and d.close_time > e.event_time
-        where e.event_type = 'kline'"""),
+        select symbol, happened.event_time, candle.open_time, candle."close"
+        from (select symbol, event_time from kline_events where event_type = 'kline') happened
+        join (select symbol, open_time, close_time, "close" from kline_data) candle using (symbol)
+        where happened.event_time >= candle.open_time and happened.event_time < candle.close_time"""),
     "price_delta": _sql(f"""
         select symbol, open_time, "close",
           lag("close", 1) over (partition by symbol {_ORDER}) as prev_close,

@@ -27,6 +27,7 @@ AGG_WATERMARK_DELAY = "0 seconds"
 
 RAW_MESSAGE = T.StructType([T.StructField("value", T.StringType(), True)])
 
+# The columns and types of the four tables are fixed values too (the stored contract).
 KLINE_DATA = T.StructType([
     T.StructField("symbol", T.StringType()),
     T.StructField("interval", T.StringType()),

@@ -8,11 +8,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def candle_text(df: DataFrame) -> Column:
-    """``TradeKline{symbol='…', close=…, closeTime=…, volume=…}`` of a candle row."""
+    """``candle(SYMBOL close=… at=… volume=…)`` of a candle row."""
     return F.concat(
-        F.lit("TradeKline{symbol='"), F.col("symbol"), F.lit("', close="), F.col("close").cast("string"),
-        F.lit(", closeTime="), F.col("close_time_ms").cast("string"), F.lit(", volume="),
-        F.col("volume").cast("string"), F.lit("}"),
+        F.lit("candle("), F.col("symbol"), F.lit(" close="), F.col("close").cast("string"),
+        F.lit(" at="), F.col("close_time_ms").cast("string"), F.lit(" volume="),
+        F.col("volume").cast("string"), F.lit(")"),
     )
 
 

@@ -22,6 +22,7 @@ def fresh_dir():
     return tempfile.mkdtemp(prefix="candlewick-test-")
 
 
+# Fixed value: the documented sample message.
 SAMPLE = ('{"e":"kline","E":1752397290016,"s":"BNBBTC","k":{"t":1752397260000,"T":1752397319999,"s":"BNBBTC",'
           '"i":"1m","f":273280640,"L":273280663,"o":"0.00585100","c":"0.00585000","h":"0.00585100",'
           '"l":"0.00584900","v":"5.68800000","n":24,"x":false,"q":"0.03327391","V":"1.25900000",'

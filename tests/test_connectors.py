@@ -28,6 +28,6 @@ def test_jdbc_options():
 def test_candle_text_and_label(spark):
     c = to_candles(parse_klines(spark.createDataFrame([(SAMPLE,)], "value string")))
     line = c.select(candle_text(c).alias("t")).collect()[0].t
-    assert line == "TradeKline{symbol='BNBBTC', close=0.00585, closeTime=1752397319999, volume=5.688}"
+    assert line == "candle(BNBBTC close=0.00585 at=1752397319999 volume=5.688)"
     lab = labelled(c.select("symbol"), "Parsed").collect()[0].line
     assert lab == 'Parsed> {"symbol":"BNBBTC"}'
