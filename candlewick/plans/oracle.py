@@ -221,6 +221,9 @@ ORACLE.update({
     "stream_price_delta": ORACLE["price_delta_all"],
     "stream_flush_writer": ORACLE["kline_data"],
     "catalog_kline_data": ORACLE["kline_data"],
+    "symbol_lookup": _sql(f"""
+        select {KD_COLS} from kline_data
+        where symbol = 'ERRORBTC' and open_time >= timestamp '{CUTS[0]}' and open_time < timestamp '{CUTS[1]}'"""),
     "stream_two_sources": _sql(f"""
         select symbol, date_trunc('minute', make_timestamp(close_ms * 1000)) as window_start,
           round(avg("close"), {DIGITS}) as avg_close

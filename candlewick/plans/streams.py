@@ -43,6 +43,7 @@ from candlewick.streaming.stateful import start_closed_windows
 CUTS = ("2024-01-08", "2024-01-15", "2024-01-22")
 # Where the loads that split windows are cut (inside hours, and a candle's updates share one window).
 SPLITS = ("2024-01-08 12:30:00", "2024-01-15 07:20:00", "2024-01-22 18:45:00")
+LOOKUP_SYMBOL = "ERRORBTC"
 # Messages that come one arrival late.
 STRAGGLERS, STRAGGLER_REMAINDER = 29, 3
 
@@ -226,6 +227,16 @@ def q_compact_then_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wh.table("kline_data").drop("month")
 
 
+def q_symbol_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One symbol's updates of some days, from the files that can hold them, after a backfill and a compaction."""
+    wh = Warehouse(spark, scratch_path(configure(spark), "lookup"))
+    backfill_warehouse(spark, message_files(spark, sf_dir), wh, scratch_path(spark, "lookup-ck"), max_files_per_trigger=4,
+                       launched=FIXTURE_LAUNCHED, asset_classes=ASSET_CLASS_OVERRIDES)
+    wh.compact("kline_data")
+    add_messages(_slice(spark, sf_dir, None, CUTS[0]), wh, launched=FIXTURE_LAUNCHED, asset_classes=ASSET_CLASS_OVERRIDES)
+    return wh.lookup("kline_data", LOOKUP_SYMBOL, CUTS[0], CUTS[1]).drop("month")
+
+
 def q_catalog_kline_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``kline_data`` by its catalogue name: tables created twice, a build, two more loads, a compaction of some months."""
     database = f"market_{uuid.uuid4().hex[:12]}"
@@ -358,6 +369,7 @@ STREAM_QUERIES = {
     "split_window_merge": q_split_window_merge,
     "compact_then_replay": q_compact_then_replay,
     "catalog_kline_data": q_catalog_kline_data,
+    "symbol_lookup": q_symbol_lookup,
     "stream_closed_windows": q_stream_closed_windows,
     "stream_late_rows": q_stream_late_rows,
     "stream_strict_averages": q_stream_strict_averages,

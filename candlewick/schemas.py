@@ -124,6 +124,11 @@ class TableLayout:
     def partition_by(self) -> tuple[str, ...]:
         return ("month",) if self.month_of else ()
 
+    @property
+    def range_of(self) -> tuple[str, ...]:
+        """Key and time column whose ranges choose files; empty for a table without a time."""
+        return (self.sort_by[0], self.month_of or self.sort_by[-1]) if len(self.sort_by) > 1 else ()
+
     @property
     def stored(self) -> T.StructType:
         return self.parts or self.schema

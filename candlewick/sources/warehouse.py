@@ -21,11 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewick.functions.time import yyyymm
+from candlewick.functions.time import ts_literal, yyyymm
 from candlewick.operators.windows import average, merge_parts
 from candlewick.schemas import LAYOUTS, TableLayout
 from candlewick.sources.catalog import create_tables, sync
-from candlewick.sources.loads import Files, Loads, Unit
+from candlewick.sources.loads import Files, Loads, State, Unit
 
 # Rows per output file: keeps files (and a lost task's rework) bounded.
 MAX_RECORDS_PER_FILE = 5_000_000
@@ -52,14 +52,16 @@ def stream_load(checkpoint: str, batch_id: int) -> str:
 
 def write_table(df: DataFrame, path: str, layout: TableLayout, mode: str = "append",
                 clustered: bool = True, load: str | None = None, replaces: list[Unit] | None = None,
-                merged: bool = False, keep_replaced: bool = False) -> bool:
+                merged: bool = False, keep_replaced: bool = False, stats: bool = False) -> bool:
     """Write ``df`` in the table's layout as one load (a new one if ``load`` is None) and commit it.
 
     A load that was committed before is left as it is.  ``mode="append"`` adds the load
     beside the others (or in place of ``replaces``), ``"overwrite"`` puts it in place of all
     that was committed.  Files of replaced loads are deleted after the commit unless
     ``keep_replaced`` (then ``Loads.vacuum`` does it later).  False if the load is void
-    because something it replaces was replaced by another.
+    because something it replaces was replaced by another.  ``stats`` keeps the least and
+    greatest key of each file with the load (one more pass over two columns), from which
+    ``Warehouse.lookup`` chooses files, and deals the rows by ranges of the sort key.
 
     ``clustered=True`` first rebalances on (month, symbol): rows of one symbol
     and month land together, AQE merges small partitions, and a partition that
@@ -75,7 +77,10 @@ def write_table(df: DataFrame, path: str, layout: TableLayout, mode: str = "appe
         return True
     out = with_layout_columns(df, layout)
     keys = [*layout.partition_by, *layout.sort_by]
-    if clustered:
+    if stats:
+        # Files of disjoint key ranges; exact copies are split by their input position.
+        out = out.repartitionByRange(*[F.col(k) for k in keys], F.monotonically_increasing_id())
+    elif clustered:
         out = out.hint("rebalance", *layout.partition_by, layout.sort_by[0])
     out = out.sortWithinPartitions(*keys)
     load = load or uuid.uuid4().hex
@@ -84,6 +89,8 @@ def write_table(df: DataFrame, path: str, layout: TableLayout, mode: str = "appe
         writer = writer.partitionBy(*layout.partition_by)
     writer.parquet(f"{path}/load={load}")
     months = loads.months_written(load) if layout.month_of else None
+    if stats and len(layout.range_of) == 2:
+        file_ranges(df.sparkSession, f"{path}/load={load}", layout).write.mode("overwrite").parquet(loads.stats_path(load))
     gone = "*" if mode == "overwrite" else replaces or []
     counts = loads.commit(load, months, gone, merged)
     if counts and gone and not keep_replaced:
@@ -91,6 +98,15 @@ def write_table(df: DataFrame, path: str, layout: TableLayout, mode: str = "appe
     return counts
 
 
+def file_ranges(spark: SparkSession, folder: str, layout: TableLayout) -> DataFrame:
+    """file (path below the load's folder), rows, and least and greatest of the layout's two range columns."""
+    key, time = layout.range_of
+    rows = spark.read.schema(layout.stored).parquet(folder).select(
+        F.element_at(F.split("_metadata.file_path", "/load=[^/]*/"), -1).alias("file"), F.col(key).alias("k"), F.col(time).alias("t"))
+    return rows.groupBy("file").agg(F.count(F.lit(1)).alias("rows"), F.min("k").alias("k_lo"), F.max("k").alias("k_hi"),
+                                    F.min("t").alias("t_lo"), F.max("t").alias("t_hi"))
+
+
 def read_table(spark: SparkSession, path: str, layout: TableLayout) -> DataFrame:
     """The rows of all loads that count, as stored (``month`` included where there is one)."""
     return read_loads(spark, path, layout, Loads(spark, path).paths()).drop("load")
@@ -131,6 +147,32 @@ class Warehouse:
             rows = merge_parts(rows)
         return rows.select("symbol", "window_start", average())
 
+    def lookup(self, name: str, key: str, lo=None, hi=None) -> DataFrame:
+        """The table's rows of one key (its first sort column, the symbol) with lo <= time < hi.
+
+        Of loads with file ranges only the files that can hold such rows are read (the
+        driver gets their names); of other loads the row groups' statistics decide.
+        """
+        layout, loads = LAYOUTS[name], self.loads(name)
+        key_col, time_col = layout.range_of
+        state = loads.state()
+        wanted = F.col(key_col) == F.lit(key)
+        may = (F.col("k_lo") <= F.lit(key)) & (F.col("k_hi") >= F.lit(key))
+        if lo is not None:
+            wanted, may = wanted & (F.col(time_col) >= ts_literal(lo)), may & (F.col("t_hi") >= ts_literal(lo))
+        if hi is not None:
+            wanted, may = wanted & (F.col(time_col) < ts_literal(hi)), may & (F.col("t_lo") < ts_literal(hi))
+        ranged = [load for load in state.live if loads.files.exists(loads.stats_path(load))]
+        rest = State({k: v for k, v in state.live.items() if k not in ranged}, partial=state.partial)
+        folders = loads.paths(rest)
+        if ranged:
+            found = self.spark.read.option("basePath", f"{loads.folder}/stats").parquet(*[loads.stats_path(x) for x in ranged])
+            for r in found.where(may).select("load", "file").collect():
+                months, month = state.live[r.load], r.file.rsplit("/", 1)[0].removeprefix("month=")
+                if months is None or int(month) in months:
+                    folders.append(f"{self.path(name)}/load={r.load}/{r.file}")
+        return read_loads(self.spark, self.path(name), layout, folders).drop("load").where(wanted)
+
     def write(self, name: str, df: DataFrame, mode: str = "append", clustered: bool = True,
               load: str | None = None, merged: bool = False) -> None:
         write_table(df, self.path(name), LAYOUTS[name], mode, clustered, load, merged=merged)
@@ -186,7 +228,7 @@ class Warehouse:
         if layout.parts is not None:
             current = merge_parts(current)
         counts = write_table(current, self.path(name), layout, "append", replaces=units,
-                             merged=layout.parts is not None, keep_replaced=keep_replaced)
+                             merged=layout.parts is not None, keep_replaced=keep_replaced, stats=True)
         self.register(name)
         return counts
 

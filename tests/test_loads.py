@@ -199,3 +199,24 @@ def test_catalogue_follows_the_manifest(spark, fresh_dir):
     assert sorted((r.symbol, r.avg_close) for r in table("kline_agg").collect()) == [("A", 2.0), ("B", 5.0)]
     plan = table("kline_data").where("month = 202507")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month" in plan
+
+
+def test_lookup_reads_only_files_that_can_hold_the_symbol(spark, fresh_dir):
+    wh = Warehouse(spark, fresh_dir)
+    items = [(f"S{k:02d}", 1000 * i, float(i)) for k in range(12) for i in range(20)] + [("S05", MONTH, 1.0)]
+    wh.write("kline_data", to_kline_data(rows(spark, *items)))
+    # As many files as shuffle partitions, as at scale: AQE would merge these few rows into one.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert wh.compact("kline_data")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    wh.write("kline_data", to_kline_data(rows(spark, ("S05", 5000, 9.0), ("S99", 0, 1.0))))      # a load without ranges
+    table = wh.table("kline_data")
+    for args, cond in ((("S05",), "symbol = 'S05'"), (("S05", "2025-07-13T09:01:00", "2025-07-13T09:01:10"),
+                       "symbol = 'S05' and open_time >= timestamp'2025-07-13 09:01:00' and open_time < timestamp'2025-07-13 09:01:10'"),
+                       (("nobody",), "false")):
+        got = wh.lookup("kline_data", *args)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, table.where(cond).collect()))
+    whole, few = len(table.inputFiles()), len(wh.lookup("kline_data", "S05").inputFiles())
+    assert few < whole / 2
