@@ -6,7 +6,7 @@ symbol may hold a third of all rows.  Frames that look back a fixed number of
 rows only need that many rows of context, so the work is cut into chunks of a
 bounded number of rows instead:
 
-1. one light pass picks some rows by the hash of their whole sort key and counts all rows.
+1. one light pass picks the rows whose sort keys have the least hashes, which also tells how many rows there are.
    The picked keys, in order, cut the table into chunks of about ``chunk_rows`` rows.  They
    are few (bounded by ``MOST_KEYS``), and decide nothing but the cut;
 2. each row goes to the chunk its key falls in.  Rows between the ``lookback``-th picked key
@@ -31,7 +31,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Observation, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from candlewick.session import scratch_path
@@ -82,14 +82,16 @@ def number_rows(df: DataFrame, order_by: Sequence[Column | str], pos_col: str =
 def _picked(keyed: DataFrame, chunk_rows: int, lookback: int) -> pa.Table:
     """One row: ``e``, where chunks end, and ``t``, from where on rows are context of the next chunk, as sort keys in order."""
     def pick(most: int) -> tuple[pa.Table, int]:
-        seen = Observation()
-        some = (keyed.select("_key").observe(seen, F.count(F.lit(1)).alias("n"))
-                .orderBy(F.xxhash64("_key"), "_key").limit(most).select("_key.*").toArrow())
-        return some, seen.get["n"]
+        some = keyed.select("_key.*", F.xxhash64("_key").alias("_h")).orderBy("_h").limit(most).toArrow()
+        n = len(some)
+        if n == most:
+            # All hashes up to the greatest picked one were picked: their share of the range tells how many rows there are.
+            n = int(most / ((pc.max(some["_h"]).as_py() + (1 << 63) + 1) / (1 << 64)))
+        return some.drop_columns(["_h"]), n
 
     keys, n = pick(FIRST_KEYS)
     chunks = -(-n // chunk_rows)
-    if n > len(keys) and chunks * KEYS_A_CHUNK > len(keys):
+    if len(keys) == FIRST_KEYS and chunks * KEYS_A_CHUNK > len(keys):
         keys, n = pick(min(chunks * KEYS_A_CHUNK, MOST_KEYS))
     order = pc.sort_indices(keys, [(c, "ascending") for c in keys.column_names], null_placement="at_start")
     step = max(lookback, 1, -(-len(keys) * chunk_rows // max(n, 1)))
@@ -144,19 +146,21 @@ def chunked_window(
         return F.size(F.filter(a, lambda e: e <= F.col("_key")))
 
     # How many ends are at or below the key: among every step-th of them, then among those between.
-    placed = keyed.withColumns({"_ends": cut.select("e").scalar(), "_tails": cut.select("t").scalar()})
-    coarse = below(F.filter("_ends", lambda e, i: i % step == 0)) if step > 1 else below(F.col("_ends"))
-    placed = placed.withColumn("_chunk", coarse)
+    kept = [*out_cols, "_key", *(["_context"] if context is not None else [])]
+    placed = keyed.select(*kept, cut.select("e").scalar().alias("_ends"), cut.select("t").scalar().alias("_tails"))
     if step > 1:
-        placed = placed.withColumn("_chunk", F.when(F.col("_chunk") == 0, 0).otherwise(
-            (F.col("_chunk") - 1) * step + below(F.slice("_ends", (F.col("_chunk") - 1) * step + 1, F.lit(step)))))
+        coarse = below(F.filter("_ends", lambda e, i: i % step == 0))
+        chunk = F.element_at(F.transform(F.array(coarse), lambda c: F.when(c == 0, 0).otherwise(
+            (c - 1) * step + below(F.slice("_ends", (c - 1) * step + 1, F.lit(step))))), 1)
+    else:
+        chunk = below(F.col("_ends"))
     if lookback:
-        both = F.when(F.get("_tails", F.col("_chunk")) <= F.col("_key"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-        placed = placed.withColumn("_shift", F.explode(both))
+        placed = placed.select(*kept, "_tails", chunk.alias("_chunk"))
+        shifts = F.when(F.get("_tails", F.col("_chunk")) <= F.col("_key"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        placed = placed.select(*kept, "_chunk", F.explode(shifts).alias("_shift")).select(
+            *kept, (F.col("_chunk") + F.col("_shift")).alias("_chunk"), (F.col("_shift") == 1).alias("_halo"))
     else:
-        placed = placed.withColumn("_shift", F.lit(0))
-    kept = [*out_cols, "_key", *(["_context"] if context is not None else [])]
-    placed = placed.select(*kept, (F.col("_chunk") + F.col("_shift")).alias("_chunk"), (F.col("_shift") == 1).alias("_halo"))
+        placed = placed.select(*kept, chunk.alias("_chunk"), F.lit(False).alias("_halo"))
     # Range-partitioning on (keys, chunk) satisfies the window's clustering, so the
     # window adds no exchange and its output is already in (keys, chunk, key) order.
     placed = placed.repartitionByRange(*keys, "_chunk")
