@@ -81,18 +81,19 @@ def number_rows(df: DataFrame, order_by: Sequence[Column | str], pos_col: str =
 
 def _picked(keyed: DataFrame, chunk_rows: int, lookback: int) -> pa.Table:
     """One row: ``e``, where chunks end, and ``t``, from where on rows are context of the next chunk, as sort keys in order."""
-    def pick(most: int) -> tuple[pa.Table, int]:
-        some = keyed.select("_key.*", F.xxhash64("_key").alias("_h")).orderBy("_h").limit(most).toArrow()
-        n = len(some)
-        if n == most:
-            # All hashes up to the greatest picked one were picked: their share of the range tells how many rows there are.
-            n = int(most / ((pc.max(some["_h"]).as_py() + (1 << 63) + 1) / (1 << 64)))
-        return some.drop_columns(["_h"]), n
-
-    keys, n = pick(FIRST_KEYS)
-    chunks = -(-n // chunk_rows)
-    if len(keys) == FIRST_KEYS and chunks * KEYS_A_CHUNK > len(keys):
-        keys, n = pick(min(chunks * KEYS_A_CHUNK, MOST_KEYS))
+    hashed = keyed.select("_key.*", F.xxhash64("_key").alias("_h"))
+    keys, n = hashed.orderBy("_h").limit(FIRST_KEYS).toArrow(), 0
+    if len(keys) < FIRST_KEYS:
+        n = len(keys)
+    else:
+        # All hashes up to the greatest picked one were picked: their share of the range tells how many rows there are.
+        n = int(FIRST_KEYS / ((pc.max(keys["_h"]).as_py() + (1 << 63) + 1) / (1 << 64)))
+        chunks = -(-n // chunk_rows)
+        if chunks * KEYS_A_CHUNK > FIRST_KEYS:
+            # More of them: all below a hash that so many rows should have, without a sort.
+            share = min(1.0, min(chunks * KEYS_A_CHUNK, MOST_KEYS) / n)
+            keys = hashed.where(F.col("_h") <= F.lit(min(int(share * (1 << 64)), (1 << 64) - 1) - (1 << 63))).toArrow()
+    keys = keys.drop_columns(["_h"])
     order = pc.sort_indices(keys, [(c, "ascending") for c in keys.column_names], null_placement="at_start")
     step = max(lookback, 1, -(-len(keys) * chunk_rows // max(n, 1)))
     cuts = np.arange(step, len(keys), step)
@@ -140,27 +141,25 @@ def chunked_window(
     picked = _picked(keyed, chunk_rows, lookback)
     # One row of a few keys for each chunk, read by the tasks as a constant.
     cut = df.sparkSession.createDataFrame(picked)
-    step = max(1, int(len(picked["e"][0]) ** 0.5))
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(len(picked["e"][0]).bit_length()))] or [F.lit(1)])
 
-    def below(a: Column) -> Column:
-        return F.size(F.filter(a, lambda e: e <= F.col("_key")))
+    def place(c: Column) -> Column:
+        """How many ends are at or below the key (by bisection), and whether the row is context of the next chunk too."""
+        chunk = F.aggregate(steps, F.lit(0), lambda n, s: F.when(F.get(c["e"], n + s - 1) <= F.col("_key"), n + s).otherwise(n))
+        return F.element_at(F.transform(F.array(chunk), lambda n: F.struct(
+            n.alias("n"), F.coalesce(F.get(c["t"], n) <= F.col("_key"), F.lit(False)).alias("tail"))), 1)
 
-    # How many ends are at or below the key: among every step-th of them, then among those between.
+    # Named once, in an expression: the projections are merged and the lists of keys are never copied into a row.
     kept = [*out_cols, "_key", *(["_context"] if context is not None else [])]
-    placed = keyed.select(*kept, cut.select("e").scalar().alias("_ends"), cut.select("t").scalar().alias("_tails"))
-    if step > 1:
-        coarse = below(F.filter("_ends", lambda e, i: i % step == 0))
-        chunk = F.element_at(F.transform(F.array(coarse), lambda c: F.when(c == 0, 0).otherwise(
-            (c - 1) * step + below(F.slice("_ends", (c - 1) * step + 1, F.lit(step))))), 1)
-    else:
-        chunk = below(F.col("_ends"))
+    ends = cut.select(F.struct("e", "t")).scalar()
+    placed = keyed.select(*kept, ends.alias("_ends")).select(
+        *kept, F.element_at(F.transform(F.array("_ends"), place), 1).alias("_at"))
     if lookback:
-        placed = placed.select(*kept, "_tails", chunk.alias("_chunk"))
-        shifts = F.when(F.get("_tails", F.col("_chunk")) <= F.col("_key"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-        placed = placed.select(*kept, "_chunk", F.explode(shifts).alias("_shift")).select(
-            *kept, (F.col("_chunk") + F.col("_shift")).alias("_chunk"), (F.col("_shift") == 1).alias("_halo"))
+        copies = F.when(F.col("_at.tail"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+        placed = placed.select(*kept, F.col("_at.n").alias("_n"), F.explode(copies).alias("_halo"))
+        placed = placed.select(*kept, (F.col("_n") + F.col("_halo").cast("int")).alias("_chunk"), "_halo")
     else:
-        placed = placed.select(*kept, chunk.alias("_chunk"), F.lit(False).alias("_halo"))
+        placed = placed.select(*kept, F.col("_at.n").alias("_chunk"), F.lit(False).alias("_halo"))
     # Range-partitioning on (keys, chunk) satisfies the window's clustering, so the
     # window adds no exchange and its output is already in (keys, chunk, key) order.
     placed = placed.repartitionByRange(*keys, "_chunk")

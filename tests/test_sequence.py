@@ -118,3 +118,16 @@ def test_exact_copies_are_split_by_the_numbering_sort(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert sorted(r._pos for r in rows) == list(range(3010))
     assert hot_files >= 2
+
+
+def test_many_chunks_cost_a_bisection_a_row(spark):
+    """2,000 chunks give the plain window's rows, and no list of chunk ends is searched through or carried in rows."""
+    df = spark.range(12_000).select(F.lit("A").alias("sym"), (F.col("id") % 5000).cast("int").alias("t"),
+                                    F.col("id").cast("double").alias("v"), F.col("id").cast("int").alias("id"))
+    out = chunked_window(df, ["sym"], ["t", "id"], 4, lambda w: {"ma": F.avg("v").over(w.rowsBetween(-4, 0)),
+                                                                 "prev": F.lag("v", 1).over(w)}, chunk_rows=6)
+    got = {(r.id, round(r.ma, 9), r.prev) for r in out.collect()}
+    assert got == {(r.id, round(r.ma, 9), r.prev) for r in reference(df, 4).collect()}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" in plan and "filter(" not in plan
+    assert "AS _ends" not in plan and "AS _tails" not in plan
