@@ -115,8 +115,15 @@ def q_stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _row_counts(fanout_warehouse(configure(spark), sf_dir))
 
 
-def _slice(spark: SparkSession, sf_dir: str, lo: str | None, hi: str | None, where: Column | None = None) -> DataFrame:
-    """Messages of the events with lo <= ts < hi (of those that ``where`` holds for)."""
+def _slice(spark: SparkSession, sf_dir: str, lo: str | None, hi: str | None, where: Column | None = None,
+           spread: bool = False) -> DataFrame:
+    """Messages of the events with lo <= ts < hi (of those that ``where`` holds for).
+
+    ``spread``: dealt to as many tasks as the session has shuffle partitions.  A scan has a
+    task for each row group that holds such rows, few for a short time in a large file, and
+    they would render and parse all of it.  Not for files that a stream takes a few at a
+    time: each would hold rows of the whole slice.
+    """
     events = read_events(configure(spark), sf_dir)
     if where is not None:
         events = events.where(where)
@@ -124,6 +131,8 @@ def _slice(spark: SparkSession, sf_dir: str, lo: str | None, hi: str | None, whe
         events = events.where(F.col("ts") >= F.lit(lo).cast("timestamp"))
     if hi is not None:
         events = events.where(F.col("ts") < F.lit(hi).cast("timestamp"))
+    if spread:
+        events = events.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     return events_to_messages(events)
 
 
@@ -233,7 +242,7 @@ def q_symbol_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     backfill_warehouse(spark, message_files(spark, sf_dir), wh, scratch_path(spark, "lookup-ck"), max_files_per_trigger=4,
                        launched=FIXTURE_LAUNCHED, asset_classes=ASSET_CLASS_OVERRIDES)
     wh.compact("kline_data")
-    add_messages(_slice(spark, sf_dir, None, CUTS[0]), wh, launched=FIXTURE_LAUNCHED, asset_classes=ASSET_CLASS_OVERRIDES)
+    add_messages(_slice(spark, sf_dir, None, CUTS[0], spread=True), wh, launched=FIXTURE_LAUNCHED, asset_classes=ASSET_CLASS_OVERRIDES)
     return wh.lookup("kline_data", LOOKUP_SYMBOL, CUTS[0], CUTS[1]).drop("month")
 
 
@@ -245,10 +254,10 @@ def q_catalog_kline_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh.create_if_missing()
     wh.create_if_missing()
     one, two, _ = SPLITS
-    build_warehouse(_slice(spark, sf_dir, None, one), wh, **options)
-    add_messages(_slice(spark, sf_dir, one, two), wh, **options)
+    build_warehouse(_slice(spark, sf_dir, None, one, spread=True), wh, **options)
+    add_messages(_slice(spark, sf_dir, one, two, spread=True), wh, **options)
     wh.compact("kline_data")
-    add_messages(_slice(spark, sf_dir, two, None), wh, **options)
+    add_messages(_slice(spark, sf_dir, two, None, spread=True), wh, **options)
     return spark.sql(f"SELECT * FROM {database}.kline_data").drop("load", "month")
 
 
@@ -305,7 +314,7 @@ def _arrivals(spark: SparkSession, sf_dir: str, start) -> None:
     """Write the slices one after the other into a folder and run the query that ``start`` starts over it for each."""
     folder = scratch_path(configure(spark), "messages")
     for lo, hi in zip((None, *CUTS), (*CUTS, None)):
-        _slice(spark, sf_dir, lo, hi).write.mode("append").text(folder)
+        _slice(spark, sf_dir, lo, hi, spread=True).write.mode("append").text(folder)
         start(stream_messages(spark, folder)).awaitTermination()
 
 

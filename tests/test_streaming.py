@@ -4,6 +4,7 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from candlewick.schemas import KLINE_AGG, SYMBOLS
 from candlewick.sources.messages import stream_messages
@@ -207,3 +208,17 @@ def test_fanout_permissive_with_a_bad_message(spark, fresh_dir):
                            launched="2025-07-13"))
     counts = {n: wh.table(n).count() for n in ("kline_data", "kline_events", "symbols", "kline_agg")}
     assert counts == {"kline_data": 6, "kline_events": 6, "symbols": 2, "kline_agg": 2}
+
+
+def test_slices_of_one_row_group_are_spread(spark, fresh_dir):
+    """One row group is read by one task; what is rendered and parsed of it is dealt to all, with the same messages."""
+    from candlewick.plans.streams import _slice
+    rows = spark.range(500).select(
+        "id", (F.lit("2024-01-09 00:00:00").cast("timestamp") + F.make_dt_interval(secs=F.col("id"))).alias("ts"))
+    rows.select(F.col("id").alias("event_id"), "ts", F.lit(3).cast("long").alias("user_id"), F.lit("click").alias("event_type"),
+                F.lit(2.5).alias("value"), F.lit('{"k":1}').alias("props")).coalesce(1).write.parquet(f"{fresh_dir}/events.parquet")
+    plain, spread = (_slice(spark, fresh_dir, "2024-01-09", "2024-01-09 00:05:00", spread=s) for s in (False, True))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert plain.rdd.getNumPartitions() == 1 and spread.rdd.getNumPartitions() == parts
+    assert sorted(r.value for r in spread.collect()) == sorted(r.value for r in plain.collect())
+    assert plain.count() == 300
