@@ -162,8 +162,7 @@ def q_compact_after_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = Warehouse(spark, scratch_path(configure(spark), "backfilled"))
     backfill_warehouse(spark, message_files(spark, sf_dir), wh, scratch_path(spark, "backfill-ck"),
                        max_files_per_trigger=4, launched=FIXTURE_LAUNCHED, asset_classes=ASSET_CLASS_OVERRIDES)
-    for name in ("kline_data", "kline_events", "symbols", "kline_agg"):
-        wh.compact(name)
+    wh.compact_all(("kline_data", "kline_events", "symbols", "kline_agg"))
     return wh.table("kline_data").drop("month")
 
 
@@ -229,8 +228,7 @@ def q_compact_then_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     ck = scratch_path(spark, "replayed-ck")
     options = dict(max_files_per_trigger=4, launched=FIXTURE_LAUNCHED, asset_classes=ASSET_CLASS_OVERRIDES)
     backfill_warehouse(spark, message_files(spark, sf_dir), wh, ck, **options)
-    for name in ("kline_data", "kline_events", "symbols", "kline_agg"):
-        wh.compact(name)
+    wh.compact_all(("kline_data", "kline_events", "symbols", "kline_agg"))
     replay_last_batch(spark, f"{ck}/stateless")
     backfill_warehouse(spark, message_files(spark, sf_dir), wh, ck, **options)
     return wh.table("kline_data").drop("month")

@@ -116,3 +116,39 @@ def test_offset_bounds_read_the_right_month(spark):
     for month in ("month", None):
         assert df.where(time_range("ts", "2024-07-01T00:00:00+02:00", "2024-07-02", month)).count() == 1
         assert df.where(time_range("ts", "2024-07-01T00:00:00", "2024-07-02", month)).count() == 0
+
+
+def test_file_ranges_do_not_sort_all_rows(spark, fresh_dir):
+    """Least and greatest of each file, null keys and times among them; no sort of the rows that are read."""
+    from candlewick.sources.warehouse import file_ranges
+    layout = LAYOUTS["kline_events"]
+    t0 = dt.datetime(2025, 7, 1)
+    files = [[("A", 3), ("B", 1), ("B", None), (None, 9)], [("C", 5)], [(None, 2), (None, None)]]
+    for k, items in enumerate(files):
+        rows = [("kline", None if at is None else t0 + dt.timedelta(hours=at), s) for s, at in items]
+        spark.createDataFrame(rows, layout.stored).coalesce(1).write.parquet(os.path.join(fresh_dir, "load=x", f"month={k}"))
+    found = file_ranges(spark, os.path.join(fresh_dir, "load=x"), layout)
+    hours = {None: None, **{t0 + dt.timedelta(hours=h): h for h in range(24)}}
+    assert {r.file.split("/")[0]: (r.rows, r.k_lo, r.k_hi, hours[r.t_lo], hours[r.t_hi]) for r in found.collect()} == {
+        "month=0": (4, "A", "B", 1, 9), "month=1": (1, "C", "C", 5, 5), "month=2": (2, None, None, 2, 2)}
+    plan = found._jdf.queryExecution().sparkPlan().toString().strip().splitlines()
+    first = [line for line in plan if "Aggregate(" in line][-1]      # the step next to the scan
+    assert "HashAggregate(" in first and "ObjectHashAggregate(" not in first
+
+
+def test_tables_are_compacted_side_by_side(spark, fresh_dir, monkeypatch):
+    """Each table's compaction starts before another has ended; every table ends as one load with its rows."""
+    import threading
+    wh = Warehouse(spark, fresh_dir)
+    msgs = [kline_message(s, B + 59999 + i, float(i), first=i) for i in range(3) for s in ("B", "A")]
+    kd = to_kline_data(parse_klines(spark.createDataFrame([(m,) for m in msgs], "value string")))
+    events = kd.select(kd.interval.alias("event_type"), "event_time", "symbol")
+    for name, df in (("kline_data", kd), ("kline_events", events)) * 2:
+        wh.write(name, df)
+    before = {n: sorted(tuple(r) for r in wh.table(n).collect()) for n in ("kline_data", "kline_events")}
+    meet, compact = threading.Barrier(2, timeout=60), Warehouse.compact
+    monkeypatch.setattr(Warehouse, "compact", lambda self, name: (meet.wait(), compact(self, name))[1])
+    wh.compact_all(("kline_data", "kline_events"))
+    for name, rows in before.items():
+        assert sorted(tuple(r) for r in wh.table(name).collect()) == rows and len(rows) == 12
+        assert len(wh.loads(name).state().live) == 1
