@@ -28,15 +28,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm._common import LOWER, expand, materialise, plain, shuffle_parts, split_words, text_slices, translated
+from candlewick.llm._common import LOWER, materialise, plain, shuffle_parts, split_words, text_slices, translated
 from candlewick.llm.components import components
 from candlewick.llm.runs import Forest, block_pairs, buckets
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
 #: Fingerprints of one list held at once.
 LIST_LIMIT = 8192
-#: Shingles whose bits are counted at once (64 bytes each).
-BIT_ROWS = 1 << 19
+#: Text split into words at once, and shingles hashed and counted at once: a worker's arrays and
+#: lists take 20 to 60 times the text, and workers keep much of what they once took.
+SLICE = 1 << 20
+BIT_ROWS = 1 << 14
 
 
 def fingerprints(text: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
@@ -56,22 +58,22 @@ def fingerprints(text: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
     shift = np.zeros(len(n), np.int64)
     shift[full] = where[:-1][full] - starts[offs[:-1][full]]
     per = np.where(full, np.maximum(n - shingle + 1, 1), 0)
-    first = expand(offs[:-1], per)
-    last = np.minimum(first + shingle, np.repeat(offs[1:], per)) - 1
-    move = np.repeat(shift, per)
     raw = memoryview(data)[: where[-1]] if data is not None else memoryview(b"")
-    lo, hi = starts[first] + move, starts[last] + size[last] + move
-    hashes = np.fromiter((xxh(raw[a:b], SEED) for a, b in zip(lo.tolist(), hi.tolist())), np.uint64, len(lo))
 
     counts = np.zeros((len(n), 64), np.int64)
     bounds = np.concatenate([[0], np.cumsum(per)])
-    for at in range(0, len(hashes), BIT_ROWS):
-        to = min(len(hashes), at + BIT_ROWS)
-        bits = np.unpackbits(hashes[at:to].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    for at in range(0, int(bounds[-1]), BIT_ROWS):
+        to = min(int(bounds[-1]), at + BIT_ROWS)
         a = int(np.searchsorted(bounds, at, side="right")) - 1
         b = int(np.searchsorted(bounds, to, side="left"))
         own = np.arange(a, b)[per[a:b] > 0]
         begin = np.maximum(bounds[own] - at, 0)
+        doc = np.repeat(own, np.diff(np.append(begin, to - at)))
+        first = offs[doc] + np.arange(at, to) - bounds[doc]
+        last = np.minimum(first + shingle, offs[doc + 1]) - 1
+        lo, hi = starts[first] + shift[doc], starts[last] + size[last] + shift[doc]
+        hashes = np.fromiter((xxh(raw[x:y], SEED) for x, y in zip(lo.tolist(), hi.tolist())), np.uint64, to - at)
+        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         counts[own] += np.add.reduceat(bits, begin, axis=0, dtype=np.int32)
     set_bits = (2 * counts > per[:, None]).astype(np.uint8)
     return np.packbits(set_bits, axis=1, bitorder="little").view(np.uint64).ravel()
@@ -159,18 +161,20 @@ def links(distinct: DataFrame, distance: int = DISTANCE, limit: int = LIST_LIMIT
     return out
 
 
+def _marker(own: list[str], shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = [fingerprints(text, shingle) for _, text in text_slices(batch, limit=SLICE)]
+            fp = np.concatenate([np.zeros(0, np.uint64), *prints]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.select(own).columns, pa.array(fp)], names=[*own, "fp"])
+    return run
+
+
 def _marked(src: DataFrame, shingle: int) -> DataFrame:
     """The columns of ``src`` besides text, and fp: written once."""
     own = [c for c in src.columns if c != "text"]
     schema = ", ".join(f"{c} {src.schema[c].dataType.simpleString()}" for c in own) + ", fp long"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows, text in text_slices(batch):
-                yield pa.RecordBatch.from_arrays(
-                    [*rows.select(own).columns, pa.array(fingerprints(text, shingle).view(np.int64))], names=[*own, "fp"])
-
-    return materialise(src.mapInArrow(run, schema), "fingerprints")
+    return materialise(src.mapInArrow(_marker(own, shingle), schema), "fingerprints")
 
 
 def _least(marked: DataFrame, value, distance: int) -> DataFrame:

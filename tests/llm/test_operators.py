@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -190,6 +191,34 @@ def test_simhash_keeps_one_row_of_each_group(spark, docs):
     assert all(rows[r.fp] == (r.doc_id, r.text) for r in got)
 
 
+def _peak(f) -> tuple[list, int]:
+    """What ``f`` gives, and the most memory that numpy and Python took for it."""
+    tracemalloc.start()
+    try:
+        return f(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_simhash_of_a_long_text_is_counted_in_blocks():
+    pick = random.Random(11)
+    text = " ".join(pick.choice(VOCABULARY) for _ in range(300_000))
+    got, peak = _peak(lambda: simhash_dedup.fingerprints(pa.array(["", text, "one"], pa.large_string())).tolist())
+    assert got == [_fingerprint(t) for t in ("", text, "one")]
+    assert peak < 40 << 20
+
+
+def test_simhash_takes_a_batch_in_small_slices():
+    pick = random.Random(12)
+    texts = [" ".join(pick.choice(VOCABULARY) for _ in range(pick.randint(0, 6000))) for _ in range(200)]
+    texts[7], texts[8] = None, ""
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    run = simhash_dedup._marker(["doc_id"], 4)
+    got, peak = _peak(lambda: [r for b in run(iter([batch])) for r in zip(*(c.to_pylist() for c in b.columns))])
+    assert got == [(k, int(np.uint64(_fingerprint(t)).view(np.int64))) for k, t in enumerate(texts)]
+    assert peak < 40 << 20
+
+
 @pytest.mark.parametrize("limit", [4, 8192])
 def test_simhash_links_find_all_near_fingerprints(spark, limit):
     pick = random.Random(9)
