@@ -18,6 +18,9 @@ SLICE_BYTES = 6 << 20
 #: How many bytes of input a shuffle partition should hold (text operators).
 PARTITION_BYTES = 32 << 20
 
+#: Rows and bytes from which on a small table gets another task (and file), see ``gathered``.
+TASK_ROWS, TASK_BYTES = 1 << 18, 4 << 20
+
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -32,6 +35,21 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def gathered(df: DataFrame, rows: int = 0, size: int = 0) -> DataFrame:
+    """``df`` in no more tasks than work on that many rows or bytes needs, but twice the cores at least.
+
+    Each task writes a file, so a small table cut in many shuffle partitions is slow to write and
+    to read; on a local disk Spark even starts two processes for each file.  The partitions
+    themselves stay: a task goes through its own one after the other.
+    """
+    least = 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(least, -(-int(rows) // TASK_ROWS), -(-int(size) // TASK_BYTES)))
+
+
+def total_bytes(df: DataFrame, column: str) -> int:
+    return df.agg(F.sum(F.octet_length(F.col(f"`{column}`")))).first()[0] or 0
+
+
 def discard(spark: SparkSession, df: DataFrame) -> None:
     """Delete the scratch table behind a ``materialise``d frame that nothing reads any more."""
     for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:

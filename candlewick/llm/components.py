@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm._common import discard, materialise
+from candlewick.llm._common import discard, gathered, materialise
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -29,21 +29,22 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return linked.where("u <> v").distinct()
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", most: int | None = None) -> DataFrame:
     """(vertex, component): every vertex that has a link, with the smallest vertex reachable.
 
-    Self links and nulls are ignored; a table without links gives an empty table.
+    Self links and nulls are ignored; a table without links gives an empty table.  ``most``:
+    how many links there are at most, if that is known.
     """
     spark = edges.sparkSession
     e = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    e = materialise(e, "links")
+    e = materialise(e if most is None else gathered(e, most), "links")
     while True:
         # Stars around the smallest vertices: no vertex hangs below two, and none that has one below it has one above.
         bad = e.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("u").unionByName(
             e.select(F.col("v").alias("u")).distinct().join(e.select("u").distinct(), "u"))
         if bad.isEmpty():
             break
-        after = materialise(_star(_star(e, large=True), large=False), "links")
+        after = materialise(gathered(_star(_star(e, large=True), large=False), 2 * e.count()), "links")
         discard(spark, e)
         e = after
     return e.select(F.col("u").alias("vertex"), F.col("v").alias("component")).unionByName(

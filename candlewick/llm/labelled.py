@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm._common import crc_mod, materialise, plain
+from candlewick.llm._common import crc_mod, gathered, materialise, plain
 
 #: Labelled documents a classifier learns from at most (a documented bound).
 MAX_TRAIN = 20_000
@@ -27,4 +27,4 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, fold: int, fol
     rows = docs.join(F.broadcast(some), "doc_id").select("doc_id", F.col("y").cast("int").alias("y"), "text")
     # A partial aggregate: each task sends one text an id.
     one = rows.groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("least"))
-    return materialise(one.select("doc_id", "y", "least.text"), "training_rows")
+    return materialise(gathered(one.select("doc_id", "y", "least.text"), rows=limit), "training_rows")

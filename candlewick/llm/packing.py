@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm._common import materialise, plain, shuffle_parts, text_slices
+from candlewick.llm._common import gathered, materialise, plain, shuffle_parts, text_slices, total_bytes
 from candlewick.llm.word_ids import word_ids
 
 TOKENIZER = "word_bpe_49k.json"
@@ -151,8 +151,7 @@ def pack(docs: DataFrame, length: int = LENGTH, tokenizer: str = TOKENIZER, end_
                     names=["key", "doc_id", "ids"])
 
     def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-        packer, codec, rows = Packer(TaskContext.get().partitionId(), length), zstandard.ZstdDecompressor(), []
+        packer, codec, rows = None, zstandard.ZstdDecompressor(), []
 
         def flush():
             cols = list(zip(*rows)) or [()] * 7
@@ -160,13 +159,15 @@ def pack(docs: DataFrame, length: int = LENGTH, tokenizer: str = TOKENIZER, end_
                                               names=[f.split()[0] for f in PIECE.split(", ")])
 
         for batch in batches:
+            if batch.num_rows and packer is None:
+                packer = Packer(batch.column(3)[0].as_py(), length)
             for doc_id, packed in zip(batch.column(1).to_pylist(), batch.column(2)):
                 for got in packer.add(doc_id, np.frombuffer(codec.decompress(packed.as_py()), "<u4")):
                     rows += got
                 if len(rows) >= 10_000:
                     yield flush()
                     rows = []
-        for got in packer.close():
+        for got in packer.close() if packer else ():
             rows += got
         if rows:
             yield flush()
@@ -175,4 +176,5 @@ def pack(docs: DataFrame, length: int = LENGTH, tokenizer: str = TOKENIZER, end_
     encoded = materialise(src.mapInArrow(encode, "key long, doc_id long, ids binary"), "encoded")
     order = [F.col("key"), F.col("doc_id"), F.xxhash64("ids")]
     ranged = encoded.repartitionByRange(partitions or shuffle_parts(spark), *order).sortWithinPartitions(*order)
-    return ranged.mapInArrow(lay, PIECE)
+    # The partition names the stretch: a task may lay several.
+    return gathered(ranged.withColumn("stretch", F.spark_partition_id()).mapInArrow(lay, PIECE), size=total_bytes(encoded, "ids"))

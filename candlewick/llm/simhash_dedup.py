@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm._common import LOWER, materialise, plain, shuffle_parts, split_words, text_slices, translated
+from candlewick.llm._common import LOWER, gathered, materialise, plain, shuffle_parts, split_words, text_slices, translated
 from candlewick.llm.components import components
 from candlewick.llm.runs import Forest, block_pairs, buckets
 
@@ -127,8 +127,11 @@ def _linker(need: int, distance: int, limit: int):
     return run
 
 
-def links(distinct: DataFrame, distance: int = DISTANCE, limit: int = LIST_LIMIT) -> DataFrame:
-    """Links (a, b) between distinct fingerprints (column fp) that connect all within ``distance``."""
+def links(distinct: DataFrame, distance: int = DISTANCE, limit: int = LIST_LIMIT, most: int | None = None) -> DataFrame:
+    """Links (a, b) between distinct fingerprints (column fp) that connect all within ``distance``.
+
+    ``most``: how many fingerprints there are at most, if that is known.
+    """
     spark = distinct.sparkSession
     subsets, need = list_keys(distance)
 
@@ -149,7 +152,8 @@ def links(distinct: DataFrame, distance: int = DISTANCE, limit: int = LIST_LIMIT
 
     listed = distinct.select("fp").mapInArrow(index, "key long, fp long")
     listed = listed.repartition(shuffle_parts(spark), "key").sortWithinPartitions("key", "fp")
-    found = materialise(listed.mapInArrow(_linker(need, distance, limit), LINKS), "simhash_links")
+    found = listed.mapInArrow(_linker(need, distance, limit), LINKS)
+    found = materialise(found if most is None else gathered(found, most * len(subsets)), "simhash_links")
     out = found.where("b is not null").select("a", "b")
     hot = found.where("b is null").select("key", F.col("a").alias("fp"), "block")
     if not hot.isEmpty():
@@ -179,15 +183,18 @@ def _marked(src: DataFrame, shingle: int) -> DataFrame:
 
 def _least(marked: DataFrame, value, distance: int) -> DataFrame:
     """fp, least: the least ``value`` in the component of every fingerprint."""
+    n = marked.count()
     classes = marked.groupBy("fp").agg(F.min(value).alias("least"))
-    linked = components(links(classes.select("fp"), distance)).withColumnsRenamed(
-        {"vertex": "fp", "component": "root"})
+    # A fingerprint has a row in each list, and a list gives less links than it has rows.
+    linked = components(links(classes.select("fp"), distance, most=n), most=n * len(list_keys(distance)[0]))
+    linked = linked.withColumnsRenamed({"vertex": "fp", "component": "root"})
     # Only fingerprints with a link need their component's least.  Both sides of the join by
     # root are read from written tables, so a component that holds many of them is split.
-    members = materialise(classes.join(linked, "fp"), "members")
-    least = materialise(members.groupBy("root").agg(F.min("least").alias("shared")), "least")
+    members = materialise(gathered(classes.join(linked, "fp"), n), "members")
+    least = materialise(gathered(members.groupBy("root").agg(F.min("least").alias("shared")), n), "least")
     shared = members.join(least, "root").select("fp", "shared")
-    return materialise(classes.join(shared, "fp", "left").select("fp", F.coalesce("shared", "least").alias("least")), "classes")
+    named = classes.join(shared, "fp", "left").select("fp", F.coalesce("shared", "least").alias("least"))
+    return materialise(gathered(named, n), "classes")
 
 
 def simhash_classes(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from candlewick.llm._common import coded, expand, materialise, plain, shuffle_parts, split_words, text_slices
+from candlewick.llm._common import coded, expand, gathered, materialise, plain, shuffle_parts, split_words, text_slices, total_bytes
 
 WINDOW, GRAM = 20, 5
 #: Different extensions of one anchor in a slice from which on its seeds are spread by content.
@@ -289,13 +289,17 @@ def _sorted(seeds_: DataFrame) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
-                     id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
-    """Ranges of windows (doc_id, tie, first, last: word numbers of their starts) that have an earlier equal."""
+                     id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, size: int | None = None) -> DataFrame:
+    """Ranges of windows (doc_id, tie, first, last: word numbers of their starts) that have an earlier equal.
+
+    ``size``: the bytes of all texts, if they are known.
+    """
     if gram > window:
         raise ValueError("an anchor must fit into a window")
     src = plain(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    marks = materialise(_sorted(src.mapInArrow(_cut(window, gram, hot), SEED)).mapInArrow(_compare, MARK).where(
-        "first >= 0"), "seed_marks")
+    size = total_bytes(src, "text") if size is None else size
+    marks = _sorted(src.mapInArrow(_cut(window, gram, hot), SEED)).mapInArrow(_compare, MARK).where("first >= 0")
+    marks = materialise(gathered(marks, size=size), "seed_marks")
     repeats = marks.where("not check").drop("check")
     check = marks.where("check")
     tied = _with_spans(src, check, "inner").select("doc_id", "tie", "text", "spans")
@@ -369,7 +373,8 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col
     """
     src = docs.select(F.struct("*").alias("row"), F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                       F.col(f"`{text_col}`").alias("text"))
-    joined = _with_spans(src, repeated_windows(docs, window, gram, id_col, text_col), "left")
+    size = total_bytes(src, "text")
+    joined = _with_spans(src, repeated_windows(docs, window, gram, id_col, text_col, size=size), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -389,4 +394,4 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col
         elif c == size_col:
             own = F.when(cut, F.length("left").cast(docs.schema[c].dataType)).otherwise(own)
         columns.append(own.alias(c))
-    return done.select(columns)
+    return gathered(done.select(columns), size=size)

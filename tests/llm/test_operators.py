@@ -11,10 +11,13 @@ import pyarrow as pa
 import pytest
 import xxhash
 
+from candlewick.llm import _common
+from candlewick.llm import components as components_module
 from candlewick.llm import (bpe_count, decontamination, embedding_dedup, labelled, language_id, packing, quality,
                             simhash_dedup, substring_dedup, token_output, toxicity)
 from candlewick.llm.components import components
 from candlewick.llm.queries import ready
+from candlewick.session import session_conf
 from tests.conftest import SMOKE_DIR
 
 VOCABULARY = "zero one two three four five six seven eight nine ten Étude déjà naïve can't <b> 42 x|y".split()
@@ -240,6 +243,52 @@ def test_components_of_chains_and_stars(spark):
     assert got == {**{k: 0 for k in range(61)}, **{k: 200 for k in range(200, 240)}, 300: 300, 301: 300}
 
 
+@pytest.fixture
+def many_parts(spark):
+    """64 shuffle partitions that are not joined, as in a session set up for much larger tables."""
+    own = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    with session_conf(spark, own):
+        yield 2 * spark.sparkContext.defaultParallelism
+
+
+def test_small_scratch_tables_are_written_by_few_tasks(spark, many_parts, monkeypatch):
+    files = {}
+
+    def written(df, name, materialise=_common.materialise):
+        out = materialise(df, name)
+        files.setdefault(name, []).append(len(out.inputFiles()))
+        return out
+
+    for module in (components_module, labelled, packing, simhash_dedup, substring_dedup):
+        monkeypatch.setattr(module, "materialise", written)
+    pick = random.Random(8)
+    base = [" ".join(pick.choice(VOCABULARY) + str(pick.randint(0, 99)) for _ in range(60)) for _ in range(150)]
+    rows = [(k, t) for k, t in enumerate(base)] + [(200 + k, f"{t} tail") for k, t in enumerate(base)]
+    rows += [(500, None), (None, "a null id"), (7, base[7])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5).checkpoint()
+    labels = spark.createDataFrame([(k, k % 2) for k in range(300)], "doc_id long, toxic int")
+
+    labelled.training_rows(docs, labels, "toxic", 1, 3)
+    kept = simhash_dedup.keep_one(docs).collect()
+    whole = {p.doc_id for p in simhash_dedup.simhash_classes(docs).collect() if p.component_id == p.doc_id}
+    assert {r.doc_id for r in kept} == whole and len(kept) == len(whole)
+    left = substring_dedup.drop_repeats(docs)
+    assert left.rdd.getNumPartitions() <= many_parts
+    assert {r.text for r in left.where("doc_id between 200 and 349").collect()} == {"tail"}
+    pieces = packing.pack(docs, length=64)
+    assert pieces.rdd.getNumPartitions() <= many_parts
+    pieces = pieces.collect()
+    # More stretches than tasks: their sequences stay apart.
+    assert len({p.sequence_id // packing.STRETCH for p in pieces}) > many_parts
+    filled = {}
+    for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
+        assert filled.setdefault(p.sequence_id, 0) == p.offset
+        filled[p.sequence_id] += p.length
+    assert max(filled.values()) <= 64
+    assert {"training_rows", "links", "simhash_links", "members", "least", "classes", "seed_marks"} <= set(files)
+    assert max(n for own in files.values() for n in own) <= many_parts, files
+
+
 @pytest.mark.parametrize("hot", [1, 2, 3, substring_dedup.HOT])
 def test_repeated_windows_are_removed_exactly(docs, empty, hot):
     rows = [(i, t) for i, t in ROWS if i is not None and (i, t) != (7, ROWS[7][1])] + [(7, ROWS[7][1])]
